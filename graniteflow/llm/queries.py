@@ -5,13 +5,33 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from graniteflow.llm import packing, tokens
+from graniteflow.llm import neardup, packing, tokens
+from graniteflow.operators.latest import current_chunks
 from graniteflow.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def current_texts(spark: SparkSession, sf_dir: str, least: int = 0) -> DataFrame:
+    """(id, text) of the current chunks; a text shorter than ``least`` characters is null, so only its row moves."""
+    chunks = table(spark, sf_dir, "document_chunks", "id", "chunk_text", "ingested_at")
+    text = F.when(F.length("chunk_text") >= least, F.col("chunk_text")).alias("text")
+    return current_chunks(chunks, text).where("text IS NOT NULL").select("id", "text")
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of chunks sharing at least 7/10 of their words."""
+    # 50 distinct words of a-z and 0-9 with a separator between them take at least 113 characters
+    return neardup.near_copies(current_texts(spark, sf_dir, 113))
+
+
+def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near copies of every chunk with enough words and its number of links."""
+    return neardup.groups(current_texts(spark, sf_dir, 113))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     return tokens.encode_column(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
@@ -23,7 +43,7 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p6_ids": p6_ids, "p7_containers": p7_containers}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p6_ids": p6_ids, "p7_containers": p7_containers}
 
 
 def oracle_sql() -> dict[str, str]:
