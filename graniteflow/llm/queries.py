@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graniteflow.llm import neardup, packing, tokens
-from graniteflow.operators.latest import current_chunks
+from graniteflow.llm import knn, neardup, packing, tokens
+from graniteflow.operators.latest import current_chunks, id_key, newest_per_key
 from graniteflow.sources.tables import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,21 @@ def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(current_texts(spark, sf_dir, 113))
 
 
+def current_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, grp, embedding): the current vector of every existing chunk with the model of its current row."""
+    rows = table(spark, sf_dir, "chunk_vectors", "chunk_id", "embedding", "inserted_at")
+    fit = F.when(knn.usable(F.col("embedding")), F.col("embedding")).alias("embedding")
+    keyed = rows.select(id_key("chunk_id").alias("key"), fit, "inserted_at").where("key IS NOT NULL")
+    newest = newest_per_key(keyed, ["key"], F.col("inserted_at").desc_nulls_last(), F.xxhash64("embedding"))
+    chunks = current_chunks(table(spark, sf_dir, "document_chunks", "id", "embedding_model", "ingested_at"), "embedding_model")
+    return newest.join(chunks, "key").select("id", F.col("embedding_model").alias("grp"), "embedding")
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of chunks of which one is among the 10 most similar of the other, at least 0.85 similar."""
+    return knn.found_pairs(current_vectors(spark, sf_dir))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document."""
     return tokens.encode_column(table(spark, sf_dir, "documents", "doc_id", "text"), "doc_id", "text")
@@ -43,7 +58,7 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p6_ids": p6_ids, "p7_containers": p7_containers}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p5_found": p5_found, "p6_ids": p6_ids, "p7_containers": p7_containers}
 
 
 def oracle_sql() -> dict[str, str]:
