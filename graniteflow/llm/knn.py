@@ -18,6 +18,7 @@ a group with fewer than k + 1 vectors gives what it has; an empty table gives an
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -174,8 +175,10 @@ def neighbours(vectors: DataFrame, k: int = K, floor: float | None = FLOOR, prob
     offered = ready.withColumn("rn", F.row_number().over(in_class)).where(F.col("rn") <= k + 1)
     classes = offered.groupBy("grp", "cls").agg(F.first("vec").alias("vec"), F.sort_array(F.collect_list("id")).alias("ids"))
 
-    rows = ready.orderBy(F.xxhash64("id", F.lit(1))).limit(SAMPLE).select("grp", "vec").toArrow()
     by_group = dict(ready.groupBy("grp").count().orderBy(F.desc("count")).limit(SAMPLE).collect())
+    share = math.ceil((1 << 30) * min(1.0, 1.2 * SAMPLE / max(1, sum(by_group.values()))))  # so few rows meet for the limit
+    lot = F.xxhash64("id", F.lit(1))
+    rows = ready.where(F.pmod(lot, F.lit(1 << 30)) < share).orderBy(lot).limit(SAMPLE).select("grp", "vec").toArrow()
     names, sample, index = np.array(rows.column(0).to_pylist(), object), matrix(rows.column(1)), {}
     for g, n in by_group.items():
         own = sample[names == g]

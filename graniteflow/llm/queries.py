@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graniteflow.llm import knn, neardup, packing, tokens
+from graniteflow.llm import knn, neardup, packing, splitting, tokens
 from graniteflow.operators.latest import current_chunks, id_key, newest_per_key
 from graniteflow.sources.tables import table
 
@@ -32,6 +32,24 @@ def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.groups(current_texts(spark, sf_dir, 113))
 
 
+def long_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(id, text, start_line) of the current chunks above the limit; only their texts move."""
+    chunks = table(spark, sf_dir, "document_chunks", "id", "chunk_text", "start_line", "ingested_at")
+    text = F.when(F.length("chunk_text") > splitting.LIMIT, F.col("chunk_text")).alias("text")
+    return current_chunks(chunks, text, "start_line")
+
+
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks above 500 characters and the first line in which a cut has to be forced."""
+    pieces = splitting.split_column(long_texts(spark, sf_dir))
+    return pieces.where("piece_no = 0").select("id", "forced_line")
+
+
+def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pieces of the chunks above 500 characters."""
+    return splitting.split_column(long_texts(spark, sf_dir)).drop("forced_line")
+
+
 def current_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, grp, embedding): the current vector of every existing chunk with the model of its current row."""
     rows = table(spark, sf_dir, "chunk_vectors", "chunk_id", "embedding", "inserted_at")
@@ -58,8 +76,30 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p5_found": p5_found, "p6_ids": p6_ids, "p7_containers": p7_containers}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_pieces": p2_pieces, "p5_found": p5_found, "p6_ids": p6_ids, "p7_containers": p7_containers}
+
+
+# White space as the operator trims it; RE2's own class is ASCII only.
+SPACE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+
+P2_FOUND_SQL = rf"""
+WITH cur AS (
+  SELECT arg_max(id, ingested_at) AS id, arg_max(coalesce(chunk_text, ''), ingested_at) AS body,
+         arg_max(coalesce(start_line, -1), ingested_at) AS line
+  FROM document_chunks GROUP BY lower(trim(id))
+), lines AS (
+  SELECT id, line, unnest(string_split(body, chr(10))) AS l, unnest(range(len(string_split(body, chr(10))))) AS k
+  FROM cur WHERE length(body) > 500
+), most AS (
+  SELECT id, line, k, list_max(list_transform(
+    string_split(regexp_replace(regexp_replace(l, '([。！？])', '\\1' || chr(1), 'g'), '([.!?])({SPACE}|$)', '\\1' || chr(1) || '\\2', 'g'), chr(1)),
+    lambda x: length(regexp_replace(x, '^{SPACE}+|{SPACE}+$', '', 'g')))) AS longest
+  FROM lines
+)
+SELECT id, CAST(coalesce(min(CASE WHEN longest > 500 THEN nullif(line, -1) + k END), 0) AS INTEGER) AS forced_line
+FROM most GROUP BY id
+"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p2_found": P2_FOUND_SQL}
