@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from graniteflow.plans import hierarchy_plans
+
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES: list = []
+MODULES = [hierarchy_plans]
 
 
 def queries() -> dict[str, Query]:
