@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graniteflow.llm import knn, neardup, packing, splitting, tokens
+from graniteflow.llm import knn, neardup, packing, splitting, subjects, tokens
 from graniteflow.operators.latest import current_chunks, id_key, newest_per_key
 from graniteflow.sources.tables import table
 
@@ -75,8 +75,21 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The subjects that at least a quarter of the sentences of a document are about."""
+    examples = table(spark, sf_dir, "subject_examples", "text", "subject")
+    return subjects.subjects_of(table(spark, sf_dir, "documents", "doc_id", "text"), examples)
+
+
+def p8_makeup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and characters of the corpus by subject; a document of several counts for each."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "n_chars")
+    by = p8_found(spark, sf_dir).join(docs, "doc_id").groupBy("subject")
+    return by.agg(F.count("*").alias("documents"), F.sum("n_chars").alias("characters"))
+
+
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_pieces": p2_pieces, "p5_found": p5_found, "p6_ids": p6_ids, "p7_containers": p7_containers}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_pieces": p2_pieces, "p5_found": p5_found, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_makeup": p8_makeup}
 
 
 # White space as the operator trims it; RE2's own class is ASCII only.
@@ -92,7 +105,7 @@ WITH cur AS (
   FROM cur WHERE length(body) > 500
 ), most AS (
   SELECT id, line, k, list_max(list_transform(
-    string_split(regexp_replace(regexp_replace(l, '([。！？])', '\\1' || chr(1), 'g'), '([.!?])({SPACE}|$)', '\\1' || chr(1) || '\\2', 'g'), chr(1)),
+    string_split(regexp_replace(regexp_replace(l, '([。！？])', '\1' || chr(1), 'g'), '([.!?])({SPACE}|$)', '\1' || chr(1) || '\2', 'g'), chr(1)),
     lambda x: length(regexp_replace(x, '^{SPACE}+|{SPACE}+$', '', 'g')))) AS longest
   FROM lines
 )
