@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graniteflow.llm import knn, neardup, packing, splitting, subjects, tokens
+from graniteflow.llm import knn, neardup, packing, scans, splitting, subjects, tokens
 from graniteflow.operators.latest import current_chunks, id_key, newest_per_key
 from graniteflow.sources.tables import table
 
@@ -50,6 +50,20 @@ def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     return splitting.split_column(long_texts(spark, sf_dir)).drop("forced_line")
 
 
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "markdown_pages", "markdown_path", "page_no", "first_line", "page_text")
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running headers, page numbers, broken and misread words of all pages."""
+    return scans.noise(pages(spark, sf_dir)).select("markdown_path", "line_no", "kind", "word").distinct()
+
+
+def p4_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The repaired paragraphs of all pages."""
+    return scans.paragraphs(pages(spark, sf_dir))
+
+
 def current_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(id, grp, embedding): the current vector of every existing chunk with the model of its current row."""
     rows = table(spark, sf_dir, "chunk_vectors", "chunk_id", "embedding", "inserted_at")
@@ -89,7 +103,7 @@ def p8_makeup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_pieces": p2_pieces, "p5_found": p5_found, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_makeup": p8_makeup}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_paragraphs": p4_paragraphs, "p5_found": p5_found, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_makeup": p8_makeup}
 
 
 # White space as the operator trims it; RE2's own class is ASCII only.
