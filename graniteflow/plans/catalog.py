@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graniteflow.plans import hierarchy_plans
+from graniteflow.plans import hierarchy_plans, lifecycle_plans
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = [hierarchy_plans]
+MODULES = [hierarchy_plans, lifecycle_plans]
 
 
 def queries() -> dict[str, Query]:
