@@ -21,6 +21,7 @@ import difflib
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -94,12 +95,21 @@ def header_text(line: str) -> str:
     return fold(t)
 
 
+@lru_cache(maxsize=4096)
+def pairs_of(text: str) -> frozenset[str]:
+    """The neighbouring pairs of characters of a line."""
+    return frozenset(map("".join, zip(text, text[1:])))
+
+
 def similarity(a: str, b: str) -> float:
     """Likeness of two folded lines."""
     if a == b:
         return 1.0
     if abs(len(a) - len(b)) > 0.2 * max(len(a), len(b)):
         return 0.0
+    x, y = pairs_of(a), pairs_of(b)
+    if 3 * len(x & y) < min(len(x), len(y)):  # far below the likeness of a line and its misread self
+        return 0.0
     return difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
 
 
@@ -403,7 +413,10 @@ def replacements(vocabulary: DataFrame, queries: DataFrame, ranker: Boosted) ->
                 )
 
     scored = candidates(vocabulary, queries).select("seen", "word", "n_seen", "n_word").mapInArrow(run, "seen string, right string, score double")
-    return scored.groupBy("seen").agg(F.max_by("right", F.struct("score", "right")).alias("right"))
+    best = cut(scored.groupBy("seen").agg(F.max_by("right", F.struct("score", "right")).alias("right")))
+    # a replacement may itself be a frequent misreading
+    onward = best.select(F.col("seen").alias("right"), F.col("right").alias("onward"))
+    return best.join(onward, "right", "left").select("seen", F.coalesce("onward", "right").alias("right"))
 
 
 def join_classifier(words: list[tuple[str, int]]) -> np.ndarray:
