@@ -108,7 +108,7 @@ def similarity(a: str, b: str) -> float:
     if abs(len(a) - len(b)) > 0.2 * max(len(a), len(b)):
         return 0.0
     x, y = pairs_of(a), pairs_of(b)
-    if 3 * len(x & y) < min(len(x), len(y)):  # far below the likeness of a line and its misread self
+    if len(x & y) < 0.55 * max(len(x), len(y)) - 2:  # below the likeness of a line and its misread self
         return 0.0
     return difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
 
