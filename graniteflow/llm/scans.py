@@ -353,7 +353,7 @@ def train_ranker(words: list[tuple[str, int]], rare: int) -> Boosted:
 
     def near(seen: str) -> list[str]:
         hits = Counter(w for g in grams_of(seen) for w in index[g] if abs(len(w) - len(seen)) <= 2 and w != seen)
-        return [w for w, _ in hits.most_common(6)]
+        return sorted(hits, key=lambda w: (-hits[w], w))[:6]
 
     x, y = [], []
     for k in range(1500 if frequent else 0):
@@ -368,7 +368,7 @@ def train_ranker(words: list[tuple[str, int]], rare: int) -> Boosted:
             if seen == word or seen in known:
                 continue
             n = max(1, int(known[word] * 10 ** rng.uniform(-3, -0.8)))
-            for c in {word, *near(seen)}:
+            for c in sorted({word, *near(seen)}):
                 x.append(features(seen, n, c, known[c]))
                 y.append(c == word)
         else:  # right though unknown: the word itself is not offered
