@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 import io
 import zipfile
 from collections.abc import Iterator
@@ -14,18 +15,30 @@ from pyspark.sql import functions as F
 from graniteflow.functions import names
 
 
-def task_list(spark: SparkSession, path: str, encodings: tuple[str, ...] = ("UTF-8", "GBK")) -> DataFrame:
-    """(code, name, year, quarter) of a CSV of tasks; rows without code, name or year are dropped, Q4 is the default.
+def task_list(spark: SparkSession, path: str, encodings: tuple[str, ...] = ("utf-8-sig", "gbk", "gb2312")) -> DataFrame:
+    """(code, name, year, quarter) of CSV files of tasks; rows without code, name or year are dropped, Q4 is the default.
 
-    The first encoding under which no row holds a broken character is used; a mark at the start of the file is ignored.
+    A file is read in the first encoding that fits all of it. Task lists are small; each file is decoded by one task.
     """
-    for encoding in encodings:
-        raw = spark.read.csv(path, header=True, encoding=encoding)
-        raw = raw.toDF(*(c.lstrip("﻿").strip().lower() for c in raw.columns))
-        if raw.where(F.concat_ws(" ", *raw.columns).contains("�")).isEmpty():
-            break
-    column = lambda c: F.nullif(F.trim(c), F.lit("")) if c in raw.columns else F.lit(None).cast("string")
-    rows = raw.select(names.padded_code(column("code")).alias("code"), column("name").alias("name"), column("year").try_cast("int").alias("year"), F.coalesce(F.upper(column("quarter")), F.lit("Q4")).alias("quarter"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for content in pdf["content"]:
+                for encoding in encodings:
+                    try:
+                        body = bytes(content).decode(encoding)
+                        break
+                    except UnicodeDecodeError:
+                        body = ""
+                for r in csv.DictReader(io.StringIO(body)):
+                    r = {(k or "").strip().lower(): v for k, v in r.items()}
+                    rows.append(tuple(r.get(c) for c in ("code", "name", "year", "quarter")))
+            yield pd.DataFrame(rows, columns=["code", "name", "year", "quarter"])
+
+    raw = spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "code string, name string, year string, quarter string")
+    filled = lambda c: F.nullif(F.trim(c), F.lit(""))
+    rows = raw.select(names.padded_code(filled("code")).alias("code"), filled("name").alias("name"), filled("year").try_cast("int").alias("year"), F.coalesce(F.upper(filled("quarter")), F.lit("Q4")).alias("quarter"))
     return rows.where("code IS NOT NULL AND name IS NOT NULL AND year IS NOT NULL")
 
 
