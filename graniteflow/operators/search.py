@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from graniteflow.session import cut
+
 K1, B, RRF = 1.2, 0.75, 60
 
 
@@ -42,19 +44,26 @@ def nearest(vectors: DataFrame, query: DataFrame, key: str, k: int, where: Colum
     return ranked.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def words(text: Column) -> Column:
-    """Lower-case words of letters a-z and digits."""
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
+def spaced(text: Column) -> Column:
+    """Lower-case words of letters a-z and digits, each between two spaces of its own; the rest of the text is dropped."""
+    bare = F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "  "))
+    return F.when(bare == "", "").otherwise(F.concat(F.lit(" "), bare, F.lit(" ")))
+
+
+def occurrences(spaced_text: str, term: str) -> Column:
+    """How often a word is in a spaced text."""
+    without = F.replace(spaced_text, F.lit(f" {term} "), F.lit(""))
+    return ((F.length(spaced_text) - F.length(without)) / (len(term) + 2)).cast("int")
 
 
 def bm25(docs: DataFrame, key: str, text: str, terms: list[str], k: int, least: float = 0.3) -> DataFrame:
-    """(key, score, rank) of the best texts. Two passes: one row of statistics, then the scores; no postings are moved.
+    """(key, score, rank) of the best texts. One pass over the texts counts words, and only the counts are kept.
 
     A text needs ``least`` of the terms, at least one, to be a hit.
     """
-    wanted = F.array(*(F.lit(t) for t in terms))
-    base = docs.where(F.col(text).isNotNull()).select(key, words(F.col(text)).alias("w"))
-    counted = base.select(key, F.size("w").alias("len"), F.transform(wanted, lambda t: F.size(F.filter("w", lambda x: x == t))).alias("tf"))
+    base = docs.where(F.col(text).isNotNull()).select(key, spaced(F.col(text)).alias("s"))
+    total = (F.length("s") - F.length(F.replace("s", F.lit(" "), F.lit("")))) / 2  # two spaces a word
+    counted = cut(base.select(key, total.cast("int").alias("len"), F.array(*(occurrences("s", t) for t in terms)).alias("tf")))
     df = [F.count_if(F.col("tf")[i] > 0).alias(f"df{i}") for i in range(len(terms))]
     stats = counted.agg(F.count("*").alias("n"), F.avg("len").alias("avg_len"), *df)  # one row
     parts = []
