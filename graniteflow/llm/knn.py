@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from graniteflow.llm.fixed import column_of, rows_of
 from graniteflow.session import cut
 
 DIM, K, PROBES, SAMPLE, BLOCK, COLUMNS, EPSILON, FLOOR = 64, 10, 8, 24_576, 4096, 16, 2.1, 0.85
@@ -38,16 +39,9 @@ def usable(vector: Column) -> Column:
     return F.coalesce((F.size(vector) == DIM) & finite & F.exists(vector, lambda x: x != 0), F.lit(False))
 
 
-def matrix(column: pa.Array) -> np.ndarray:
+def vectors_of(column: pa.Array) -> np.ndarray:
     """Vectors out of a binary column."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.float32).reshape(-1, DIM)
-
-
-def binary(rows: np.ndarray) -> pa.Array:
-    """A binary column of vectors."""
-    width = rows.shape[1] * rows.itemsize
-    offsets = np.arange(0, (len(rows) + 1) * width, width, dtype=np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(rows).tobytes())])
+    return rows_of(column, np.float32, DIM)
 
 
 def rotated(vectors: DataFrame) -> DataFrame:
@@ -59,7 +53,7 @@ def rotated(vectors: DataFrame) -> DataFrame:
                 x = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, DIM)
                 x /= np.abs(x).max(axis=1, keepdims=True)  # sums of squares can neither vanish nor overflow
                 x = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ ROTATION
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), binary(x.astype(np.float32))], ["id", "grp", "vec"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), column_of(x.astype(np.float32))], ["id", "grp", "vec"])
 
     plain = vectors.where(usable(F.col("embedding")) & F.col("grp").isNotNull()).select("id", "grp", "embedding")
     return plain.mapInArrow(run, "id string, grp string, vec binary").withColumn("cls", F.xxhash64("grp", "vec"))
@@ -124,7 +118,7 @@ def indexed(classes: DataFrame, index: dict[str, np.ndarray], probes: int) -> Da
             if not batch.num_rows:
                 continue
             groups = np.array(batch.column(0).to_pylist(), object)
-            x, cells = matrix(batch.column(2)), [None] * batch.num_rows
+            x, cells = vectors_of(batch.column(2)), [None] * batch.num_rows
             for g in dict.fromkeys(groups):
                 c, rows = shared.value.get(g), np.flatnonzero(groups == g)
                 n = 1 if c is None else min(probes, len(c))
@@ -151,7 +145,7 @@ def scanned(work: DataFrame, k: int, floor: float | None) -> DataFrame:
         if not rows:
             return
         unit, role, grp, cls, vec = (pa.chunked_array([b.column(c) for b in rows]).combine_chunks() for c in range(5))
-        unit, role, cls, x = unit.to_numpy(), role.to_numpy(), cls.to_numpy(), matrix(vec)
+        unit, role, cls, x = unit.to_numpy(), role.to_numpy(), cls.to_numpy(), vectors_of(vec)
         order = np.lexsort((cls, role, unit))
         bounds = np.flatnonzero(np.r_[True, unit[order][1:] != unit[order][:-1], True])
         for a, b in zip(bounds[:-1], bounds[1:]):
@@ -179,7 +173,7 @@ def neighbours(vectors: DataFrame, k: int = K, floor: float | None = FLOOR, prob
     share = math.ceil((1 << 30) * min(1.0, 1.2 * SAMPLE / max(1, sum(by_group.values()))))  # so few rows meet for the limit
     lot = F.xxhash64("id", F.lit(1))
     rows = ready.where(F.pmod(lot, F.lit(1 << 30)) < share).orderBy(lot).limit(SAMPLE).select("grp", "vec").toArrow()
-    names, sample, index = np.array(rows.column(0).to_pylist(), object), matrix(rows.column(1)), {}
+    names, sample, index = np.array(rows.column(0).to_pylist(), object), vectors_of(rows.column(1).combine_chunks()), {}
     for g, n in by_group.items():
         own = sample[names == g]
         if len(own):

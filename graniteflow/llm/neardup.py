@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graniteflow.llm.fixed import column_of, rows_of
 from graniteflow.session import cut
 
 WORD = re.compile("[a-z0-9]+")
@@ -170,11 +171,6 @@ def gather(batches: Iterator[pa.RecordBatch], columns: int) -> list[pa.ChunkedAr
     return [pa.chunked_array([b.column(k) for b in rows]).combine_chunks() for k in range(columns)] if rows else None
 
 
-def as_fps(column: pa.Array) -> np.ndarray:
-    """Fingerprints out of a binary column."""
-    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, LANES)
-
-
 def word_sets(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(id, cls, words) of the texts (id, text) with enough words; words are sorted 64-bit hashes, cls their hash."""
 
@@ -212,15 +208,12 @@ def banded(classes: DataFrame, bands: int, rows: int) -> DataFrame:
                 starts = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
                 flat = np.frombuffer(b"".join(raw), np.uint64)
                 fps, keys = sketch.fingerprints(flat, starts), sketch.keys(flat, starts)
-                data = np.repeat(fps, bands, axis=0).tobytes()
-                n = len(raw) * bands
-                offsets = np.arange(0, (n + 1) * LANES * 8, LANES * 8, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(keys.reshape(-1).view(np.int64)),
                         pa.array(np.repeat(part.column(0).to_numpy(zero_copy_only=False), bands)),
                         pa.array(np.repeat(sizes, bands)),
-                        pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(data)]),
+                        column_of(np.repeat(fps, bands, axis=0)),
                     ],
                     ["key", "cls", "n", "fp"],
                 )
@@ -236,7 +229,7 @@ def search(rows: DataFrame, hot: int) -> DataFrame:
         if got is None:
             return
         key, cls, n = (c.to_numpy(zero_copy_only=False) for c in got[:3])
-        a, b, held = shard_pairs(key, cls, n, as_fps(got[3]), hot)
+        a, b, held = shard_pairs(key, cls, n, rows_of(got[3], np.uint64, LANES), hot)
         for k in range(0, len(a), 50_000):
             x, y = pa.array(a[k : k + 50_000]), pa.array(b[k : k + 50_000])
             yield pa.RecordBatch.from_arrays([x, y, pa.nulls(len(x), pa.int64()), pa.nulls(len(x), pa.int64()), pa.nulls(len(x), pa.int32()), pa.nulls(len(x), pa.binary())], ["a", "b", "key", "cls", "n", "fp"])
