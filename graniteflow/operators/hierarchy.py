@@ -22,12 +22,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from graniteflow.session import cut
 
-ONE_FOREST, RANGE = 200_000, 4096
+ONE_FOREST, RANGE, PARTITION_ROWS = 200_000, 4096, 200_000
 LOCAL = "key string, id string, top string, root string, steps int, path string, out string, low string, cycle string"
 OPEN = "key string, top string, root string, steps bigint, path string, low string, cycle string, done boolean"
 
@@ -223,19 +223,24 @@ def trees(nodes: DataFrame, partitions: int | None = None, one_forest: int = ONE
     )
 
 
+def partitions_for(spark: SparkSession, rows: int) -> int:
+    """Partitions that hold at most PARTITION_ROWS rows each on average, and no fewer than a shuffle has."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // PARTITION_ROWS))
+
+
 def placed(document: Column, number: Column) -> Column:
     """Where a chunk's links are joined first: its document and range of chunk numbers."""
     return F.xxhash64(document, F.floor(F.coalesce(number, F.lit(0)) / RANGE))
 
 
-def descendants(nodes: DataFrame, one_forest: int = ONE_FOREST) -> DataFrame:
+def descendants(nodes: DataFrame, partitions: int | None = None, one_forest: int = ONE_FOREST) -> DataFrame:
     """(id, descendant_id, levels): every node below every node.
 
     A path of ids names all that are above a node, so its expansion is the result and nothing else is moved. Nodes on
     or below a cycle are left out, since they would be below themselves.
     """
     escaped = nodes.withColumn("label", F.translate("id", "/", "\x1f"))
-    above = trees(escaped, one_forest=one_forest).where("node_depth > 0").select("id", F.split("node_path", "/").alias("up"))
+    above = trees(escaped, partitions, one_forest).where("node_depth > 0").select("id", F.split("node_path", "/").alias("up"))
     pairs = above.select(F.col("id").alias("descendant_id"), F.size("up").alias("n"), F.posexplode("up").alias("pos", "above"))
     below = pairs.where("pos < n - 1")
     return below.select(F.translate("above", "\x1f", "/").alias("id"), "descendant_id", (F.col("n") - 1 - F.col("pos")).alias("levels"))

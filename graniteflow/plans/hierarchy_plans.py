@@ -21,14 +21,19 @@ def chunk_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chunk_partitions(spark: SparkSession, sf_dir: str) -> int:
+    """Partitions for the nodes; the number of rows comes from the file footers."""
+    return hierarchy.partitions_for(spark, table(spark, sf_dir, "document_chunks").count())
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Root, depth and path of every chunk."""
-    return hierarchy.trees(chunk_nodes(spark, sf_dir))
+    return hierarchy.trees(chunk_nodes(spark, sf_dir), chunk_partitions(spark, sf_dir))
 
 
 def p3_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every chunk below every chunk."""
-    return hierarchy.descendants(chunk_nodes(spark, sf_dir))
+    return hierarchy.descendants(chunk_nodes(spark, sf_dir), chunk_partitions(spark, sf_dir))
 
 
 CUR = """
