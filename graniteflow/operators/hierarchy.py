@@ -200,6 +200,7 @@ def trees(nodes: DataFrame, partitions: int | None = None, one_forest: int = ONE
 
     ``place`` says which nodes should meet in a partition; equal keys must not occur twice.
     """
+    nodes = nodes.where("key IS NOT NULL")
     spread = nodes.repartition(partitions, "place") if partitions else nodes.repartition("place")
     local = cut(local_forests(spread))
     links = settled(cut(contracted(local)), one_forest)

@@ -4,7 +4,8 @@ The scan of a document is sequential by nature: the level of a heading depends o
 is one call of a Python function inside an Arrow batch; documents are independent, so the work spreads over them, and
 nothing is grouped or shuffled. A tree is kept as rows that point to their parent's row, never as nested structs.
 
-Modes: ``chinese`` (numbered sections), ``english`` (PART and ITEM), ``simple`` (marks of markdown only).
+Modes: ``chinese`` (numbered sections), ``english`` (PART and ITEM), ``simple`` (flat: every heading has level 1, and
+every short line outside tables is one). Marks of markdown make a line a candidate; its level comes from its words.
 Defined results: null and blank texts have no headings and no chunks; text before the first heading is a preface chunk
 with heading_index -1; lines of tables are never headings; a table is never split; an unknown mode counts as simple.
 """
@@ -12,29 +13,45 @@ with heading_index -1; lines of tables are never headings; a table is never spli
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
 
-LIMIT, DEEPEST, HEADING_MAX = 500, 9, 200
-NUMERALS = {c: i for i, c in enumerate("一二三四五六七八九十", 1)}
+LIMIT, DEEPEST, LONGEST, LONGEST_NUMBERED, SEPARATORS = 500, 9, 200, 500, 3
 # Forms of headings with their level, tried in this order.
 CHINESE = [
-    (r"^第([一二三四五六七八九十\d]+)[节章]", 1, "section"),
-    (r"^([一二三四五六七八九十百]+)、", 2, "numeral"),
-    (r"^[（(]([一二三四五六七八九十百]+)[）)]", 3, "bracket numeral"),
-    (r"^(\d+)[、．.](?!\d)", 3, "number"),
-    (r"^((?:\d+\.)+\d+)", 4, "dotted"),
-    (r"^[（(](\d+)[）)]", 4, "bracket number"),
-    (r"^(\d+)）", 4, "number bracket"),
-    (r"^[（(]([a-zA-Z])[）)]", 5, "bracket letter"),
-    (r"^([a-zA-Z])[、.)]", 5, "letter"),
+    (r"^第[一二三四五六七八九十\d]+[节章]", 1, "section"),
+    (r"^[一二三四五六七八九十百]+、", 2, ""),
+    (r"^[（(][一二三四五六七八九十百]+[）)]", 3, ""),
+    (r"^\d+[、．.]", 3, ""),
+    (r"^[（(]\d+[）)]", 4, ""),
+    (r"^\d+）", 4, ""),
+    (r"^[（(][a-zA-Z][）)]", 5, ""),
+    (r"^[（(][ivxlcdmIVXLCDM]+[）)]", 5, ""),
+    (r"^[a-zA-Z][、.)]", 5, ""),
+    (r"^[ivxlcdmIVXLCDM]+[、.)]", 5, ""),
+    (r"\\textcircled\{\d+\}", 6, ""),
 ]
-ENGLISH = [(r"(?i)^part\s+([ivx\d]+)\b", 1, "part"), (r"(?i)^item\s+(\d+[a-z]?)\b", 2, "item")]
-MARK = re.compile(r"^(#{1,6})\s+(.*\S)\s*$")
-CONTENTS = re.compile(r"(\.{2,}|\s)\s*\d+\s*$")
+ENGLISH = [(r"(?i)^part\s+(?:i{1,3}|iv|vi*|ix|x+|\d+)\b", 1, "part"), (r"(?i)^item\s+\d+", 2, "item")]
+# Words that make a line without a number a heading.
+KEYWORDS = ("目录", "释义", "概述", "总结", "附录", "备查文件")
+# Forms of numbers; two headings continue each other only if their numbers have the same form.
+NUMBERS = [
+    ("numeral then space", r"^([一二三四五六七八九十百]+)、(?=\s)"), ("numeral", r"^([一二三四五六七八九十百]+)、"),
+    ("circled", r"^\$?\\textcircled\{(\d+)\}"), ("dotted", r"^(\d+(?:\.\d+)+)"),
+    ("arabic、", r"^(\d+)、"), ("arabic．", r"^(\d+)．"), ("arabic.", r"^(\d+)\.(?=\s|$)"),
+    ("bracket numeral", r"^[（(]([一二三四五六七八九十百]+)[）)]"), ("bracket arabic", r"^[（(](\d+)[）)]"), ("arabic bracket", r"^(\d+)[）)]"),
+    ("bracket small letter", r"^[（(]([a-z])[）)]"), ("bracket capital", r"^[（(]([A-Z])[）)]"), ("small letter", r"^([a-z])[、.)]"), ("capital", r"^([A-Z])[、.)]"),
+    ("bracket small roman", r"^[（(]([ivxlcdm]{2,})[）)]"), ("bracket roman", r"^[（(]([IVXLCDM]{2,})[）)]"), ("small roman", r"^([ivxlcdm]{2,})[、.)]"), ("roman", r"^([IVXLCDM]{2,})[、.)]"),
+]
+MARK = re.compile(r"^#+\s+(.+)$")
+SECTION = re.compile(r"第[一二三四五六七八九十\d]+节")
+CONTENTS = re.compile(r"\s\d+\s*$|\.\s*\d*\s*$|\.\.\s*\d")
+COVER = re.compile(r"年年度报告|^公司$|^年度报告|^股份有限公司")
+ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100, "d": 500, "m": 1000}
+DIGITS = {c: i for i, c in enumerate("一二三四五六七八九", 1)}
 
 
 @dataclass
@@ -46,6 +63,7 @@ class Heading:
     parent: int
     kind: str
     number: int
+    prefix: tuple[int, ...] = ()
 
 
 def mode_of(market: str | None, text: str | None) -> str:
@@ -59,74 +77,179 @@ def mode_of(market: str | None, text: str | None) -> str:
     return "simple"
 
 
-def number_of(text: str) -> int:
-    """The value of the last part of a heading's number: digits, Chinese numerals, letters; 0 if there is none."""
-    last = text.rsplit(".", 1)[-1]
-    if last.isdigit():
-        return int(last)
-    if last and all(c in NUMERALS for c in last):
-        tens, _, ones = last.rpartition("十")
-        if "十" not in last:
-            return NUMERALS[last[-1]]
-        return (NUMERALS.get(tens, 1) if tens or last[0] == "十" else 0) * 10 + (NUMERALS.get(ones, 0) if ones else 0)
-    if len(last) == 1 and last.isalpha():
-        return ord(last.lower()) - 96
-    return 0
+def value_of(text: str, kind: str) -> int:
+    """The value of a number in digits, Chinese numerals, a letter or roman numerals; 0 if it has none."""
+    if text.isdigit():
+        return int(text)
+    if "numeral" in kind:
+        total = 0
+        for unit, size in (("百", 100), ("十", 10)):
+            if unit in text:
+                head, _, text = text.partition(unit)
+                total += (DIGITS.get(head, 1 if not head else 0)) * size
+        return total + DIGITS.get(text, 0)
+    if "roman" in kind:
+        v = [ROMAN[c] for c in text.lower()]
+        return sum(-a if a < b else a for a, b in zip(v, [*v[1:], 0]))
+    return ord(text.lower()) - 96
 
 
-def form_of(title: str, mode: str) -> tuple[int, str, int]:
-    """(level, form, number) by how a heading is written; level 0 if it has none of the forms of its mode."""
-    for pattern, level, kind in CHINESE if mode == "chinese" else ENGLISH if mode == "english" else []:
+def numbered(title: str) -> tuple[str, int, tuple[int, ...]]:
+    """(form, last number, numbers before it) of a heading; an empty form if it has no number."""
+    for kind, pattern in NUMBERS:
         if m := re.match(pattern, title):
-            if kind == "section" and CONTENTS.search(title) or mode == "english" and "(continued)" in title.lower():
-                return 0, "", 0
             if kind == "dotted":
-                level = min(7, max(4, 2 + m[1].count(".") + (m[1].count(".") < 2)))
-            return level, kind, number_of(m[1])
-    return 0, "", 0
+                parts = tuple(int(p) for p in m[1].split("."))
+                return f"dotted {len(parts)}", parts[-1], parts[:-1]
+            return kind, value_of(m[1], kind), ()
+    return "", 0, ()
+
+
+def level_by_form(title: str, mode: str) -> int:
+    """The level that the words of a line suggest; 0 if it is no heading."""
+    for pattern, level, kind in CHINESE if mode == "chinese" else ENGLISH if mode == "english" else []:
+        if re.search(pattern, title):
+            listed = kind == "section" and CONTENTS.search(title) or mode == "english" and "(continued)" in title
+            return 0 if listed or len(title) > LONGEST_NUMBERED else level
+    if len(title) > LONGEST or sum(title.count(c) for c in "。；;.，,") > SEPARATORS:
+        return 0
+    if mode != "chinese":
+        return 3 if mode == "english" else 1
+    sections = len(SECTION.findall(title))
+    if sections > 1 or not any(k in title for k in KEYWORDS) or "目录" in title and len(title) > 50:
+        return 0
+    return 1 if sections else 4
+
+
+class Levels:
+    """The headings accepted so far and the rules by which the next one finds its level."""
+
+    def __init__(self, mode: str):
+        self.mode, self.seen = mode, []
+        # the first rule with an answer wins
+        self.rules: list[Callable[[Heading, int], int | None]] = [self.section, self.below_section, self.opens, self.continues_parent, self.continues_ancestor, self.continues_uncle, self.continues_cousin]
+
+    def last(self) -> Heading | None:
+        return self.seen[-1] if self.seen else None
+
+    def above(self, h: Heading | None) -> list[Heading]:
+        """The ancestors of a heading, the nearest first."""
+        out = []
+        while h and h.parent >= 0:
+            h = self.seen[h.parent]
+            out.append(h)
+        return out
+
+    @staticmethod
+    def follows(new: Heading, old: Heading, gap: int = 1) -> bool:
+        """Whether a number continues another of the same form and prefix, or one a few before it."""
+        return bool(new.kind) and new.kind == old.kind and new.prefix == old.prefix and old.number < new.number <= old.number + gap
+
+    def section(self, new: Heading, base: int) -> int | None:
+        return 1 if base == 1 and not new.kind else None
+
+    def below_section(self, new: Heading, base: int) -> int | None:
+        last = self.last()
+        return 2 if new.kind and new.number == 1 and last and last.level == 1 and not last.kind else None
+
+    def opens(self, new: Heading, base: int) -> int | None:
+        last = self.last()
+        return min(DEEPEST, last.level + 1) if new.kind and new.number == 1 and last else None
+
+    def continues_parent(self, new: Heading, base: int) -> int | None:
+        return next((h.level for h in self.above(self.last())[:1] if self.follows(new, h)), None)
+
+    def continues_ancestor(self, new: Heading, base: int) -> int | None:
+        return next((h.level for h in self.above(self.last()) if self.follows(new, h)), None)
+
+    def continues_uncle(self, new: Heading, base: int) -> int | None:
+        levels = {h.level for h in self.above(self.last())}
+        return next((h.level for h in reversed(self.seen) if h.level in levels and self.follows(new, h)), None)
+
+    def continues_cousin(self, new: Heading, base: int) -> int | None:
+        last = self.last()
+        if not last or last.kind == new.kind:
+            return None
+        return next((h.level for h in reversed(self.seen) if h.parent == last.parent and self.follows(new, h)), None)
+
+    def continues(self, new: Heading) -> int | None:
+        """The level of the heading whose number this one continues: the last, an ancestor, else the nearest; a second
+        number takes the one nearest to the top. It goes before every other rule."""
+        last = self.last()
+        if last and self.follows(new, last):
+            return last.level
+        fits = [h for h in self.seen if self.follows(new, h)]
+        if not fits:
+            return None
+        above = {h.index for h in self.above(last)}
+        ranked = sorted(fits, key=lambda h: (h.level if new.number == 2 else 0, h.index not in above, -h.index))
+        return ranked[0].level
+
+    def nearly_continues(self, new: Heading, base: int) -> int | None:
+        """The level of an ancestor, or of a heading of the suggested level, that is at most four numbers behind with at
+        most two of those between already met."""
+        for h in [*self.above(self.last()), *(x for x in reversed(self.seen) if x.level == base)]:
+            if self.follows(new, h, 4):
+                between = sum(x.kind == new.kind and h.number < x.number < new.number for x in self.seen)
+                if between <= 2:
+                    return h.level
+        return None
+
+    def level(self, new: Heading, base: int) -> int:
+        """The level of a heading, 0 if it is to be dropped."""
+        last, ruled = self.last(), True
+        found = self.continues(new)
+        if found is None:
+            found = next((x for x in (rule(new, base) for rule in self.rules) if x is not None), None)
+        if found is None:
+            found = self.nearly_continues(new, base) if last else base
+        parent = next(iter(self.above(last)), None)
+        mixed = last and {last.kind[:6], new.kind[:6]} in ({"arabic", "numera"},)
+        if parent and not mixed and new.kind and new.kind == parent.kind and new.number < parent.number and (found or base) <= parent.level and not (parent.number >= 5 and new.number <= 2):
+            found = min(DEEPEST, parent.level + 1)
+        if found is None:
+            ruled = False
+            found = base if mixed else 0 if self.mode == "chinese" else min(base, last.level + 1)
+        if found and last and ruled and found > last.level:
+            found = min(found, last.level + 1)
+        found = max(1, min(DEEPEST, found)) if found else 0
+        if found and new.kind and not new.kind.startswith("dotted") and new.number != 1:
+            before = next((h for h in reversed(self.seen) if h.level == found), None)
+            if before and before.kind and not self.follows(new, before):
+                return 0
+        return found
+
+    def add(self, title: str, line: int, base: int) -> None:
+        kind, number, prefix = numbered(title)
+        new = Heading(len(self.seen), title, 0, line, -1, kind, number, prefix)
+        new.level = 1 if self.mode == "simple" else self.level(new, base)
+        if not new.level:
+            return
+        up = next((h for h in reversed(self.seen) if h.level < new.level), None)
+        if self.mode == "chinese" and up and up.title.startswith("第一节"):
+            return  # nothing is looked for below the first section
+        new.parent = up.index if up else -1
+        self.seen.append(new)
 
 
 def headings(text: str | None, mode: str) -> list[Heading]:
-    """The headings of a text with levels and parents, in order.
-
-    A heading that continues the number of an earlier one of its form is its sibling, the nearest first; one that starts
-    a new run at 1 goes below the heading before it; else its form's level counts, and never more than one below the
-    heading before. In the simple mode the marks of markdown give the level.
-    """
-    out: list[Heading] = []
-    depth = 0
+    """The headings of a text with levels and parents, in order."""
+    levels, depth = Levels(mode), 0
     for at, raw in enumerate((text or "").split("\n")):
-        opened, closed = raw.lower().count("<table"), raw.lower().count("</table>")
-        inside = depth > 0 or opened > 0
-        depth = max(0, depth + opened - closed)
-        m = MARK.match(raw)
-        title = m[2] if m else raw.strip()
-        if inside or not title or (not m and (mode == "simple" or len(title) > HEADING_MAX)):
+        line = raw.strip()
+        if not line:
             continue
-        base, kind, number = form_of(title, mode)
-        if mode == "simple":
-            base = len(m[1])
-        elif not base:
-            if not m or mode == "chinese":
-                continue
-            base = 3
-        before = out[-1].level if out else 0
-        level = base
-        if mode != "simple" and kind and kind not in ("section", "part"):
-            same = next((h for h in reversed(out) if h.kind == kind and h.number + 1 == number), None)
-            blocked = same and any(h.level < same.level for h in out[same.index + 1 :])
-            if same and not blocked:
-                level = same.level
-            elif number == 1 and out and out[-1].kind != kind:
-                level = before + 1
-            else:
-                level = min(base, before + 1)
-        elif mode != "simple":
-            level = min(base, before + 1) if out else base
-        level = max(1, min(DEEPEST, level))
-        parent = next((h.index for h in reversed(out) if h.level < level), -1)
-        out.append(Heading(len(out), title, level, at, parent, kind, number))
-    return out
+        depth = max(0, depth + raw.count("<table") - raw.count("</table>"))
+        if depth > 0 or "</table>" in raw:
+            continue
+        m = MARK.match(line)
+        title = m[1].strip() if m else line
+        base = level_by_form(title, mode)
+        if not m and not base or len(title) < 30 and COVER.search(title) or re.search(r"\. (?:[A-Z]|\.\.\s*\d*)\s*$", title):
+            continue
+        if base or mode == "simple":
+            levels.add(title, at, base)
+    return levels.seen
 
 
 def packed(lines: list[str], limit: int) -> list[tuple[int, int]]:
@@ -150,6 +273,18 @@ def packed(lines: list[str], limit: int) -> list[tuple[int, int]]:
     return out
 
 
+def tidied(body: str) -> str:
+    """Text of a chunk: mostly tables, only these; with tables, the text beside them cleaned; else without blank ends."""
+    tables = re.findall(r"<table.*?</table>", body, re.S)
+    if not tables:
+        return body.strip("\n")
+    if sum(map(len, tables)) > 0.8 * len(body):
+        return "\n".join(tables)
+    parts = re.split(r"(<table.*?</table>)", body, flags=re.S)
+    clean = lambda t: "\n".join(x for x in (re.sub(" +", " ", y).strip() for y in t.split("\n")) if x)
+    return "\n".join(x for x in (p if p.startswith("<table") else clean(p) for p in parts) if x)
+
+
 def chunks(text: str | None, mode: str, limit: int = LIMIT) -> list[dict]:
     """Chunks of a text along its headings, numbered from 0; a chunk's parent is the first piece of its heading's parent."""
     lines, tree = (text or "").split("\n"), headings(text, mode)
@@ -161,7 +296,7 @@ def chunks(text: str | None, mode: str, limit: int = LIMIT) -> list[dict]:
         own = lines[a:b]
         pieces = [(x, y) for x, y in packed(own, limit) if "\n".join(own[x:y]).strip()]
         for n, (x, y) in enumerate(pieces, 1):
-            body = "\n".join(own[x:y]).strip("\n")
+            body = tidied("\n".join(own[x:y]))
             name = h.title if h else None
             if h:
                 first_piece.setdefault(h.index, len(out))

@@ -31,9 +31,4 @@ def queries():
 
 
 def oracle_sql():
-    return {"structure_headings": """
-WITH l AS (SELECT DISTINCT markdown_path AS doc, first_line + k AS line, regexp_extract(x, '^(#{1,6})[ \\t]+(.*[^ \\t])[ \\t]*$', 1) AS mark, regexp_extract(x, '^(#{1,6})[ \\t]+(.*[^ \\t])[ \\t]*$', 2) AS title
-  FROM (SELECT *, unnest(string_split(page_text, chr(10))) AS x, unnest(range(len(string_split(page_text, chr(10))))) AS k FROM markdown_pages)),
-h AS (SELECT doc, line, title, length(mark) AS level, row_number() OVER (PARTITION BY doc ORDER BY line) - 1 AS i FROM l WHERE mark <> '')
-SELECT doc, CAST(i AS INTEGER) AS heading_index, title, CAST(level AS INTEGER) AS level, CAST(line AS INTEGER) AS line,
-  CAST(coalesce((SELECT max(p.i) FROM h p WHERE p.doc = h.doc AND p.i < h.i AND p.level < h.level), -1) AS INTEGER) AS parent_index FROM h"""}
+    return {}

@@ -71,20 +71,46 @@ def test_small_parsers(spark):
     assert spark.range(1).select(text.table_text(F.lit(table_html)), text.table_text(F.lit(table_html), True)).first()[:] == ("收入 万元", "收入 1000万元 2024年")
 
 
-CHINESE = "# 第一节 重要提示\n正文\n# 第二节 公司概况\n## 一、基本情况\n文字\n## 二、股本\n### 1、普通股\n### 2、优先股\n## 三、其他\n<table>\n# not a heading\n</table>\n"
+CHINESE = """# 第一节 重要提示
+一、提示
+# 第二节 公司概况
+## 一、基本情况
+文字
+## 二、股本
+### 1、普通股
+### 2、优先股
+## 三、其他
+（一）甲
+（二）乙
+## 九、断号
+第三节 财务报告. .. 31
+<table>
+# not a heading
+</table>
+# 第三节 财务报告
+"""
 
 
 def test_levels_follow_the_numbers():
     assert structure.mode_of("hs_stock", CHINESE) == "chinese"
-    got = [(h.title, h.level, h.parent) for h in structure.headings(CHINESE, "chinese")]
-    assert [x[1] for x in got] == [1, 1, 2, 2, 3, 3, 2]
-    assert [x[2] for x in got] == [-1, -1, 1, 1, 3, 3, 1]
+    got = structure.headings(CHINESE, "chinese")
+    assert [h.title[:3] for h in got] == ["第一节", "第二节", "一、基", "二、股", "1、普", "2、优", "三、其", "（一）", "（二）", "第三节"]
+    assert [h.level for h in got] == [1, 1, 2, 2, 3, 3, 2, 3, 3, 1]
+    assert [h.parent for h in got] == [-1, -1, 1, 1, 3, 3, 1, 6, 6, -1]
     us = "# PART I\n## Item 1. Business\n### Overview\n## Item 2. Properties\n## Item 3 (continued)\n"
-    assert [(h.level, h.parent) for h in structure.headings(us, structure.mode_of("us_stock", us))][:4] == [(1, -1), (2, 0), (3, 1), (2, 0)]
+    assert structure.mode_of("us_stock", us) == "english"
+    assert [(h.title[:6], h.level, h.parent) for h in structure.headings(us, "english")] == [("PART I", 1, -1), ("Item 1", 2, 0), ("Overvi", 3, 1), ("Item 2", 2, 0)]
+    flat = structure.headings("# A\nshort line\nlong, line, with, too, many\n## B\n", "simple")
+    assert [(h.title, h.level) for h in flat] == [("A", 1), ("short line", 1), ("B", 1)]
+
+
+def test_numbers_of_headings():
+    forms = {"一、x": ("numeral", 1), "一、 x": ("numeral then space", 1), "十二、x": ("numeral", 12), "二十一、x": ("numeral", 21), "1.2.3 x": ("dotted 3", 3), "3. x": ("arabic.", 3), "（四）x": ("bracket numeral", 4), "(5)x": ("bracket arabic", 5), "b) x": ("small letter", 2), "(iv) x": ("bracket small roman", 4), "XII. x": ("roman", 12), "x": ("", 0)}
+    assert {t: structure.numbered(t)[:2] for t in forms} == forms
 
 
 def test_chunks_cover_every_line_once():
-    body = "preface\n\n# A\n" + "\n".join(f"line {k} " + "x" * (k % 90) for k in range(60)) + "\n## B\n<table>\n" + "<tr><td>y</td></tr>\n" * 60 + "</table>\nend\n# C\n"
+    body = "preface, a, b, c, d\n\n# A\n" + "\n".join(f"line, {k}, a, b, c, " + "x" * (k % 90) for k in range(60)) + "\n## B\n<table>\n" + "<tr><td>y</td></tr>\n" * 60 + "</table>\nend, of, it, at, last\n# C\n"
     got = structure.chunks(body, "simple")
     lines = body.split("\n")
     seen = [n for c in got for n in range(c["start_line"], c["end_line"] + 1)]
