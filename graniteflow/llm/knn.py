@@ -11,7 +11,7 @@ queries are split into blocks, each pair of which is one unit of work; equal vec
 searched once and offers only its k + 1 smallest ids, which are all that can be among anyone's first k, so copies
 cannot heat a list; a unit returns at most k + 1 rows a query.
 
-Defined results: null, short, long, all-zero and non-finite vectors and those without a group are not usable and come
+Defined results: null, short, long, all-zero and non-finite vectors and those without a group or an id are not usable and come
 out nowhere; of several rows of one id the caller passes the current one; ties of similarity go to the smaller id;
 a group with fewer than k + 1 vectors gives what it has; an empty table gives an empty result.
 """
@@ -55,7 +55,7 @@ def rotated(vectors: DataFrame) -> DataFrame:
                 x = (x / np.linalg.norm(x, axis=1, keepdims=True)) @ ROTATION
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), column_of(x.astype(np.float32))], ["id", "grp", "vec"])
 
-    plain = vectors.where(usable(F.col("embedding")) & F.col("grp").isNotNull()).select("id", "grp", "embedding")
+    plain = vectors.where(usable(F.col("embedding")) & F.col("grp").isNotNull() & F.col("id").isNotNull()).select("id", "grp", "embedding")
     return plain.mapInArrow(run, "id string, grp string, vec binary").withColumn("cls", F.xxhash64("grp", "vec"))
 
 

@@ -14,7 +14,7 @@ bound, and the exact word sets decide at the end.
 Scale: equal word sets are one class and only classes are searched, so copies cost nothing; a shard above ``hot``
 members is split into blocks, one task for each pair of blocks, and none is dropped; partitions hold fixed-width rows.
 
-Defined results: texts with fewer than ``min_words`` words, null and empty texts are in no pair; repeated rows of an
+Defined results: texts with fewer than ``min_words`` words, null and empty texts and rows without id are in no pair; repeated rows of an
 id were resolved before; equal texts of different ids are pairs. An empty table gives an empty result.
 """
 
@@ -192,7 +192,7 @@ def word_sets(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 cls.append(xxhash.xxh3_64_intdigest(data) - (1 << 63))
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(cls, pa.int64()), pa.array(sets, pa.binary())], ["id", "cls", "words"])
 
-    return texts.select("id", "text").mapInArrow(run, "id string, cls bigint, words binary")
+    return texts.where("id IS NOT NULL").select("id", "text").mapInArrow(run, "id string, cls bigint, words binary")
 
 
 def banded(classes: DataFrame, bands: int, rows: int) -> DataFrame:

@@ -32,7 +32,7 @@ from graniteflow.llm.tokens import BYTE_BPE_50K, merger
 
 CAPACITY, MAX_SOURCES, GROUP_SIZE = 2048, 4, 8192
 PLAIN = re.compile(r"[\W_]+")
-SCHEMA = "container_id string, doc_id bigint, part_no int, first_token int, n_tokens int, source string, cluster string"
+SCHEMA = "container_id string, doc_id string, part_no int, first_token int, n_tokens int, source string, cluster string"
 
 
 def best_fit(items: list[tuple[int, int, int]], capacity: int, max_sources: int) -> list[int]:
@@ -78,7 +78,7 @@ def pack_group(pdf: pd.DataFrame, capacity: int = CAPACITY, max_sources: int = M
         full += [(doc, k, k * capacity, capacity, source, cluster) for k in range(parts)]
         if n % capacity:
             rows.append((doc, parts, parts * capacity, n % capacity, source, cluster))
-    rows.sort(key=lambda r: (-r[3], r[0] is None, r[0], r[1]))
+    rows.sort(key=lambda r: (-r[3], r[0] or "", r[1]))
     source_bit = {s: k for k, s in enumerate(dict.fromkeys(r[4] for r in rows))}
     many = [c for c, k in Counter(r[5] for r in rows).items() if k > 1]
     cluster_bit = {c: k for k, c in enumerate(many)}
@@ -107,7 +107,8 @@ def sized(docs: DataFrame, path: str = BYTE_BPE_50K, step: int = 512) -> DataFra
 def pack(docs: DataFrame, capacity: int = CAPACITY, max_sources: int = MAX_SOURCES, group_size: int = GROUP_SIZE, path: str = BYTE_BPE_50K) -> DataFrame:
     """The content of every container, one row per part of a document."""
     groups = max(1, -(-docs.count() // group_size))  # a count answered by the file footers
-    items = sized(docs, path).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "cluster", "n_tokens"), F.lit(groups)).cast("int"))
+    # ids pass through pandas as text, which keeps null and large ones as they are
+    items = sized(docs, path).withColumn("doc_id", F.col("doc_id").cast("string")).withColumn("bucket", F.pmod(F.xxhash64("doc_id", "cluster", "n_tokens"), F.lit(groups)).cast("int"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         none = pdf[pdf["n_tokens"] == 0]
@@ -115,4 +116,4 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, max_sources: int = MAX_SOURC
         rest = none.assign(container_id=None, part_no=0, first_token=0)[["container_id", "doc_id", "part_no", "first_token", "n_tokens", "source", "cluster"]]
         return rest if out is None else out if rest.empty else pd.concat([out, rest], ignore_index=True)
 
-    return items.groupBy("bucket").applyInPandas(run, SCHEMA)
+    return items.groupBy("bucket").applyInPandas(run, SCHEMA).withColumn("doc_id", F.col("doc_id").cast("bigint"))

@@ -15,6 +15,7 @@ def clustered(n=260, seed=2):
 
 def brute(rows, k, floor):
     out = {}
+    rows = [r for r in rows if r[0]]
     good = [(i, g, np.array(e, np.float32).astype(float)) for i, g, e, *_ in rows if g and e is not None and len(e) == knn.DIM and np.isfinite(e).all() and np.any(e)]
     for i, g, e in good:
         sims = sorted((-round(float(e @ f / np.linalg.norm(e) / np.linalg.norm(f)), 5), j) for j, h, f in good if h == g and j != i)
@@ -24,7 +25,7 @@ def brute(rows, k, floor):
 
 def test_recall_and_groups(spark):
     rows = [(f"v{k:03d}", "ab"[k % 2], [float(x) for x in v], 1) for k, v in enumerate(clustered())]
-    rows += [("bad1", "a", None, 1), ("bad2", "a", [1.0], 1), ("bad3", "a", [0.0] * knn.DIM, 1), ("bad4", "a", [float("nan")] + [1.0] * (knn.DIM - 1), 1), ("bad5", None, [1.0] * knn.DIM, 1)]
+    rows += [("bad1", "a", None, 1), ("bad2", "a", [1.0], 1), ("bad3", "a", [0.0] * knn.DIM, 1), ("bad4", "a", [float("nan")] + [1.0] * (knn.DIM - 1), 1), ("bad5", None, [1.0] * knn.DIM, 1), (None, "a", rows[0][2], 1)]
     d = spark.createDataFrame(rows, SCHEMA)
     for floor, least in ((0.85, 0.99), (None, 0.9)):
         for block in (knn.BLOCK, 9):

@@ -34,7 +34,7 @@ def test_pairs_are_those_of_brute_force(spark, hot):
     rows = corpus()
     same = " ".join(f"copy{k}" for k in range(70))
     rows += [(f"x{k:02d}", same) for k in range(12)] + [("short", "too few words"), ("none", None), ("empty", ""), ("upper", same.upper())]
-    d = spark.createDataFrame([(i, t, 1, b"c") for i, t in rows], "id string, text string, cls int, words binary")
+    d = spark.createDataFrame([(i, t, 1, b"c") for i, t in [*rows, (None, same)]], "id string, text string, cls int, words binary")
     got = [tuple(r) for r in neardup.near_copies(d, hot=hot, bands=60).collect()]
     assert len(got) == len(set(got)) and set(got) == brute(rows)
     assert neardup.near_copies(d.limit(0)).count() == 0

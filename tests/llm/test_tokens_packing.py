@@ -54,12 +54,13 @@ def test_containers(spark):
     words = ["alpha", "beta", "gamma", "delta"]
     rows = [(k, rng.choice("abcdef"), " ".join(rng.choice(words) for _ in range(rng.randrange(1, 60)))) for k in range(400)]
     rows += [(1000 + k, "a", "the very same text in every copy") for k in range(150)]  # a hot cluster
-    rows += [(2000, "b", "long " * 500), (2001, None, None), (2002, "c", ""), (2003, None, "no source")]
+    rows += [(2000, "b", "long " * 500), (2001, None, None), (2002, "c", ""), (2003, None, "no source"), (None, "a", "no id"), (None, "a", "no id")]
     d = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
     out = packing.pack(d, capacity=100, max_sources=2, group_size=200).toPandas()
     m = tokens.merger(tokens.BYTE_BPE_50K)
     sizes = out.groupby("doc_id")["n_tokens"].sum().to_dict()
-    assert sizes == {r[0]: m.count(r[2]) for r in rows}
+    assert sizes == {r[0]: m.count(r[2]) for r in rows if r[0] is not None}
+    assert out["doc_id"].isna().sum() == 2
     held = out[out["container_id"].notna()]
     by = held.groupby("container_id")
     assert by["n_tokens"].sum().max() <= 100
