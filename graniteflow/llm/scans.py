@@ -392,8 +392,12 @@ def candidates(vocabulary: DataFrame, queries: DataFrame) -> DataFrame:
     asked = queries.select(F.col("word").alias("seen"), F.col("n").alias("n_seen"), F.explode(every("word")).alias("gram"))
     rarest = Window.partitionBy("seen").orderBy("size", "gram")
     kept = asked.join(size, "gram").withColumn("rn", F.row_number().over(rarest)).where(F.col("rn") <= 2 * (GRAM + 1) + 1)
-    met = kept.join(postings, "gram").where("seen <> word AND abs(length(seen) - length(word)) <= 2 AND n_word > n_seen")
-    return met.groupBy("seen", "word").agg(F.first("n_seen").alias("n_seen"), F.first("n_word").alias("n_word"))
+    # a gram meets many words, so the pairs are many times their inputs: partitions are not merged by the inputs' sizes
+    parts = int(vocabulary.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = kept.repartition(parts, "gram").join(postings.repartition(parts, "gram"), "gram")
+    fit = met.where("seen <> word AND abs(length(seen) - length(word)) <= 2 AND n_word > n_seen")
+    once = fit.groupBy("seen", "word").agg(F.first("n_seen").alias("n_seen"), F.first("n_word").alias("n_word"))
+    return once.where(F.levenshtein("seen", "word", 4) >= 0)  # two confusions are at most four edits
 
 
 def replacements(vocabulary: DataFrame, queries: DataFrame, ranker: Boosted) -> DataFrame:
