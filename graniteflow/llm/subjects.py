@@ -5,7 +5,7 @@ scripts without spaces), trained on weak labels. A label names the subject of a
 sentences are about it and some labels are wrong; so only n-grams whose use is shown to lean to one subject are
 columns, and a sentence keeps the label it inherits only where one of them bears it out. Labelled passages come from
 the example table and, for words that it lacks, from a bounded sample of documents, labelled by the subject that the
-model so far finds in them and in no small part another, or by none; there are no addresses with subjects in these
+model so far finds in them and in no small part another, or by none where their sentences do not look open either; there are no addresses with subjects in these
 tables, so this stands for them. The threshold of every subject is calibrated on held-out passages.
 
 A document has a subject when at least ``SHARE`` of its sentences are about it; headings and tables do not count.
@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 HASH_BITS, EXAMPLES, SAMPLE, SHARE, SEED = 20, 20_000, 3000, 0.25, 4
 ROUNDS, PENALTY, POSITIVE = 60, 2e-6, 6.0
-PURE_FEW, PURE, NEUTRAL, LABELLED = 0.4, 0.5, 0.1, 0.2
+PURE_FEW, PURE, NEUTRAL, LABELLED, FRAME = 0.4, 0.5, 0.1, 0.2, 20
 MARKUP = re.compile(r"<[^<>\n]{1,80}>")
 TABLE = re.compile(r"<table\b.*?</table>", re.S | re.I)
 END = re.compile(r"(?<=[。！？])|(?<=[.!?])[\"')\]]*\s+(?=[\"'(\[]*[^\W\d_a-z]|\d)", re.M)
@@ -215,6 +215,13 @@ class Model:
         self.memory[gram] = row
         return row
 
+    def scores_of(self, slots: list[list[int]]) -> np.ndarray:
+        """Score above the threshold of sentences given by the slots of their n-grams."""
+        none, get = len(self.rows), self.rows.get
+        flat = [[none, *(r for s in own if (r := get(s)) is not None)] for own in slots]
+        starts = np.r_[0, np.cumsum([len(x) for x in flat[:-1]])].astype(np.int64)
+        return np.add.reduceat(self.weights[np.array(list(itertools.chain.from_iterable(flat)))], starts, axis=0) + self.bias - self.cut
+
     def scores(self, sents: list[str]) -> np.ndarray:
         """Score above the threshold (sentences x subjects)."""
         none, get, place = len(self.rows), self.memory.get, self.place
@@ -272,24 +279,51 @@ def train(examples: list[tuple[str, str]], texts: list[str] = (), rounds: int =
     w, small = refined(x, label[owner], owner, len(subjects))
     model = Model(subjects, small.used, w, at)
     lists = [own for t in texts if len(own := sentences(t)) >= 3] if rounds else []
-    for _ in range(rounds if lists else 0):
-        more: dict[str, int] = {}  # a sentence counts once, however many copies of its text there are
-        for own in lists:
-            hit = (model.scores(own) >= 0).mean(axis=0)
-            if hit.max() < NEUTRAL:
-                more |= dict.fromkeys(own, len(subjects))
-            elif hit.max() >= LABELLED and (len(hit) < 2 or np.sort(hit)[-2] < NEUTRAL):
-                more |= dict.fromkeys(own, int(hit.argmax()))
-        if not more:
+    if not lists:
+        return model
+    flat = [s for own in lists for s in own]
+    doc = np.repeat(np.arange(len(lists)), [len(own) for own in lists])
+    slots = [list({slot(g) for g in grams(s)}) for s in flat]
+    for _ in range(rounds):
+        named = labels_of(model.scores_of(slots) >= 0, slots, doc, len(lists))
+        kept: dict[str, int] = {}  # a sentence counts once, however many copies of its text there are
+        for k in np.flatnonzero(named[doc] >= 0):
+            kept.setdefault(flat[k], k)
+        rows = list(kept.values())
+        if not rows:
             break
-        slots = [list({slot(g) for g in grams(s)}) for s in more]
-        x = Design(sents + slots, 3)
-        unit = np.r_[owner, len(label) + np.arange(len(slots))]
-        w, small = refined(x, np.r_[label[owner], np.fromiter(more.values(), np.int64)], unit, len(subjects), PURE)
+        x = Design(sents + [slots[k] for k in rows], 3)
+        unit = np.r_[owner, len(label) + np.arange(len(rows))]
+        w, small = refined(x, np.r_[label[owner], named[doc[rows]]], unit, len(subjects), PURE)
         model = Model(subjects, small.used, w, at)
     return model
 
 
+def labels_of(hits: np.ndarray, slots: list[list[int]], doc: np.ndarray, docs: int) -> np.ndarray:
+    """The subject that stands out in each text, their number for texts of no subject, -1 where that cannot be told.
+
+    A sentence without a subject is open, not neutral, where its n-grams are mostly met in sentences with one: it may be
+    about something for which words are still missing. Texts with many open sentences are never taken as neutral, and
+    they take a subject that is the only one found in them.
+    """
+    some = hits.any(axis=1)
+    sizes = [len(x) for x in slots]
+    row = np.repeat(np.arange(len(slots)), sizes)
+    _, place, n = np.unique(np.fromiter(itertools.chain.from_iterable(slots), np.int64, sum(sizes)), return_inverse=True, return_counts=True)
+    frame = (n >= FRAME) & (np.bincount(place, some[row], len(n)) >= 0.8 * n)
+    still_open = ~some & (np.bincount(row, frame[place], len(slots)) >= 2)
+    total = np.bincount(doc, minlength=docs)
+    share = np.stack([np.bincount(doc, hits[:, k], docs) / total for k in range(hits.shape[1])], axis=1)
+    opened = np.bincount(doc, still_open, docs) / total
+    first = share.max(axis=1)
+    second = np.sort(share, axis=1)[:, -2] if hits.shape[1] > 1 else np.zeros(docs)
+    out = np.full(docs, -1)
+    out[(first < NEUTRAL) & (opened < NEUTRAL)] = hits.shape[1]
+    clear = (second < NEUTRAL) & ((first >= LABELLED) | (first > 0) & (second == 0) & (opened >= LABELLED))
+    out[clear] = share[clear].argmax(axis=1)
+    return out
+
+
 def subjects_of(docs: DataFrame, examples: DataFrame) -> DataFrame:
     """(doc_id, subject) of the documents (doc_id, text), with a model fitted on the examples (text, subject)."""
     labelled = examples.where("text IS NOT NULL AND subject IS NOT NULL").select("text", "subject").orderBy(F.xxhash64("text"), "subject").limit(EXAMPLES).collect()
