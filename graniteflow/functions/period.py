@@ -55,10 +55,46 @@ def title_quarter(title: Column) -> Column:
     return F.coalesce(*named, F.when(month.between(1, 12), F.concat(F.lit("Q"), F.ceil(month / 3).cast("string"))))
 
 
-def title_year(title: Column) -> Column:
-    """The year that a title names: the last of a span, else the first of this century in it."""
-    span = F.regexp_extract(title, "(20[0-9]{2})[-/](20[0-9]{2})", 2)
-    return F.coalesce(F.nullif(span, F.lit("")), F.nullif(F.regexp_extract(title, "(20[0-9]{2})", 1), F.lit(""))).cast("int")
+def by_numeral(text: Column) -> Column:
+    """Digits written as Chinese numerals, as digits."""
+    return F.translate(text, "〇零一二三四五六七八九", "00123456789")
+
+
+def fiscal_year_of(year: Column, month: Column, annual: Column) -> Column:
+    """The fiscal year of a period that ends in a month: an annual one that ends by June belongs to the year before."""
+    return F.when(annual & (month <= 6), year - 1).otherwise(year)
+
+
+def title_year(title: Column, released: Column | None = None) -> Column:
+    """The fiscal year that a title names, the first of: a period's end in digits, one in numerals, a span of years (its
+    first), a year marked as such, one in numerals, any of this century; else that of the release, the year before up to April.
+    """
+    bare = F.regexp_replace(title, "<[^>]+>", "")
+    found = lambda pattern, group=1: F.nullif(F.regexp_extract(bare, pattern, group), F.lit(""))
+    annual = F.lower(bare).rlike("年报|年報|年度|annual")
+    end = "截至.*?([0-9]{4})年([0-9]{1,2})月"
+    ended = fiscal_year_of(found(end).cast("int"), found(end, 2).cast("int"), annual)
+    spelled = F.concat(F.lit("20"), by_numeral(found("二[零〇]([零〇一二三四五六七八九]{2})")))
+    marks = [found("([0-9]{4})[-/][0-9]{4}"), found("([0-9]{4})[-/][0-9]{2}(?![0-9])"), found("([0-9]{4})年"), spelled, found("(20[0-9]{2})")]
+    out = F.coalesce(ended, *(m.cast("int") for m in marks))
+    return out if released is None else F.coalesce(out, F.when(F.month(released) <= 4, F.year(released) - 1).otherwise(F.year(released)))
+
+
+def title_period_end(title: Column) -> Column:
+    """The last day of the period that a title reports on; the last of its month where it names none, 28 in February."""
+    bare = F.regexp_replace(title, "<[^>]+>", "")
+    part = lambda g: F.nullif(F.regexp_extract(bare, "截至.*?([0-9]{4})年([0-9]{1,2})月(?:([0-9]{1,2})日)?", g), F.lit(""))
+    month = part(2).cast("int")
+    last = F.when(month == 2, 28).when(month.isin(4, 6, 9, 11), 30).otherwise(31)
+    return F.try_to_timestamp(F.concat_ws("-", part(1), part(2), F.coalesce(part(3).cast("int"), last)), F.lit("yyyy-M-d")).cast("date")
+
+
+def search_windows(year: Column, quarter: Column) -> Column:
+    """Spans of days in which a report of a quarter is looked for: its year, or for the fourth its end and the half year after."""
+    span = lambda a, b: F.struct(F.to_date(a).alias("first"), F.to_date(b).alias("last"))
+    y, n = year.cast("string"), (year + 1).cast("string")
+    late = F.array(span(F.concat(y, F.lit("-10-01")), F.concat(y, F.lit("-12-31"))), span(F.concat(n, F.lit("-01-01")), F.concat(n, F.lit("-06-30"))))
+    return F.when(quarter == 4, late).otherwise(F.array(span(F.concat(y, F.lit("-01-01")), F.concat(y, F.lit("-12-31")))))
 
 
 def to_ms(text: Column) -> Column:

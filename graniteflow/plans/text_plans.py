@@ -138,7 +138,7 @@ def fiscal_periods(spark, sf):
     return rows.select("o_orderkey", year.cast("int").alias("fiscal_year"), quarter.cast("int").alias("fiscal_quarter"))
 
 
-TITLES = ["2023 Annual Report", "Interim Report 2022", "First Quarter Results 2021", "二零二三年第三季度报告 2023", "截至2022年9月30日止九个月业绩", "截至2021年11月止业绩", "2022-2023 results", "Circular"]
+TITLES = ["2023 Annual Report", "Interim Report 2022", "First Quarter Results 2021", "二零二三年第三季度报告 2023", "截至2022年9月30日止九个月业绩", "截至2021年11月止业绩", "2022-2023 results", "截至2023年3月31日止年度年報", "二零二一年年報", "Circular"]
 TITLE_ROWS = " UNION ALL ".join(f"SELECT '{t}' AS title" for t in TITLES)
 QUARTER_CASES = " ".join(f"WHEN regexp_matches(lower(title), '{'|'.join(w)}') THEN '{q}'" for q, w in period.QUARTER_WORDS.items())
 
@@ -146,7 +146,11 @@ QUARTER_CASES = " ".join(f"WHEN regexp_matches(lower(title), '{'|'.join(w)}') TH
 @query("title_periods", f"""
 SELECT title, CASE {QUARTER_CASES} WHEN TRY_CAST(regexp_extract(title, '截至.*?([0-9]{{4}})年([0-9]{{1,2}})月', 2) AS INTEGER) BETWEEN 1 AND 12
   THEN 'Q' || CAST(CAST(ceil(TRY_CAST(regexp_extract(title, '截至.*?([0-9]{{4}})年([0-9]{{1,2}})月', 2) AS INTEGER) / 3) AS INTEGER) AS VARCHAR) END AS quarter,
-  CAST(coalesce(nullif(regexp_extract(title, '(20[0-9]{{2}})[-/](20[0-9]{{2}})', 2), ''), nullif(regexp_extract(title, '(20[0-9]{{2}})', 1), '')) AS INTEGER) AS year FROM ({TITLE_ROWS})""")
+  CAST(coalesce(TRY_CAST(regexp_extract(title, '截至.*?([0-9]{{4}})年([0-9]{{1,2}})月', 1) AS INTEGER)
+      - CASE WHEN TRY_CAST(regexp_extract(title, '截至.*?([0-9]{{4}})年([0-9]{{1,2}})月', 2) AS INTEGER) <= 6 AND regexp_matches(lower(title), '年报|年報|年度|annual') THEN 1 ELSE 0 END,
+    TRY_CAST(regexp_extract(title, '([0-9]{{4}})[-/][0-9]{{4}}', 1) AS INTEGER), TRY_CAST(regexp_extract(title, '([0-9]{{4}})年', 1) AS INTEGER),
+    2000 + TRY_CAST(translate(nullif(regexp_extract(title, '二[零〇]([零〇一二三四五六七八九]{{2}})', 1), ''), '〇零一二三四五六七八九', '00123456789') AS INTEGER),
+    TRY_CAST(regexp_extract(title, '(20[0-9]{{2}})', 1) AS INTEGER)) AS INTEGER) AS year FROM ({TITLE_ROWS})""")
 def title_periods(spark, sf):
     """Quarters and years that titles name."""
     t = spark.createDataFrame([(x,) for x in TITLES], "title string")
