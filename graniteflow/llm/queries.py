@@ -15,21 +15,24 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def current_texts(spark: SparkSession, sf_dir: str, least: int = 0) -> DataFrame:
-    """(id, text) of the current chunks; a text shorter than ``least`` characters is null, so only its row moves."""
+    """(id, text) of the current chunks; a text that cannot have ``least`` distinct words is null, so only its row moves.
+
+    The runs of letters and digits are counted by their separators, which is never less than the distinct words.
+    """
     chunks = table(spark, sf_dir, "document_chunks", "id", "chunk_text", "ingested_at")
-    text = F.when(F.length("chunk_text") >= least, F.col("chunk_text")).alias("text")
+    runs = F.size(F.split(F.lower("chunk_text"), "[^a-z0-9]+"))
+    text = F.when((F.length("chunk_text") >= least) & (runs >= least), F.col("chunk_text")).alias("text")
     return current_chunks(chunks, text).where("text IS NOT NULL").select("id", "text")
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of chunks sharing at least 7/10 of their words."""
-    # 50 distinct words of a-z and 0-9 with a separator between them take at least 113 characters
-    return neardup.near_copies(current_texts(spark, sf_dir, 113))
+    return neardup.near_copies(current_texts(spark, sf_dir, neardup.MIN_WORDS))
 
 
 def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of near copies of every chunk with enough words and its number of links."""
-    return neardup.groups(current_texts(spark, sf_dir, 113))
+    return neardup.groups(current_texts(spark, sf_dir, neardup.MIN_WORDS))
 
 
 def long_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
