@@ -15,24 +15,24 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def current_texts(spark: SparkSession, sf_dir: str, least: int = 0) -> DataFrame:
-    """(id, text) of the current chunks; a text that cannot have ``least`` distinct words is null, so only its row moves.
-
-    The runs of letters and digits are counted by their separators, which is never less than the distinct words.
-    """
+    """(id, text) of the current chunks; a text shorter than ``least`` characters is null, so only its row moves."""
     chunks = table(spark, sf_dir, "document_chunks", "id", "chunk_text", "ingested_at")
-    runs = F.size(F.split(F.lower("chunk_text"), "[^a-z0-9]+"))
-    text = F.when((F.length("chunk_text") >= least) & (runs >= least), F.col("chunk_text")).alias("text")
+    text = F.when(F.length("chunk_text") >= least, F.col("chunk_text")).alias("text")
     return current_chunks(chunks, text).where("text IS NOT NULL").select("id", "text")
 
 
+# 50 distinct words of a-z and 0-9 with a separator between them take at least 113 characters
+WORDY = 113
+
+
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of chunks sharing at least 7/10 of their words."""
-    return neardup.near_copies(current_texts(spark, sf_dir, neardup.MIN_WORDS))
+    return neardup.near_copies(current_texts(spark, sf_dir, WORDY))
 
 
 def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of near copies of every chunk with enough words and its number of links."""
-    return neardup.groups(current_texts(spark, sf_dir, neardup.MIN_WORDS))
+    return neardup.groups(current_texts(spark, sf_dir, WORDY))
 
 
 def long_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -131,5 +131,25 @@ FROM most GROUP BY id
 """
 
 
+P1_FOUND_SQL = """
+WITH cur AS (SELECT arg_max(id, ingested_at) AS id, arg_max(coalesce(chunk_text, ''), ingested_at) AS body FROM document_chunks GROUP BY lower(trim(id))),
+w AS (SELECT id, unnest(list_distinct(regexp_extract_all(lower(body), '[a-z0-9]+'))) AS word FROM cur),
+n AS (SELECT id, count(*) AS n FROM w GROUP BY id HAVING count(*) >= 50),
+s AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS shared FROM w a JOIN w b ON a.word = b.word AND a.id < b.id
+  WHERE a.id IN (SELECT id FROM n) AND b.id IN (SELECT id FROM n) GROUP BY 1, 2)
+SELECT id_a, id_b FROM s JOIN n x ON x.id = id_a JOIN n y ON y.id = id_b WHERE 10 * shared >= 7 * (x.n + y.n - shared)
+"""
+
+P5_FOUND_SQL = """
+WITH c AS (SELECT lower(trim(id)) AS k, arg_max(id, ingested_at) AS id, arg_max(coalesce(embedding_model, ''), ingested_at) AS m FROM document_chunks GROUP BY 1),
+v AS (SELECT lower(trim(chunk_id)) AS k, arg_max(coalesce(embedding, []), inserted_at) AS e FROM chunk_vectors GROUP BY 1),
+u AS (SELECT id, m, CAST(e AS DOUBLE[]) AS e FROM v JOIN c USING (k) WHERE m <> '' AND len(e) = 64
+  AND len(list_filter(e, lambda x: x IS NOT NULL AND isfinite(x))) = 64 AND len(list_filter(e, lambda x: x <> 0)) > 0),
+r AS (SELECT a.id AS x, b.id AS y, list_cosine_similarity(a.e, b.e) AS s FROM u a JOIN u b ON a.m = b.m AND a.id <> b.id),
+t AS (SELECT x, y, row_number() OVER (PARTITION BY x ORDER BY round(s, 9) DESC, y) AS k FROM r WHERE s >= 0.85)
+SELECT DISTINCT least(x, y) AS chunk_id_a, greatest(x, y) AS chunk_id_b FROM t WHERE k <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"p2_found": P2_FOUND_SQL}
+    return {"p1_found": P1_FOUND_SQL, "p2_found": P2_FOUND_SQL, "p5_found": P5_FOUND_SQL}
