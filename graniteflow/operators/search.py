@@ -1,11 +1,13 @@
 """Ranked retrieval: exact vector search, BM25, fusion of ranked lists, context packing.
 
-Query sets are small literals and are the only thing that is broadcast. Ties always go to the smaller id. Null or
+Single queries are broadcast; query sets that grow with the data meet it in blocks. Ties always go to the smaller id. Null or
 mismatched vectors and null texts are never hits. Filters run below the ranking.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -44,6 +46,47 @@ def nearest(vectors: DataFrame, query: DataFrame, key: str, k: int, where: Colum
     return ranked.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def nearest_in_blocks(vectors: DataFrame, queries: DataFrame, key: str, k: int, vector_block: int = 50_000, query_block: int = 2_048) -> DataFrame:
+    """(query, key, distance, rank) as ``nearest``, for query sets that grow with the data: nothing is broadcast.
+
+    Blocks of vectors meet blocks of queries, one task for each two; a task returns its k best for each query, and the
+    best of these are the best of all. Vectors of other lengths than the first of a block, and those with nulls, are
+    never hits.
+    """
+    n, m = vectors.count(), queries.count()
+    rows, asks = max(1, -(-n // vector_block)), max(1, -(-m // query_block))
+    piece = lambda c, parts: F.pmod(F.xxhash64(c), F.lit(parts)).cast("int")
+    every = lambda parts: F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))
+    left = vectors.where("embedding IS NOT NULL").select(F.col(key).alias("id"), "embedding", piece(key, rows).alias("a")).withColumn("b", every(asks))
+    right = queries.where("q IS NOT NULL").select("query", "q", piece("query", asks).alias("d")).withColumn("c", every(rows))
+
+    def best(v: pa.Table, q: pa.Table) -> pa.Table:
+        names = ["query", "id", "distance"]
+        if not v.num_rows or not q.num_rows:
+            return pa.Table.from_arrays([q["query"].slice(0, 0), v["id"].slice(0, 0), pa.array([], pa.float64())], names)
+        asked = q["q"].to_pylist()
+        width = len(asked[0])
+        fit = lambda x: x is not None and len(x) == width and None not in x
+        keep, ask = [i for i, x in enumerate(v["embedding"].to_pylist()) if fit(x)], [i for i, x in enumerate(asked) if fit(x)]
+        x = np.array([y for y in v["embedding"].to_pylist() if fit(y)], float).reshape(-1, width)
+        out_q, out_v, out_d = [], [], []
+        for i in ask if keep else []:
+            gap = x - np.array(asked[i], float)
+            d = np.round(np.sqrt(np.einsum("ij,ij->i", gap, gap)), 6)
+            # all that tie with the k-th stay, so that ties are settled by id at the end
+            near = np.flatnonzero(d <= np.partition(d, min(k, len(d)) - 1)[min(k, len(d)) - 1])
+            out_q += [i] * len(near)
+            out_v += [keep[j] for j in near]
+            out_d.append(d[near])
+        flat = np.concatenate([np.zeros(0), *out_d])
+        return pa.Table.from_arrays([q["query"].take(pa.array(out_q, pa.int64())), v["id"].take(pa.array(out_v, pa.int64())), pa.array(flat)], names)
+
+    kinds = f"query {queries.schema['query'].dataType.simpleString()}, id {vectors.schema[key].dataType.simpleString()}, distance double"
+    found = left.groupBy("a", "b").cogroup(right.groupBy("c", "d")).applyInArrow(best, kinds)
+    w = Window.partitionBy("query").orderBy("distance", "id")
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).withColumnRenamed("id", key)
+
+
 def spaced(text: Column) -> Column:
     """Lower-case words of letters a-z and digits, each between two spaces of its own; the rest of the text is dropped."""
     bare = F.trim(F.regexp_replace(F.lower(text), "[^a-z0-9]+", "  "))

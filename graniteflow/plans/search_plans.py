@@ -46,19 +46,19 @@ def vector_topk_filtered(spark, sf):
 @query("vector_topk_multi", f"""
 SELECT query, vec_id, distance, CAST(rank AS INTEGER) AS rank FROM (
   SELECT query, vec_id, distance, row_number() OVER (PARTITION BY query ORDER BY distance, vec_id) AS rank FROM (
-    SELECT q.vec_id AS query, e.vec_id, {DIST} AS distance FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id IN (3, 5, 8, 13)) q)) WHERE rank <= 5""")
+    SELECT q.vec_id AS query, e.vec_id, {DIST} AS distance FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id % 100 = 0) q)) WHERE rank <= 10""")
 def vector_topk_multi(spark, sf):
-    """The 5 nearest vectors of each of several queries."""
+    """The 10 nearest of all vectors for every one whose id is divisible by 100."""
     v = table(spark, sf, "embeddings", "vec_id", "embedding")
-    return S.nearest(v, asked(spark, sf, [3, 5, 8, 13]), "vec_id", 5)
+    return S.nearest_in_blocks(v, v.where("vec_id % 100 = 0").select(F.col("vec_id").alias("query"), F.col("embedding").alias("q")), "vec_id", 10)
 
 
 @query("vector_topk_cosine", """
 SELECT vec_id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 6) AS similarity
-FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 7) q ORDER BY similarity DESC, vec_id LIMIT 20""")
+FROM embeddings e, (SELECT embedding FROM embeddings WHERE vec_id = 100) q ORDER BY similarity DESC, vec_id LIMIT 20""")
 def vector_topk_cosine(spark, sf):
     """The 20 vectors most similar to one by angle."""
-    v = table(spark, sf, "embeddings", "vec_id", "embedding").crossJoin(F.broadcast(asked(spark, sf, [7])))
+    v = table(spark, sf, "embeddings", "vec_id", "embedding").crossJoin(F.broadcast(asked(spark, sf, [100])))
     s = v.select("vec_id", F.round(S.cosine(F.col("embedding"), F.col("q")), 6).alias("similarity"))
     return s.orderBy(F.desc("similarity"), "vec_id").limit(20)
 
@@ -97,13 +97,13 @@ def bm25_topk(spark, sf):
 @query("hybrid_fusion", f"""
 WITH {BM25_CTE}, vt AS (
   SELECT doc_id, row_number() OVER (ORDER BY distance, doc_id) AS rank FROM (
-    SELECT e.vec_id AS doc_id, {DIST} AS distance FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id = 1) q ORDER BY distance, doc_id LIMIT {TOP_TEXTS})),
+    SELECT e.vec_id AS doc_id, {DIST} AS distance FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id = 200) q ORDER BY distance, doc_id LIMIT {TOP_TEXTS})),
 u AS (SELECT doc_id, 0.6 / (60 + rank) AS s, rank AS seen FROM vt UNION ALL SELECT doc_id, 0.4 / (60 + rank), 1000000 + rank FROM ft)
 SELECT doc_id, round(sum(s), 9) AS score FROM u GROUP BY doc_id ORDER BY round(sum(s), 9) DESC, min(seen) LIMIT 20""")
 def hybrid_fusion(spark, sf):
     """A vector list and a text list as one, by weighted reciprocal ranks."""
     v = table(spark, sf, "embeddings", "vec_id", "embedding")
-    vectors = S.nearest(v, asked(spark, sf, [1]), "vec_id", TOP_TEXTS).withColumnRenamed("vec_id", "doc_id")
+    vectors = S.nearest(v, asked(spark, sf, [200]), "vec_id", TOP_TEXTS).withColumnRenamed("vec_id", "doc_id")
     return S.fuse([(vectors, 0.6), (fulltext(spark, sf), 0.4)], "doc_id", 20)
 
 

@@ -25,6 +25,19 @@ def test_vector_search_ignores_bad_vectors(spark):
     assert [(r["vec_id"], r["distance"]) for r in search.nearest(v, q, "vec_id", 2).collect()] == [(1, 0.0), (2, 0.0)]
 
 
+def test_blocks_give_what_one_scan_gives(spark):
+    import random
+
+    rng = random.Random(4)
+    rows = [(k, [float(rng.randrange(4)) for _ in range(3)]) for k in range(90)] + [(900, None), (901, [1.0]), (902, [1.0, None, 2.0])]
+    v = spark.createDataFrame(rows, "vec_id int, embedding array<float>")
+    q = v.where("vec_id % 10 = 0 AND vec_id < 900").selectExpr("vec_id AS query", "embedding AS q")
+    one, two = search.nearest(v.where("vec_id < 900"), q, "vec_id", 4), search.nearest_in_blocks(v, q, "vec_id", 4, 20, 3)
+    key = lambda df: sorted(tuple(r) for r in df.select("query", "vec_id", "distance", "rank").collect())
+    assert key(one) == key(two)
+    assert search.nearest_in_blocks(v.limit(0), q, "vec_id", 4).count() == 0
+
+
 def test_context_stops_at_the_first_that_does_not_fit(spark):
     hits = spark.createDataFrame([(1, "aaaa"), (2, "bbbbbbbb"), (3, "c")], "rank int, text string")
     assert [r["rank"] for r in search.pack_context(hits, "text", 6).collect()] == [1]
