@@ -24,7 +24,7 @@ def query(name, sql=None):
 
 @query("industry_benchmark", """
 SELECT industry, market, count(*) AS companies, round(percentile_cont(0.25) WITHIN GROUP (ORDER BY staff_num), 6) AS p25,
-  round(percentile_cont(0.5) WITHIN GROUP (ORDER BY staff_num), 6) AS p50, round(percentile_cont(0.75) WITHIN GROUP (ORDER BY staff_num), 6) AS p75, sum(staff_num) AS staff
+  round(percentile_cont(0.5) WITHIN GROUP (ORDER BY staff_num), 6) AS p50, round(percentile_cont(0.75) WITHIN GROUP (ORDER BY staff_num), 6) AS p75, CAST(sum(staff_num) AS BIGINT) AS staff
 FROM (SELECT code, min(industry) AS industry, min(market) AS market, max(staff_num) AS staff_num FROM companies GROUP BY code) WHERE industry IS NOT NULL GROUP BY industry, market""")
 def industry_benchmark(spark, sf):
     """Exact quartiles of the staff of each industry and market."""
@@ -138,7 +138,7 @@ def pricing_summary(spark, sf):
 
 
 @query("region_revenue", """
-SELECT r_name, year(o_orderdate) AS order_year, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM region
+SELECT r_name, CAST(year(o_orderdate) AS INTEGER) AS order_year, round(sum(l_extendedprice * (1 - l_discount)), 2) AS revenue FROM region
 JOIN nation ON n_regionkey = r_regionkey JOIN customer ON c_nationkey = n_nationkey JOIN orders ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey GROUP BY ALL""")
 def region_revenue(spark, sf):
     """A star join rolled up by region and year."""

@@ -51,7 +51,7 @@ def scan_unchunked(spark, sf):
 
 
 @query("scan_unvectorized_chunks", f"""
-SELECT d.market, c.status, count(*) AS chunks, count_if(c.is_table) AS table_chunks
+SELECT d.market, c.status, count(*) AS chunks, CAST(count_if(c.is_table) AS BIGINT) AS table_chunks
 FROM {CUR} c JOIN (SELECT DISTINCT id, market FROM source_documents) d ON c.document_id = d.id
 WHERE c.status IN ('pending', 'failed') GROUP BY ALL""")
 def scan_unvectorized(spark, sf):
@@ -63,7 +63,7 @@ def scan_unvectorized(spark, sf):
 
 
 @query("scan_unindexed_chunks", f"""
-SELECT c.id, c.chunk_index, d.stock_code, d.year, length(c.chunk_text) AS n_chars
+SELECT c.id, c.chunk_index, d.stock_code, d.year, CAST(length(c.chunk_text) AS INTEGER) AS n_chars
 FROM {CUR} c JOIN (SELECT DISTINCT id, stock_code, year FROM source_documents) d ON c.document_id = d.id
 WHERE c.es_indexed_at IS NULL AND trim(c.chunk_text, ' ') <> ''""")
 def scan_unindexed(spark, sf):
@@ -264,7 +264,7 @@ def layer_coverage(spark, sf):
 
 
 @query("chunk_statistics", f"""
-SELECT embedding_model, count(*) AS chunks, count(DISTINCT document_id) AS documents, count_if(is_table) AS tables,
+SELECT embedding_model, count(*) AS chunks, count(DISTINCT document_id) AS documents, CAST(count_if(is_table) AS BIGINT) AS tables,
   round(count(*) / count(DISTINCT document_id), 6) AS chunks_per_document FROM {CUR} GROUP BY embedding_model""")
 def chunk_statistics(spark, sf):
     """Chunks, filings and tables by model."""
@@ -276,7 +276,7 @@ def chunk_statistics(spark, sf):
 
 @query("quality_gates", """
 SELECT market, total, ok, CASE WHEN total = 0 THEN TRUE ELSE ok / total >= 0.8 END AS parse_passes, CASE WHEN total = 0 THEN FALSE ELSE ok / total >= 0.9 END AS index_passes
-FROM (SELECT market, count(*) AS total, count_if(status IN ('parsed', 'processed', 'vectorized')) AS ok FROM source_documents GROUP BY market)""")
+FROM (SELECT market, count(*) AS total, CAST(count_if(status IN ('parsed', 'processed', 'vectorized')) AS BIGINT) AS ok FROM source_documents GROUP BY market)""")
 def quality_gates(spark, sf):
     """Whether the success rate of each market passes the two gates, which treat an empty run differently."""
     d = table(spark, sf, "source_documents", "market", "status").groupBy("market")
@@ -296,7 +296,7 @@ def volume_deviation(spark, sf):
 
 
 @query("chunk_size_audit", f"""
-SELECT id, chunk_size, length(chunk_text) AS n_chars FROM {CUR} WHERE chunk_text IS NOT NULL AND chunk_size IS DISTINCT FROM length(chunk_text)""")
+SELECT id, chunk_size, CAST(length(chunk_text) AS INTEGER) AS n_chars FROM {CUR} WHERE chunk_text IS NOT NULL AND chunk_size IS DISTINCT FROM length(chunk_text)""")
 def chunk_size_audit(spark, sf):
     """Chunks whose stored size is not that of their text."""
     raw = table(spark, sf, "document_chunks", "id", "ingested_at", "chunk_size", "chunk_text")

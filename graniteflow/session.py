@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,6 +25,13 @@ def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
     )
 
 
+def visible_to_workers(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever folder the driver was started in."""
+    root, env = str(Path(__file__).resolve().parents[1]), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the shared folder named by spark.checkpoint.dir; a private one is made only where none is set."""
     sc = spark.sparkContext
