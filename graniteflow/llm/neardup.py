@@ -13,7 +13,7 @@ bound, and the exact word sets decide at the end.
 
 Scale: equal word sets are one class and only classes are searched, so copies cost nothing; a shard above ``hot``
 members is split into blocks, one task for each pair of blocks, and none is dropped; partitions hold fixed-width rows.
-Unrelated texts meet in a shard with a probability that ``rows`` fixes (about 8e-4 here for 32 shards of 5), so the comparisons of a
+Unrelated texts meet in a shard with a probability that ``rows`` fixes (about 1e-3 here for 32 shards of 5), so the comparisons of a
 record grow with the collection, if slowly; ``rows`` and ``bands`` can be raised together (8 and 98 keep the same recall).
 
 Defined results: texts with fewer than ``min_words`` words, null and empty texts and rows without id are in no pair; repeated rows of an
@@ -36,7 +36,7 @@ from graniteflow.session import cut
 
 WORD = re.compile("[a-z0-9]+")
 THRESHOLD_NUM, THRESHOLD_DEN, MIN_WORDS = 7, 10, 50
-BANDS, ROWS, BITS, HOT, LEAF = 32, 5, 256, 4096, 32
+BANDS, ROWS, BITS, HOT, LEAF = 32, 5, 192, 4096, 32
 LANES = BITS // 64
 WORD_MEMORY = 60_000
 
