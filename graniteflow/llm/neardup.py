@@ -37,7 +37,8 @@ from graniteflow.session import cut
 WORD = re.compile("[a-z0-9]+")
 THRESHOLD_NUM, THRESHOLD_DEN, MIN_WORDS = 7, 10, 50
 BANDS, ROWS, BITS, HOT, LEAF = 32, 5, 192, 4096, 32
-LANES = BITS // 64
+LANES, BYTES = BITS // 64, 6
+KEPT = (1 << 8 * BYTES) - 1
 WORD_MEMORY = 60_000
 
 
@@ -64,7 +65,7 @@ class Sketcher:
 
     def ranks(self, hashes: np.ndarray) -> np.ndarray:
         """Rank of each word under every hash function (words x functions), the upper half of a multiplied hash."""
-        x = hashes[:, None] * self.mul + self.add
+        x = (hashes * np.uint64(0x9E3779B97F4A7C15))[:, None] * self.mul + self.add
         return ((x ^ (x >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)).astype(np.uint32)
 
     def fingerprints(self, flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -86,6 +87,18 @@ class Sketcher:
         return (key ^ (key >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
 
 
+def packed(hashes: list[int]) -> bytes:
+    """Sorted word hashes in BYTES bytes each: the lower ones, of which the words of a collection share none by chance."""
+    return np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8)[:, :BYTES].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    """Word hashes out of their packed form."""
+    out = np.zeros((len(data) // BYTES, 8), np.uint8)
+    out[:, :BYTES] = np.frombuffer(data, np.uint8).reshape(-1, BYTES)
+    return out.reshape(-1).view(np.uint64)
+
+
 def tree_pairs(fps: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places (i, j) of all pairs within their radius in one shard, by a vantage-point tree.
 
@@ -168,7 +181,7 @@ def gather(batches: Iterator[pa.RecordBatch], columns: int) -> list[pa.ChunkedAr
 
 
 def word_sets(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, cls, words) of the texts (id, text) with enough words; words are sorted 64-bit hashes, cls their hash."""
+    """(id, cls, words) of the texts (id, text) with enough words; words are sorted 48-bit hashes, cls their hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict[str, int] = {}
@@ -181,8 +194,7 @@ def word_sets(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                     continue
                 if len(memory) > WORD_MEMORY:
                     memory.clear()
-                hashes = sorted([memory.get(w) or memory.setdefault(w, digest(w)) for w in words])
-                data = np.array(hashes, np.uint64).tobytes()
+                data = packed(sorted([memory.get(w) or memory.setdefault(w, digest(w) & KEPT) for w in words]))
                 ids.append(i)
                 sets.append(data)
                 cls.append(xxhash.xxh3_64_intdigest(data) - (1 << 63))
@@ -200,9 +212,9 @@ def banded(classes: DataFrame, bands: int, rows: int) -> DataFrame:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 raw = part.column(1).to_pylist()
-                sizes = np.fromiter((len(x) // 8 for x in raw), np.int32, len(raw))
+                sizes = np.fromiter((len(x) // BYTES for x in raw), np.int32, len(raw))
                 starts = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
-                flat = np.frombuffer(b"".join(raw), np.uint64)
+                flat = unpacked(b"".join(raw))
                 fps, keys = sketch.fingerprints(flat, starts), sketch.keys(flat, starts)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -261,7 +273,7 @@ def exact(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             a, b, x, y = (c.to_pylist() for c in batch.columns)
             keep, shared = [], []
             for k in range(len(a)):
-                u, v = np.frombuffer(x[k], np.uint64), np.frombuffer(y[k], np.uint64)
+                u, v = unpacked(x[k]), unpacked(y[k])
                 both = len(np.intersect1d(u, v, assume_unique=True))
                 if THRESHOLD_DEN * both >= THRESHOLD_NUM * (len(u) + len(v) - both):
                     keep.append(k)
