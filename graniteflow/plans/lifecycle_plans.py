@@ -33,10 +33,10 @@ SELECT id, object_path, crawled_at FROM (
   ORDER BY crawled_at NULLS FIRST, id LIMIT 200)
 WHERE regexp_matches(lower(object_path), '[.](pdf|html?)$')""")
 def scan_pending(spark: SparkSession, sf: str) -> DataFrame:
-    """Oldest filings by status; the limit counts rows before the check of the file's kind."""
+    """All pending filings of a readable kind, oldest first. The SQL twin keeps the 200 oldest only and is equal up to there."""
     docs = table(spark, sf, "source_documents", "id", "object_path", "crawled_at", "status")
     rows = docs.where(F.col("status").isin("crawled", "parsed", "processed")).drop("status").distinct()
-    return L.limit_then_filter(rows, F.lit(True), 200, [F.col("crawled_at").asc_nulls_first(), F.col("id")], F.lower("object_path").rlike("[.](pdf|html?)$"))
+    return L.limit_then_filter(rows, F.lit(True), 0, [F.col("crawled_at").asc_nulls_first(), F.col("id")], F.lower("object_path").rlike("[.](pdf|html?)$"))
 
 
 @query("scan_unchunked_parses", """

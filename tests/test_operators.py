@@ -43,6 +43,22 @@ def test_context_stops_at_the_first_that_does_not_fit(spark):
     assert [r["rank"] for r in search.pack_context(hits, "text", 6).collect()] == [1]
 
 
+def test_scan_of_pending_filings_is_whole(spark, tmp_path):
+    from graniteflow.plans.lifecycle_plans import scan_pending
+
+    start = dt.datetime(2024, 1, 1)
+    rows = [(f"d{k:03d}", f"a/{k}.{'PDF' if k % 5 else 'zip'}", start + dt.timedelta(hours=k) if k else None, "crawled" if k % 2 else "parsed") for k in range(300)]
+    rows += [rows[7], ("done", "a/x.pdf", start, "graphed")]
+    spark.createDataFrame(rows, "id string, object_path string, crawled_at timestamp, status string").write.parquet(f"{tmp_path}/source_documents.parquet")
+    assert [r["id"] for r in scan_pending(spark, str(tmp_path)).collect()] == [f"d{k:03d}" for k in range(300) if k % 5]
+
+
+def test_limit_counts_rows_that_are_filtered_later(spark):
+    d = spark.createDataFrame([(1, "pdf"), (2, "zip"), (3, "pdf"), (4, "pdf")], "id int, kind string")
+    kept = lambda n: one(lifecycle.limit_then_filter(d.where("id < 9"), F.col("id") != 1, n, [F.col("id")], F.col("kind") == "pdf").select("id"))
+    assert kept(2) == [(3,)] and kept(0) == [(3,), (4,)]
+
+
 def test_fold_and_upsert(spark):
     e = spark.createDataFrame([(1, 1, "a", None), (1, 2, None, 5), (1, 3, "b", None), (2, 1, None, None)], "k int, t int, x string, y int")
     assert sorted(one(lifecycle.fold(e, ["k"], [F.col("t")], ["x", "y"]))) == [(1, "b", 5), (2, None, None)]
