@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from graniteflow.session import cut
 
-ONE_FOREST, RANGE, PARTITION_ROWS = 200_000, 4096, 200_000
+ONE_FOREST, RANGE, PARTITION_ROWS, SLOTS = 200_000, 4096, 200_000, 16
 LOCAL = "key string, id string, top string, root string, steps int, path string, out string, low string, cycle string"
 OPEN = "key string, top string, root string, steps bigint, path string, low string, cycle string, done boolean"
 
@@ -234,14 +234,38 @@ def placed(document: Column, number: Column) -> Column:
     return F.xxhash64(document, F.floor(F.coalesce(number, F.lit(0)) / RANGE))
 
 
+def opened(nodes: DataFrame, stuck: DataFrame, partitions: int | None, one_forest: int) -> DataFrame:
+    """(id, up) of the nodes below cycles: the ids of all that are above them and their own, nearest last.
+
+    ``stuck`` (id, cycle) are the nodes on or below cycles. Without the link of its smallest id a cycle is a chain, whose
+    end has the whole cycle as its path. A node below has the part of that chain down to where it leaves it; the rest of
+    the cycle is above that part. A cycle costs what a chain of its length costs.
+    """
+    rows = cut(nodes.join(stuck, "id"))
+    first = F.col("id") == F.col("cycle")
+    found = trees(rows.withColumn("parent", F.when(~first, F.col("parent"))), partitions, one_forest)
+    up = found.select("id", F.col("root_id").alias("cycle"), F.split("node_path", "/").alias("up"))
+    ends = rows.where(first).select(F.col("parent").alias("key")).join(rows.select("key", "id"), "key").select("id")
+    # all that hang on one cycle meet it, so it is there once for every slot
+    rings = up.join(ends, "id").select("cycle", F.col("up").alias("ring"), F.explode(F.sequence(F.lit(0), F.lit(SLOTS - 1))).alias("slot"))
+    met = up.withColumn("slot", F.pmod(F.xxhash64("id"), F.lit(SLOTS)).cast("int")).join(rings, ["cycle", "slot"])
+    shared = F.size(F.array_intersect("up", "ring"))
+    return met.where(shared < F.size("up")).select("id", F.concat(F.slice("ring", shared + 1, F.size("ring") - shared), "up").alias("up"))
+
+
 def descendants(nodes: DataFrame, partitions: int | None = None, one_forest: int = ONE_FOREST) -> DataFrame:
     """(id, descendant_id, levels): every node below every node.
 
-    A path of ids names all that are above a node, so its expansion is the result and nothing else is moved. Nodes on
-    or below a cycle are left out, since they would be below themselves.
+    A path of ids names all that are above a node, so its expansion is the result and nothing else is moved. Below a
+    cycle, every node of the cycle is above as well, once and with the fewest levels. What is on a cycle is not given as a
+    descendant: it would be below itself and all that is below it.
     """
-    escaped = nodes.withColumn("label", F.translate("id", "/", "\x1f"))
-    above = trees(escaped, partitions, one_forest).where("node_depth > 0").select("id", F.split("node_path", "/").alias("up"))
+    escaped = nodes.where("key IS NOT NULL").withColumn("label", F.translate("id", "/", "\x1f"))
+    found = trees(escaped, partitions, one_forest)
+    above = found.where("node_depth > 0").select("id", F.split("node_path", "/").alias("up"))
+    stuck = cut(found.where("node_depth < 0").select("id", F.col("root_id").alias("cycle")))
+    if not stuck.isEmpty():
+        above = above.union(opened(escaped, stuck, partitions, one_forest))
     pairs = above.select(F.col("id").alias("descendant_id"), F.size("up").alias("n"), F.posexplode("up").alias("pos", "above"))
     below = pairs.where("pos < n - 1")
     return below.select(F.translate("above", "\x1f", "/").alias("id"), "descendant_id", (F.col("n") - 1 - F.col("pos")).alias("levels"))

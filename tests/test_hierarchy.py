@@ -60,6 +60,42 @@ def test_descendants(spark):
     assert got == {("a", "b/x", 1), ("a", "c", 2), ("b/x", "c", 1), ("a", "d", 1)}
 
 
+def below_brute(links):
+    """Pairs by walking up from every node that is not on a cycle."""
+    out = set()
+    for n in links:
+        trail, at = [n], n
+        while (p := links[at]) in links and p not in trail:
+            trail.append(p)
+            at = p
+        if links[at] != n:
+            out |= {(a, n, k) for k, a in enumerate(trail) if k}
+    return out
+
+
+def below(spark, links, places, **k):
+    df = spark.createDataFrame([(n, n, p, n, places[n]) for n, p in links.items()], "key string, id string, parent string, label string, place bigint")
+    rows = [tuple(r) for r in hierarchy.descendants(df, **k).collect()]
+    assert len(rows) == len(set(rows))
+    return set(rows)
+
+
+def test_descendants_below_cycles(spark):
+    links = {"a": None, "b": "a", "r/1": "r3", "r2": "r/1", "r3": "r2", "x": "r2", "y": "x", "self": "self", "t": "self"}
+    want = {("a", "b", 1), ("r2", "x", 1), ("r/1", "x", 2), ("r3", "x", 3), ("x", "y", 1), ("r2", "y", 2), ("r/1", "y", 3), ("r3", "y", 4), ("self", "t", 1)}
+    assert below(spark, links, dict.fromkeys(links, 1)) == below_brute(links) == want
+
+
+def test_descendants_of_random_forests_with_cycles(spark):
+    rng = random.Random(5)
+    ids = [f"n{k:03d}" for k in range(150)]
+    links = {n: rng.choice([None, "gone", *ids, *ids[:k], *ids[:k], *ids[:k]]) for k, n in enumerate(ids)} | {"n000": "n002", "n001": "n000", "n002": "n001"}
+    places = {n: rng.randrange(40) for n in ids}
+    want = below_brute(links)
+    assert below(spark, links, places, partitions=5, one_forest=20) == want
+    assert any(a in ("n000", "n001", "n002") for a, _, _ in want)
+
+
 def test_id_key(spark):
     from graniteflow.operators.latest import id_key
 
