@@ -43,10 +43,10 @@ def vector_hits(vectors: DataFrame, key: str, query: DataFrame, k: int, filters:
     return hits.select(key, F.round(search.distance_score(F.col("distance")), 6).alias("score"), "rank")
 
 
-def hybrid_hits(vectors: DataFrame, query: DataFrame, texts: DataFrame, terms: list[str], key: str, k: int, weights: dict[str, float] | None = None) -> DataFrame:
-    """(key, score) of both kinds of hits as one list."""
+def hybrid_hits(vectors: DataFrame, query: DataFrame, texts: DataFrame, terms: list[str], key: str, k: int, weights: dict[str, float] | None = None, fields: str | dict[str, float] = "text") -> DataFrame:
+    """(key, score) of both kinds of hits as one list; ``fields`` are the columns of the texts to search, as in ``search.bm25``."""
     w = check_weights(weights)
-    lists = [(vector_hits(vectors, key, query, k), w["vector"]), (search.bm25(texts, key, "text", terms, k), w["fulltext"])]
+    lists = [(vector_hits(vectors, key, query, k), w["vector"]), (search.bm25(texts, key, fields, terms, k), w["fulltext"])]
     return search.fuse(lists, key, k)
 
 

@@ -99,27 +99,41 @@ def occurrences(spaced_text: str, term: str) -> Column:
     return ((F.length(spaced_text) - F.length(without)) / (len(term) + 2)).cast("int")
 
 
-def bm25(docs: DataFrame, key: str, text: str, terms: list[str], k: int, least: float = 0.3) -> DataFrame:
+def word_counts(spaced_text: str, terms: list[str]) -> Column:
+    """(len, tf): the words of a spaced text and how often each term is among them; null for a null text."""
+    total = (F.length(spaced_text) - F.length(F.replace(spaced_text, F.lit(" "), F.lit("")))) / 2  # two spaces a word
+    counts = F.struct(total.cast("int").alias("len"), F.array(*(occurrences(spaced_text, t) for t in terms)).alias("tf"))
+    return F.when(F.col(spaced_text).isNotNull(), counts)
+
+
+def bm25(docs: DataFrame, key: str, text: str | dict[str, float], terms: list[str], k: int, least: float = 0.3) -> DataFrame:
     """(key, score, rank) of the best texts. One pass over the texts counts words, and only the counts are kept.
 
-    A text needs ``least`` of the terms, at least one, to be a hit.
+    ``text`` is a column or several with their weights; the best weighted score of a column counts, and each has its own
+    statistics. A text needs ``least`` of the terms in one column, at least one, to be a hit.
     """
-    base = docs.where(F.col(text).isNotNull()).select(key, spaced(F.col(text)).alias("s"))
-    total = (F.length("s") - F.length(F.replace("s", F.lit(" "), F.lit("")))) / 2  # two spaces a word
-    counted = cut(base.select(key, total.cast("int").alias("len"), F.array(*(occurrences("s", t) for t in terms)).alias("tf")))
-    df = [F.count_if(F.col("tf")[i] > 0).alias(f"df{i}") for i in range(len(terms))]
-    stats = counted.agg(F.count("*").alias("n"), F.avg("len").alias("avg_len"), *df)  # one row
-    parts = []
-    for i in range(len(terms)):
-        idf = F.log(1 + (F.col("n") - F.col(f"df{i}") + 0.5) / (F.col(f"df{i}") + 0.5))
-        tf = F.col("tf")[i]
-        parts.append(idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("len") / F.col("avg_len"))))
-    score = parts[0]
-    for p in parts[1:]:
-        score = score + p
-    matched = F.size(F.filter("tf", lambda x: x > 0))
-    need = max(1, int(least * len(terms)))
-    hits = counted.where(matched >= need).crossJoin(F.broadcast(stats)).select(key, F.round(score, 6).alias("score"))
+    fields = {text: 1.0} if isinstance(text, str) else text
+    base = docs.select(key, *(spaced(F.col(f)).alias(f) for f in fields))
+    return bm25_counted(base.select(key, *(word_counts(f, terms).alias(f) for f in fields)), key, fields, len(terms), k, least)
+
+
+def bm25_counted(counts: DataFrame, key: str, fields: dict[str, float], n_terms: int, k: int, least: float = 0.3) -> DataFrame:
+    """``bm25`` of texts whose words are counted (see ``word_counts``), for tables that are reduced before a shuffle."""
+    counted = cut(counts.where(F.coalesce(*fields).isNotNull()).select(key, *fields))
+    need = max(1, int(least * n_terms))
+    figures, scores = [], []
+    for j, (f, weight) in enumerate(fields.items()):
+        length, tfs = F.col(f)["len"], F.col(f)["tf"]
+        figures += [F.count(f).alias(f"n{j}"), F.avg(length).alias(f"avg_len{j}")]
+        figures += [F.count_if(tfs[i] > 0).alias(f"df{j}_{i}") for i in range(n_terms)]
+        score = None
+        for i in range(n_terms):
+            idf = F.log(1 + (F.col(f"n{j}") - F.col(f"df{j}_{i}") + 0.5) / (F.col(f"df{j}_{i}") + 0.5))
+            part = idf * tfs[i] * (K1 + 1) / (tfs[i] + K1 * (1 - B + B * length / F.col(f"avg_len{j}")))
+            score = part if score is None else score + part
+        scores.append(F.when(F.size(F.filter(tfs, lambda x: x > 0)) >= need, score * weight))
+    best = F.greatest(*scores) if len(scores) > 1 else scores[0]
+    hits = counted.crossJoin(F.broadcast(counted.agg(*figures))).select(key, F.round(best, 6).alias("score")).where("score IS NOT NULL")
     top = hits.orderBy(F.desc("score"), key).limit(k)
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), key)))  # of k rows
 

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from graniteflow.operators import search as S
+from graniteflow.operators.latest import current_chunks
+from graniteflow.plans import lifecycle_plans
 from graniteflow.sources.tables import table
 
 SQL: dict[str, str] = {}
 QUERIES = {}
 TERMS = ["lithium", "mortgage", "lending", "turbines", "court"]
 TOP_TEXTS = 50
+FIELDS, CHUNK_TERMS = {"chunk_text": 2.0, "title": 1.5}, ["remuneration", "impairment", "governance", "policies", "resources"]
 
 
 def query(name, sql=None):
@@ -94,6 +97,30 @@ def bm25_topk(spark, sf):
     return fulltext(spark, sf).withColumn("relative", F.round(S.relative("score"), 6))
 
 
+CHUNK_LIST = ", ".join(f"'{t}'" for t in CHUNK_TERMS)
+
+
+@query("chunk_bm25_topk", f"""
+WITH f AS (
+  SELECT id, 'chunk_text' AS field, {FIELDS["chunk_text"]} AS weight, chunk_text AS body FROM {lifecycle_plans.CUR} WHERE lower(trim(id)) <> ''
+  UNION ALL SELECT id, 'title', {FIELDS["title"]}, title FROM {lifecycle_plans.CUR} WHERE lower(trim(id)) <> ''),
+w AS (SELECT id, field, weight, list_filter(string_split_regex(lower(body), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM f WHERE body IS NOT NULL),
+t AS (SELECT unnest([{CHUNK_LIST}]) AS term),
+c AS (SELECT id, field, weight, len(w) AS len, term, len(list_filter(w, lambda x: x = term)) AS tf FROM w, t),
+s AS (SELECT field, count(*) AS n, avg(len(w)) AS avg_len FROM w GROUP BY field),
+d AS (SELECT field, term, count_if(tf > 0) AS df FROM c GROUP BY field, term),
+bm AS (SELECT id, field, weight * sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * {S.K1 + 1} / (tf + {S.K1} * (1 - {S.B} + {S.B} * len / avg_len))) AS score
+  FROM c JOIN d USING (field, term) JOIN s USING (field) GROUP BY id, field, weight HAVING count_if(tf > 0) >= 1),
+best AS (SELECT id, round(max(score), 6) AS score FROM bm GROUP BY id)
+SELECT id, score, CAST(row_number() OVER (ORDER BY score DESC, id) AS INTEGER) AS rank FROM best ORDER BY score DESC, id LIMIT {TOP_TEXTS}""")
+def chunk_bm25_topk(spark, sf):
+    """The current chunks that match five terms best, by their text or by their title."""
+    raw = table(spark, sf, "document_chunks", "id", "ingested_at", *FIELDS)
+    words = raw.select("id", "ingested_at", *(S.spaced(F.col(f)).alias(f) for f in FIELDS))
+    counts = current_chunks(words, *(S.word_counts(f, CHUNK_TERMS).alias(f) for f in FIELDS))
+    return S.bm25_counted(counts, "id", FIELDS, len(CHUNK_TERMS), TOP_TEXTS)
+
+
 @query("hybrid_fusion", f"""
 WITH {BM25_CTE}, vt AS (
   SELECT doc_id, row_number() OVER (ORDER BY distance, doc_id) AS rank FROM (

@@ -35,6 +35,22 @@ def test_hits_context_and_answer(spark):
     assert len(R.sources(texts).where("rank = 2").first()["snippet"]) == 203
 
 
+def test_titles_are_searched_and_the_best_field_counts(spark):
+    from graniteflow.operators import search
+
+    rows = [("a", "wind wind farm", "Notes"), ("b", "notes on rates", "Wind"), ("c", "rain", None), ("d", None, "wind wind"), ("e", "wind here", "wind")]
+    d = spark.createDataFrame(rows, "id string, body string, title string")
+    score = lambda df: {r["id"]: r["score"] for r in df.collect()}
+    body, title = (score(search.bm25(d, "id", f, ["wind", "gale"], 9)) for f in ("body", "title"))
+    both = score(search.bm25(d, "id", {"body": 2.0, "title": 1.5}, ["wind", "gale"], 9))
+    assert set(body) == {"a", "e"} and set(title) == {"b", "d", "e"}
+    assert both == pytest.approx({k: max(2 * body.get(k, 0), 1.5 * title.get(k, 0)) for k in "abde"}, abs=3e-6)
+    v = spark.createDataFrame([("a", [1.0, 0.0])], "id string, embedding array<float>")
+    q = spark.createDataFrame([(0, [1.0, 0.0])], "query int, q array<float>")
+    got = R.hybrid_hits(v, q, d, ["wind"], "id", 9, None, {"body": 2.0, "title": 1.5})
+    assert {r["id"] for r in got.collect()} == set("abde")
+
+
 def test_company_code(spark):
     rows = [(f"{k}", f"Alpha {k}", None, None, None) for k in range(7)] + [("90", "Beta", None, None, "Old Beta"), ("91", "Gamma One", None, None, None), ("92", "Gamma Two", None, None, None)]
     c = spark.createDataFrame(rows, "code string, name string, org_name_en string, org_short_name_en string, pre_name string")
