@@ -64,6 +64,30 @@ def complete_pdf(content: Column) -> Column:
     return F.coalesce((n >= 1024) & (head == "%PDF-") & tail.contains("%%EOF"), F.lit(False))
 
 
+def digest(content: Column, algorithm: str = "md5") -> Column:
+    """The digest of bytes as lower-case hex digits; null for null."""
+    if algorithm not in ("md5", "sha256"):
+        raise ValueError(f"unknown algorithm {algorithm}")
+    return F.md5(content) if algorithm == "md5" else F.sha2(content, 256)
+
+
+def filled_hashes(rows: DataFrame, objects: DataFrame, path: str, column: str = "file_hash") -> DataFrame:
+    """Rows whose null hashes are the SHA-256 of their object (path, content); missing and empty objects leave null.
+
+    Bytes are not moved, only digests; rows without a hash meet those. Paths are compared as they are.
+    """
+    wanted = rows.where(F.col(column).isNull()).select(F.col(path).alias("path")).distinct()
+    hashed = objects.where(F.octet_length("content") > 0).select("path", digest(F.col("content"), "sha256").alias("__hash"))
+    found = hashed.join(wanted, "path", "left_semi").groupBy("path").agg(F.min("__hash").alias("__hash")).withColumnRenamed("path", "__path")
+    met = rows.join(found, F.col(column).isNull() & (F.col(path) == F.col("__path")), "left")
+    return met.select(*(F.coalesce(c, "__hash").alias(c) if c == column else F.col(c) for c in rows.columns))
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """A folder of CSV files with a header each: quotes doubled, null and empty texts empty."""
+    df.write.mode("overwrite").csv(path, header=True, escape='"', emptyValue="")
+
+
 def write_json(df: DataFrame, path: str) -> None:
     """One JSON object a row."""
     df.write.mode("overwrite").json(path)

@@ -23,6 +23,29 @@ def test_listing_and_reports(spark, tmp_path):
     assert [tuple(r) for r in files.existing_reports(found).collect()] == [("600000", 2023, "Q4")]
 
 
+def test_hashes_of_bytes_fill_what_is_missing(spark, tmp_path):
+    import hashlib
+
+    for n, b in (("a.png", b"abc"), ("b.png", b"\x00\xff"), ("c.png", b"")):
+        (tmp_path / n).write_bytes(b)
+    objects = spark.read.format("binaryFile").load(str(tmp_path)).select(F.element_at(F.split("path", "/"), -1).alias("path"), "content")
+    rows = spark.createDataFrame([(1, "a.png", None), (2, "a.png", "kept"), (3, "b.png", None), (4, "c.png", None), (5, "gone", None), (6, None, None)], "id int, file string, file_hash string")
+    got = {r["id"]: r["file_hash"] for r in files.filled_hashes(rows, objects, "file").collect()}
+    assert got == {1: hashlib.sha256(b"abc").hexdigest(), 2: "kept", 3: hashlib.sha256(b"\x00\xff").hexdigest(), 4: None, 5: None, 6: None}
+    md5 = objects.where("path = 'b.png'").select(files.digest(F.col("content"))).first()[0]
+    assert md5 == hashlib.md5(b"\x00\xff").hexdigest()
+
+
+def test_csv_is_read_back_by_others(spark, tmp_path):
+    import csv
+
+    d = spark.createDataFrame([("1", 'a "b", c', None), ("2", "", "两\n行")], "code string, name string, note string").coalesce(1)
+    files.write_csv(d, f"{tmp_path}/out")
+    (name,) = (tmp_path / "out").glob("*.csv")
+    with open(name, encoding="utf-8", newline="") as f:
+        assert list(csv.reader(f)) == [["code", "name", "note"], ["1", 'a "b", c', ""], ["2", "", "两\n行"]]
+
+
 def test_whole_pdf(spark):
     good = b"%PDF-1.4" + b"0" * 1100 + b"%%EOF\n"
     d = spark.createDataFrame([(1, bytearray(good)), (2, bytearray(good[:900])), (3, bytearray(b"x" + good)), (4, bytearray(good + b"0" * 1100)), (5, None)], "id int, content binary")
