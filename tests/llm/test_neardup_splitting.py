@@ -48,6 +48,19 @@ def test_hot_shards_are_worked_on_in_blocks(spark):
     assert {tuple(r) for r in neardup.near_copies(d, hot=20, bands=60).collect()} == brute(rows)
 
 
+def test_recall_at_the_limit_with_the_bands_of_the_query(spark):
+    rng = random.Random(11)
+    rows = []
+    for k in range(600):
+        word = lambda n, side: [f"{side}{k}x{j}x{rng.randrange(1000)}" for j in range(n)]
+        both = word(56, "s")
+        for side in "ab":  # 56 shared words of 80: a similarity of 0.7
+            rows.append((f"p{k:03d}{side}", " ".join(both + word(12, side))))
+    got = {tuple(r) for r in neardup.near_copies(spark.createDataFrame(rows, "id string, text string")).collect()}
+    want = {(f"p{k:03d}a", f"p{k:03d}b") for k in range(600)}
+    assert got <= want and len(got) >= 0.99 * len(want)
+
+
 def test_tree_finds_all_within_the_radius():
     rng = np.random.default_rng(4)
     fps = rng.integers(0, 1 << 63, (300, neardup.LANES), dtype=np.uint64)
