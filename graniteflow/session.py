@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from pathlib import Path
 
@@ -21,6 +22,7 @@ def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -33,11 +35,16 @@ def visible_to_workers(spark: SparkSession) -> None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named by spark.checkpoint.dir; a private one is made only where none is set."""
+    """Use the shared folder named by spark.checkpoint.dir; a private one is made only on a local master with none set.
+
+    A folder of one machine would lose its files with that machine, so a cluster without a named folder is an error.
+    """
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines of the cluster share")
     sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="graniteflow-"))
 
 
