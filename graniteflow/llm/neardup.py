@@ -9,10 +9,13 @@ tree over everything could prune nothing; the fingerprints are therefore first s
 and a record enters every shard whose region its neighbourhood overlaps: ``bands`` shards of ``rows`` minima each.
 A pair at similarity J meets in no shard with probability (1 - J**rows)**bands: under 0.3 % at J = 0.7, under
 0.0001 % at 0.8. Inside a shard a vantage-point tree finds the pairs within the radius, pruned by the triangle
-bound, and the exact word sets decide at the end.
+bound, and the exact word sets decide at the end. Every shard is searched by a tree, from two members on: its first member
+is the vantage point, and members meet only where no vantage point above them parts them by more than the radius.
 
 Scale: equal word sets are one class and only classes are searched, so copies cost nothing; a shard above ``hot``
-members is split into blocks, one task for each pair of blocks, and none is dropped; partitions hold fixed-width rows.
+members is known from a sample of the classes before anything is shuffled and split into blocks, one task for each pair of
+blocks, and none is dropped; one that the sample missed comes back from its search and is split then. Partitions hold
+fixed-width rows. The copies of a class are paired in blocks of ``copies`` members.
 Unrelated texts meet in a shard with a probability that ``rows`` fixes (about 1e-3 here for 32 shards of 5), so the comparisons of a
 record grow with the collection, if slowly; ``rows`` and ``bands`` can be raised together (8 and 98 keep the same recall).
 
@@ -23,6 +26,7 @@ id were resolved before; equal texts of different ids are pairs. An empty table
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +40,8 @@ from graniteflow.session import cut
 
 WORD = re.compile("[a-z0-9]+")
 THRESHOLD_NUM, THRESHOLD_DEN, MIN_WORDS = 7, 10, 50
-BANDS, ROWS, BITS, HOT, LEAF = 32, 5, 192, 4096, 32
+BANDS, ROWS, BITS, HOT, LEAF = 32, 5, 192, 4096, 4
+SAMPLED, COPIES = 64, 1000
 LANES, BYTES = BITS // 64, 6
 KEPT = (1 << 8 * BYTES) - 1
 WORD_MEMORY = 60_000
@@ -99,72 +104,95 @@ def unpacked(data: bytes) -> np.ndarray:
     return out.reshape(-1).view(np.uint64)
 
 
-def tree_pairs(fps: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def tree_pairs(fps: np.ndarray, sizes: np.ndarray, count: Counter | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Places (i, j) of all pairs within their radius in one shard, by a vantage-point tree.
 
-    A node takes its first member as vantage point and splits the others at their median distance. Two members on
-    different sides can only be a pair if their distances to the vantage point differ by at most the radius, so
-    only the two strips beside the boundary meet, in order of that distance.
+    A node takes its first member as vantage point and splits the others at their median distance. Two members can
+    only be a pair if their distances to a vantage point differ by at most the radius. So of two that lie on different
+    sides only those in the strips beside the boundary meet, and in a leaf, which keeps the distances to the vantage
+    points above it, only those meet whom none of these bounds parts. ``count`` is given the pairs "met" and "pruned".
     """
     out_i, out_j = [], []
 
-    def close(a: np.ndarray, b: np.ndarray) -> None:
-        near = distances(fps[a], fps[b]) <= radius(sizes[a], sizes[b])
+    def close(a: np.ndarray, b: np.ndarray, bounds: np.ndarray) -> None:
+        most = radius(sizes[a], sizes[b])
+        fit = np.ones(len(a), bool)
+        for d in bounds:
+            fit &= np.abs(d[a] - d[b]) <= most
+        if count is not None:
+            count.update(met=int(fit.sum()), pruned=int((~fit).sum()))
+        a, b, most = a[fit], b[fit], most[fit]
+        near = distances(fps[a], fps[b]) <= most
         out_i.append(a[near])
         out_j.append(b[near])
 
-    todo = [np.arange(len(fps))]
+    todo = [(np.arange(len(fps)), ())]  # members, and for every vantage point above them the distances to it by place
     while todo:
-        own = todo.pop()
+        own, above = todo.pop()
         if len(own) <= LEAF:
             i, j = np.triu_indices(len(own), 1)
-            close(own[i], own[j])
+            close(own[i], own[j], above)
             continue
         vantage, rest = own[0], own[1:]
-        d = distances(fps[rest], fps[vantage])
-        near = d <= radius(sizes[rest], sizes[vantage])
-        out_i.append(np.full(near.sum(), vantage))
-        out_j.append(rest[near])
-        order = np.argsort(d, kind="stable")
-        rest, d = rest[order], d[order]
-        most = int(radius(sizes[rest].max(), sizes[rest].max()))
+        d = np.zeros(len(fps), np.int32)
+        d[rest] = distances(fps[rest], fps[vantage])
+        close(np.full(len(rest), vantage), rest, above)
+        rest = rest[np.argsort(d[rest], kind="stable")]
         middle = len(rest) // 2
-        inner, outer, d_in, d_out = rest[:middle], rest[middle:], d[:middle], d[middle:]
-        until = np.searchsorted(d_out, d_in + most, "right")
+        inner, outer = rest[:middle], rest[middle:]
+        most = int(radius(sizes[rest].max(), sizes[rest].max()))
+        until = np.searchsorted(d[outer], d[inner] + most, "right")
+        if count is not None:
+            count.update(pruned=int(len(inner) * len(outer) - until.sum()))
         for k in range(np.searchsorted(until, 1), middle):
-            close(np.full(until[k], inner[k]), outer[: until[k]])
-        todo += [inner, outer]
+            close(np.full(until[k], inner[k]), outer[: until[k]], (*above, d))
+        todo += [(inner, (*above, d)), (outer, (*above, d))]
     return np.concatenate(out_i), np.concatenate(out_j)
 
 
-def shard_pairs(key: np.ndarray, cls: np.ndarray, sizes: np.ndarray, fps: np.ndarray, hot: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shard_pairs(key: np.ndarray, cls: np.ndarray, sizes: np.ndarray, fps: np.ndarray, hot: int, count: Counter | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of classes over all shards of one partition, and the places of the members of hot shards.
 
-    Shards up to LEAF members (leaves) are compared together, by shifts of the sorted rows.
+    The root of every shard's tree is worked on for all shards together: its first member is the vantage point. Of shards
+    up to LEAF + 1 members the rest is one leaf; these are searched together as well, by shifts of the sorted rows, under
+    the bound of the vantage point. Larger ones go on as trees.
     """
     order = np.lexsort((cls, key))
     key, cls, sizes, fps = key[order], cls[order], sizes[order], fps[order]
     bounds = np.flatnonzero(np.r_[True, key[1:] != key[:-1], True])
     length = np.diff(bounds)
-    small = np.repeat(length <= LEAF, length)
+    small = np.repeat((length > 1) & (length <= LEAF + 1), length)
     left, right, held = [], [], []
-    where = np.flatnonzero(small & np.repeat(length > 1, length))
+    where = np.flatnonzero(small)
+    vantage = np.repeat(bounds[:-1], length)[where]
+    d = distances(fps[where], fps[vantage])
+    near = (d <= radius(sizes[where], sizes[vantage])) & (where != vantage)
+    left.append(cls[vantage[near]])
+    right.append(cls[where[near]])
+    if count is not None:
+        count.update(met=int((where != vantage).sum()), shards=int((length > 1).sum()), trees=int((length > LEAF + 1).sum()))
+    rest = where != vantage
+    where, d = where[rest], d[rest]
     s_key, s = key[where], 1
     while len(where) > s:
         i = np.flatnonzero(s_key[s:] == s_key[:-s])
         if not len(i):
             break
-        a, b = where[i], where[i + s]
-        near = distances(fps[a], fps[b]) <= radius(sizes[a], sizes[b])
+        most = radius(sizes[where[i]], sizes[where[i + s]])
+        fit = np.abs(d[i] - d[i + s]) <= most
+        if count is not None:
+            count.update(met=int(fit.sum()), pruned=int((~fit).sum()))
+        a, b = where[i[fit]], where[i[fit] + s]
+        near = distances(fps[a], fps[b]) <= most[fit]
         left.append(cls[a[near]])
         right.append(cls[b[near]])
         s += 1
-    for g in np.flatnonzero(length > LEAF):
+    for g in np.flatnonzero(length > LEAF + 1):
         at = slice(bounds[g], bounds[g + 1])
         if length[g] > hot:
             held.append(order[at])
             continue
-        i, j = tree_pairs(fps[at], sizes[at])
+        i, j = tree_pairs(fps[at], sizes[at], count)
         left.append(cls[at][i])
         right.append(cls[at][j])
     none = np.zeros(0, np.int64)
@@ -249,18 +277,32 @@ def search(rows: DataFrame, hot: int) -> DataFrame:
     return rows.mapInArrow(run, "a bigint, b bigint, key bigint, cls bigint, n int, fp binary")
 
 
-def hot_pairs(held: DataFrame, hot: int) -> DataFrame:
-    """Pairs of shards that are too large for one task: blocks of about hot / 2 members, a task for two blocks.
+def in_blocks(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Rows (key, cls, n, fp) with those of hot shards, counts (key, blocks), once for every two blocks that meet there.
+
+    Members of equal hash fall into one block; every two blocks meet under one key, each block with itself as well. So no
+    task sees more of a hot shard than two blocks. Rows of other shards keep their key.
+    """
+    placed = rows.join(counts, "key", "left").withColumn("own", F.pmod(F.xxhash64("cls", F.lit(11)), F.coalesce("blocks", F.lit(1))).cast("int"))
+    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1)))
+    paired = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    return met.select(F.when(F.col("blocks").isNull(), F.col("key")).otherwise(paired).alias("key"), "cls", "n", "fp")
+
+
+def hot_shards(classes: DataFrame, bands: int, rows: int, hot: int) -> DataFrame:
+    """(key, blocks) of the shards that a sample of one class in SAMPLED shows to be above ``hot`` members.
 
-    Members of equal hash fall into one block; every two blocks meet under one key, each block with itself as well.
+    What a sample misses is found when the shard is searched and comes back from there (``search``).
     """
+    sampled = banded(classes.where(F.pmod(F.xxhash64("cls", F.lit(23)), F.lit(SAMPLED)) == 0), bands, rows)
+    counts = sampled.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") * SAMPLED > hot)
+    return counts.select("key", F.ceil(F.col("n") * SAMPLED / (hot / 4)).cast("int").alias("blocks"))
+
+
+def hot_pairs(held: DataFrame, hot: int) -> DataFrame:
+    """Pairs of shards that were met as too large for one task: blocks of about hot / 2 members, a task for two blocks."""
     counts = held.groupBy("key").agg(F.ceil(F.count("*") / (hot / 2)).cast("int").alias("blocks"))
-    placed = held.join(counts, "key").withColumn("own", F.pmod(F.xxhash64("cls", F.lit(11)), F.col("blocks")).cast("int"))
-    met = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    keyed = met.select(
-        F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")).alias("key"), "cls", "n", "fp"
-    )
-    return search(keyed.repartition("key"), 1 << 30).select("a", "b")
+    return search(in_blocks(held, counts).repartition("key"), 1 << 30).select("a", "b")
 
 
 def exact(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -289,7 +331,10 @@ def exact(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def class_pairs(classes: DataFrame, bands: int = BANDS, rows: int = ROWS, hot: int = HOT) -> DataFrame:
     """Near-copy pairs (a < b, similarity) of the classes (cls, words)."""
-    found = cut(search(banded(classes, bands, rows).repartition("key"), hot))
+    sharded, known = banded(classes, bands, rows), cut(hot_shards(classes, bands, rows, hot))
+    if not known.isEmpty():
+        sharded = in_blocks(sharded, known)
+    found = cut(search(sharded.repartition("key"), hot))
     plain = found.where("a IS NOT NULL").select("a", "b")
     held = found.where("key IS NOT NULL").select("key", "cls", "n", "fp")
     if not held.isEmpty():
@@ -297,15 +342,30 @@ def class_pairs(classes: DataFrame, bands: int = BANDS, rows: int = ROWS, hot: i
     return exact(plain, classes)
 
 
-def near_copies(texts: DataFrame, min_words: int = MIN_WORDS, bands: int = BANDS, rows: int = ROWS, hot: int = HOT) -> DataFrame:
+def spread(members: DataFrame, copies: int = COPIES) -> tuple[DataFrame, DataFrame]:
+    """The members (cls, id) with the block of their class that holds them, and (cls, blocks) of the classes with several."""
+    large = members.groupBy("cls").agg(F.ceil(F.count("*") / copies).cast("int").alias("blocks")).where("blocks > 1")
+    blocks = F.coalesce("blocks", F.lit(1))
+    placed = members.join(large, "cls", "left").select("cls", "id", F.pmod(F.xxhash64("id", F.lit(31)), blocks).cast("int").alias("block"))
+    return placed, large
+
+
+def expanded(pairs: DataFrame, column: str, placed: DataFrame, large: DataFrame, name: str) -> DataFrame:
+    """Pairs with every member of the class in ``column`` under ``name``; a class of many copies is met block by block."""
+    of = pairs.join(large.withColumnRenamed("cls", column), column, "left")
+    each = of.withColumn("block", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))).drop("blocks")
+    return each.join(placed.select(F.col("cls").alias(column), "block", F.col("id").alias(name)), [column, "block"]).drop("block")
+
+
+def near_copies(texts: DataFrame, min_words: int = MIN_WORDS, bands: int = BANDS, rows: int = ROWS, hot: int = HOT, copies: int = COPIES) -> DataFrame:
     """(id_a, id_b) of all near copies among the texts (id, text), id_a < id_b, each pair once."""
     members = cut(word_sets(texts, min_words))
-    classes = members.groupBy("cls").agg(F.first("words").alias("words"))
-    of = members.select("cls", "id")
-    x, y = of.select(F.col("cls").alias("a"), F.col("id").alias("x")), of.select(F.col("cls").alias("b"), F.col("id").alias("y"))
-    different = class_pairs(classes, bands, rows, hot).join(x, "a").join(y, "b").select("x", "y")
-    equal = x.join(y.withColumnRenamed("b", "a"), "a").where("x < y").select("x", "y")
-    return different.union(equal).select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
+    classes = cut(members.groupBy("cls").agg(F.first("words").alias("words"), F.count("*").alias("copies")))
+    placed, large = spread(members.select("cls", "id"), copies)
+    pairs = class_pairs(classes.select("cls", "words"), bands, rows, hot).select("a", "b")
+    same = classes.where("copies > 1").select(F.col("cls").alias("a"), F.col("cls").alias("b"))
+    met = expanded(expanded(pairs.union(same), "a", placed, large, "x"), "b", placed, large, "y")
+    return met.where("a <> b OR x < y").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 
 def groups(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -315,7 +375,7 @@ def groups(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     all neighbours and then the label of that label, so the rounds grow with the logarithm of a part's width.
     """
     members = cut(word_sets(texts, min_words))
-    classes = members.groupBy("cls").agg(F.first("words").alias("words"), F.min("id").alias("low"), F.count("*").alias("copies"))
+    classes = cut(members.groupBy("cls").agg(F.first("words").alias("words"), F.min("id").alias("low"), F.count("*").alias("copies")))
     pairs = cut(class_pairs(classes.select("cls", "words")))
     both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     links = both.join(classes.select(F.col("cls").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("outside"))

@@ -44,8 +44,7 @@ def long_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chunks above 500 characters and the first line in which a cut has to be forced."""
-    pieces = splitting.split_column(long_texts(spark, sf_dir))
-    return pieces.where("piece_no = 0").select("id", "forced_line")
+    return splitting.forced_lines(long_texts(spark, sf_dir))
 
 
 def p2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ Natural boundaries are line breaks and ends of sentences: ``.``, ``!`` or ``?``
 line, and any full-width one. A stretch that is longer than the limit after trimming has none inside and is cut by force,
 at white space if there is any in the last tenth of the room, else at the limit.
 
-Defined results: null, empty and short texts (up to the limit) give no row; pieces end without white space and start
+Defined results: null, empty and short texts (up to the limit) give no row; a long text of white space has no piece, but its row
+in ``forced_lines``, with 0; pieces end without white space and start
 without it but for the overlap, and one of white space only is not given; where a stretch and the overlap together exceed the limit, the overlap is
 shortened, never the stretch; a null start line gives null lines; repeated rows are each split. The work is linear in
 the text, in one pass without a shuffle.
@@ -118,6 +119,23 @@ def split_text(text: str, limit: int = LIMIT, overlap: int = OVERLAP) -> tuple[l
     return out, first_forced
 
 
+def forced_lines(texts: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
+    """(id, forced_line): one row for every text (id, text, start_line) above ``limit`` characters, whatever pieces it has.
+
+    0 where no cut is forced, null where one is and the start line is null.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lines = []
+            for text, line in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                _, place = split_text(text, limit, overlap)
+                lines.append(0 if place < 0 else None if line is None else line + text.count("\n", 0, place))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(lines, pa.int32())], ["id", "forced_line"])
+
+    return texts.where(F.length("text") > limit).select("id", "text", "start_line").mapInArrow(run, "id string, forced_line int")
+
+
 def split_column(texts: DataFrame, limit: int = LIMIT, overlap: int = OVERLAP) -> DataFrame:
     """All pieces of the texts (id, text, start_line) above ``limit`` characters (code points)."""
     if not 0 <= overlap < limit // 2:

@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -45,7 +46,37 @@ def test_hot_shards_are_worked_on_in_blocks(spark):
     base = [f"b{k}" for k in range(60)]
     rows = [(f"h{k:03d}", " ".join(base[: 60 - rng.randrange(4)] + [f"u{k}"])) for k in range(150)]
     d = spark.createDataFrame(rows, "id string, text string")
-    assert {tuple(r) for r in neardup.near_copies(d, hot=20, bands=60).collect()} == brute(rows)
+    assert {tuple(r) for r in neardup.near_copies(d, hot=20, bands=60, copies=5).collect()} == brute(rows)
+
+
+def test_sampled_hot_shards_lose_nothing(spark):
+    rng = random.Random(9)
+    base = [f"b{k}" for k in range(60)]
+    rows = [(f"h{k:03d}", " ".join(base[: 60 - rng.randrange(4)] + [f"u{k}"])) for k in range(120)] + [(f"c{k:02d}", " ".join(base)) for k in range(23)]
+    d = spark.createDataFrame(rows, "id string, text string")
+    sampled, neardup.SAMPLED = neardup.SAMPLED, 2
+    try:
+        assert not neardup.hot_shards(neardup.word_sets(d), 60, 5, 8).isEmpty()
+        assert {tuple(r) for r in neardup.near_copies(d, hot=8, bands=60, copies=4).collect()} == brute(rows)
+    finally:
+        neardup.SAMPLED = sampled
+
+
+def test_bounds_of_vantage_points_prune_and_lose_nothing():
+    rng = np.random.default_rng(6)
+    base = rng.integers(0, 1 << 63, (1, neardup.LANES), dtype=np.uint64)
+    fps = np.repeat(base, 240, axis=0)
+    for k in range(240):  # members at all distances from the first
+        for bit in rng.choice(192, k // 2, replace=False):
+            fps[k, bit // 64] ^= np.uint64(1) << np.uint64(bit % 64)
+    sizes, count = np.full(240, 60, np.int32), Counter()
+    i, j = neardup.tree_pairs(fps, sizes, count)
+    d = np.bitwise_count(fps[:, None] ^ fps[None]).sum(axis=2)
+    assert {tuple(sorted(p)) for p in zip(i.tolist(), j.tolist())} == {(a, b) for a, b in zip(*np.nonzero(d <= neardup.radius(60, 60))) if a < b}
+    assert count["pruned"] > count["met"] and count["met"] + count["pruned"] == 240 * 239 // 2
+    key, cls = np.repeat(np.arange(80), 3), np.arange(240)
+    a, b, held = neardup.shard_pairs(key, cls, sizes, fps, 100)
+    assert {(x, y) for x, y in zip(a.tolist(), b.tolist())} == {(x, y) for x, y in zip(*np.nonzero(d <= neardup.radius(60, 60))) if x < y and x // 3 == y // 3} and not len(held)
 
 
 def test_recall_at_the_limit_with_the_bands_of_the_query(spark):
@@ -124,6 +155,8 @@ def test_lines_nulls_and_empties(spark):
     d = spark.createDataFrame([("a", long, 5, 1), ("b", None, 1, 1), ("c", "", 1, 1), ("d", long, None, 1), ("e", " " * 900, 1, 1), ("f", "z" * 1200, 7, 1)], "id string, text string, start_line int, piece_no int")
     got = splitting.split_column(d).toPandas()
     assert set(got["id"]) == {"a", "d", "f"}
+    lines = {r["id"]: r["forced_line"] for r in splitting.forced_lines(d).collect()}
+    assert lines == {"a": 0, "d": 0, "e": 0, "f": 7}
     own = got[got["id"] == "a"]
     assert own["start_line"].iloc[0] == 5 and own["end_line"].iloc[-1] == 6 and set(own["forced_line"]) == {0}
     assert got[got["id"] == "d"]["start_line"].isna().all()
