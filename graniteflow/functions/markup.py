@@ -99,3 +99,55 @@ def image_links(html: Column, replacements: dict[str, str]) -> Column:
     for old, new in replacements.items():
         html = F.replace(html, F.lit(f'src="{old}"'), F.lit(f'src="{new}"'))
     return html
+
+
+def redeclared(html: Column, encoding: str) -> Column:
+    """A page whose first declaration of an encoding names another one; the rest of the page is as it was."""
+    return F.regexp_replace(html, r"(?is)\A(.*?(?:charset|encoding)\s*=\s*[\"']?\s*)[\w-]+", f"$1{encoding}")
+
+
+# What is left of dashes and quotes whose UTF-8 bytes were read as Latin-1.
+BROKEN = ("â€™", "â€œ", "â€\x9d", "â€“", "â€”", "â€¦")
+
+
+def kept_encoding(before: bytes | None, after: bytes | None) -> str | None:
+    """What a rewrite of a page did to its encoding: "declaration", "broken" or "grown"; None if nothing.
+
+    Growth is above 10 % and 10 kB.
+    """
+    a, b = before or b"", after or b""
+    if declared(a) != declared(b):
+        return "declaration"
+    if any(x in decoded(b) and x not in decoded(a) for x in BROKEN):
+        return "broken"
+    return "grown" if len(b) > 1.1 * len(a) and len(b) - len(a) > 10_000 else None
+
+
+def rewritten(content: bytes | None, replacements: dict[str, str]) -> bytes | None:
+    """A page in its own encoding with image sources replaced; in UTF-8, declared as such, where that encoding lacks a character."""
+    if content is None:
+        return None
+    name, text = declared(content), decoded(content)
+    for old, new in replacements.items():
+        for mark in "\"'":
+            text = text.replace(f"src={mark}{old}{mark}", f"src={mark}{new}{mark}")
+    try:
+        return text.encode(name)
+    except UnicodeEncodeError:
+        return re.sub(r"((?:charset|encoding)\s*=\s*[\"']?\s*)[\w-]+", r"\1utf-8", text, count=1, flags=re.I).encode("utf-8")
+
+
+def image_keys(page_url: Column, source: Column, place: Column) -> Column:
+    """(key, place) of an image: its address, its file name, and the path of its address, as a page may name it."""
+    whole = F.when(source.rlike("^https?://"), source).otherwise(F.concat(F.regexp_replace(page_url, "[^/]*$", ""), source))
+    keys = F.array_distinct(F.array(whole, F.element_at(F.split(source, "/"), -1), F.parse_url(whole, F.lit("PATH"))))
+    return F.transform(keys, lambda k: F.struct(k.alias("key"), place.alias("place")))
+
+
+# Labels before the text of a release.
+RELEASE_LABELS = ("Release Time:", "Stock Code:", "Stock Short Name:", "Document:", "發放時間:", "股份代號:", "股份簡稱:", "文件:", "发放时间:")
+
+
+def release_text(text: Column) -> Column:
+    """The text of a release, repaired, without its label."""
+    return F.trim(F.regexp_replace(repair(text), "^\\s*(?:" + "|".join(RELEASE_LABELS) + ")\\s*", ""))

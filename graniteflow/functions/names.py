@@ -55,3 +55,30 @@ def search(companies: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     hits = c.crossJoin(q).withColumn("tier", tier).where("tier IS NOT NULL").groupBy("query", "code").agg(F.min("tier").alias("tier"))
     w = Window.partitionBy("query").orderBy("tier", "code")
     return hits.withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)
+
+
+# How an identifier starts by exchange.
+ORG_PREFIXES = {"SH": "gssh", "SZ": "gssz", "BJ": "gsbj"}
+
+
+def org_id(code: Column) -> Column:
+    """An identifier built from a code where no look-up has one: prefix of its exchange, 0 and six digits."""
+    six = padded_code(code)
+    prefix = F.coalesce(*(F.when(exchange(six) == e, F.lit(p)) for e, p in ORG_PREFIXES.items()))
+    return F.concat(prefix, F.lit("0"), six)
+
+
+def search_listed(companies: DataFrame, queries: DataFrame, k: int, width: int = 5) -> DataFrame:
+    """(query, code, place): a query of digits finds its code, filled up with zeros to ``width``; another one finds names that hold it.
+
+    ``companies`` has code and names (an array). Each company counts once; hits come in order of code, at most k a query.
+    Queries of digits meet codes by an equi-join; the others are few and broadcast where small by the planner's own measure.
+    """
+    q = queries.where(F.trim("query") != "").select("query", F.lower(F.trim("query")).alias("low"))
+    digits = F.col("low").rlike("^[0-9]+$")
+    coded = q.where(digits).select("query", F.when(F.length("low") < width, F.lpad("low", width, "0")).otherwise(F.col("low")).alias("code"))
+    by_code = coded.join(companies.select("code").distinct(), "code").select("query", "code")
+    named = companies.select("code", F.explode("names").alias("name")).where("name IS NOT NULL").select("code", F.lower("name").alias("name")).distinct()
+    by_name = named.join(q.where(~digits), F.col("name").contains(F.col("low"))).select("query", "code").distinct()
+    w = Window.partitionBy("query").orderBy("code")
+    return by_code.union(by_name).withColumn("place", F.row_number().over(w)).where(F.col("place") <= k)

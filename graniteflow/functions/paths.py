@@ -50,3 +50,25 @@ def content_type(path: Column) -> Column:
     """The type of an object by its extension; plain bytes where that is unknown."""
     ext = F.lower(F.regexp_extract(path, r"\.([^./]+)$", 1))
     return F.coalesce(*(F.when(ext == e, t) for e, t in CONTENT_TYPES.items()), F.lit("application/octet-stream"))
+
+
+def gold(category: Column, market: Column, code: Column, name: Column) -> Column:
+    """The place of a final product; parts that are null are left out."""
+    return F.concat_ws("/", F.lit("gold"), category, market, code, name)
+
+
+def application(kind: Column, folder: Column, name: Column) -> Column:
+    """The place of what an application keeps; parts that are null are left out."""
+    return F.concat_ws("/", F.lit("application"), kind, folder, name)
+
+
+def silver_period(market: Column, doc_type: Column, code: Column, year: Column, quarter: Column, folder: Column, name: Column) -> Column:
+    """The place of a product of parsing by type and period; folder and name may be null."""
+    return F.concat_ws("/", F.lit("silver"), folder, market, doc_type, code, year.cast("string"), period_folder(quarter), name)
+
+
+def artifacts(object_path: Column, markdown_path: Column) -> Column:
+    """All places that a filing's products take: its file, the markdown, what lies beside that, and the folder of its images."""
+    beside = F.transform(F.array(F.lit("structure.json"), F.lit("chunks.json"), F.lit("content_list.json"), F.lit("images/")), lambda n: F.regexp_replace(markdown_path, F.lit("[^/]+$"), n))
+    some = F.nullif(markdown_path, F.lit(""))
+    return F.array_distinct(F.array_compact(F.concat(F.array(F.nullif(object_path, F.lit(""))), F.when(some.isNotNull(), F.concat(F.array(some), beside)).otherwise(F.array().cast("array<string>")))))

@@ -106,3 +106,56 @@ def any_date(text: Column) -> Column:
     """A date out of the first word, written with dashes, slashes, dots or none."""
     first = F.regexp_replace(F.substring_index(F.trim(text), " ", 1), "[/.]", "-")
     return F.coalesce(F.try_to_timestamp(first, F.lit("yyyy-M-d")), F.try_to_timestamp(first, F.lit("yyyyMMdd"))).cast("date")
+
+
+def quarter_of(day: Column) -> tuple[Column, Column]:
+    """The year and quarter of a day; of today for ``F.current_date()``."""
+    return F.year(day), F.quarter(day)
+
+
+def quarter_name(quarter: Column) -> Column:
+    """ "Q3" for 3; null outside 1 to 4."""
+    return F.when(quarter.between(1, 4), F.concat(F.lit("Q"), quarter.cast("string")))
+
+
+def day_of_ms(ms: Column) -> Column:
+    """dd-MM-yyyy of milliseconds since 1970, "NA" for none or 0."""
+    return F.coalesce(F.when(ms != 0, F.date_format(F.timestamp_millis(ms), "dd-MM-yyyy")), F.lit("NA"))
+
+
+def year_of_ms(ms: Column, today: Column | None = None) -> Column:
+    """The year of milliseconds since 1970 as text; this year where there are none."""
+    now = F.current_date() if today is None else today
+    return F.coalesce(F.year(F.timestamp_millis(ms)), F.year(now)).cast("string")
+
+
+def years_back(today: Column, years: int = 20) -> Column:
+    """The span of days from the first of January ``years`` years ago to the end of this year."""
+    return F.struct(F.make_date(F.year(today) - years, F.lit(1), F.lit(1)).alias("first"), F.make_date(F.year(today), F.lit(12), F.lit(31)).alias("last"))
+
+
+def doc_type_of_quarter(quarter: Column) -> Column:
+    """The kind of report that a quarter has."""
+    return F.when(quarter == "Q4", "annual_report").when(quarter == "Q2", "interim_report").when(quarter.isin("Q1", "Q3"), "quarterly_report").otherwise("unknown")
+
+
+def filing_folder(form: Column, quarter: Column) -> Column:
+    """FY for annual and other forms, Q1 to Q3 for quarterly ones; null for a quarterly form without such a quarter."""
+    quarterly = form.isin("10-Q", "10-Q/A")
+    return F.when(quarterly, F.when(quarter.between(1, 3), F.concat(F.lit("Q"), quarter.cast("string")))).otherwise("FY")
+
+
+# Kind of search and quarter of a task without one, by document type.
+REPORT_KINDS = {"annual_reports": ("annual", "Q4"), "interim_reports": ("interim", "Q2"), "quarterly_reports": ("quarterly", "Q1")}
+
+
+def report_kind(doc_type: Column, quarter: Column) -> tuple[Column, Column]:
+    """(kind of search, quarter) of a task; annual and its quarter for an unknown type."""
+    of = lambda i: F.coalesce(*(F.when(doc_type == t, v[i]) for t, v in REPORT_KINDS.items()), F.lit(REPORT_KINDS["annual_reports"][i]))
+    return of(0), F.coalesce(quarter, of(1))
+
+
+def release_time(text: Column) -> Column:
+    """A time dd/MM/yyyy [HH:mm], midnight without one; null for anything else."""
+    t = F.trim(text)
+    return F.coalesce(F.try_to_timestamp(t, F.lit("dd/MM/yyyy HH:mm")), F.try_to_timestamp(t, F.lit("dd/MM/yyyy")))

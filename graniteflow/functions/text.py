@@ -1,9 +1,13 @@
-"""Column functions over text. Null in, null out; all are expressions of the JVM, so scans stay in one stage."""
+"""Column functions over text. Null in, null out; all but ``folded`` are expressions of the JVM, so scans stay in one stage."""
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # White space as most text tools trim it; \s alone is ASCII only on the JVM.
 BLANK = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -81,3 +85,41 @@ def html_lines(c: Column) -> Column:
     text = F.regexp_replace(F.regexp_replace(bare, "(?i)<(br|/p|/div|/tr|/li|/h[1-6])[^>]*>", "\n"), "<[^>]+>", " ")
     lines = F.filter(F.transform(F.split(text, "\n"), squeeze), lambda x: ~x.rlike("^[-=_*]*$"))
     return without_repeats(lines)
+
+
+@F.pandas_udf(T.StringType())
+def folded(text: pd.Series) -> pd.Series:
+    """Compatibility forms made plain (NFKC), white space dropped, lower case. The JVM has no such function, so Arrow batches go to Python."""
+    return text.map(lambda t: None if t is None else "".join(unicodedata.normalize("NFKC", t).split()).lower())
+
+
+def loose_int(c: Column) -> Column:
+    """A whole number out of text that may be written as a decimal; null for what is none or not finite."""
+    n = F.trim(c).try_cast("double")
+    return F.when(n.isNotNull() & ~F.isnan(n) & (F.abs(n) < 2**53), n).cast("bigint")
+
+
+def info(items: Column, values: Column) -> Column:
+    """(aggregate) a map of item to value; blank items and the texts None and nan count as none, the last of equal items as they come sorted counts."""
+    value = F.when(~F.lower(F.trim(values)).isin("none", "nan", ""), F.trim(values))
+    pairs = F.array_sort(F.collect_set(F.when(F.trim(items) != "", F.struct(F.trim(items).alias("item"), value.alias("value")))))
+    return F.map_from_entries(F.filter(pairs, lambda p: p["value"].isNotNull()))
+
+
+def code_and_name(c: Column) -> tuple[Column, Column]:
+    """(code, name) out of a text like {"ind_code": .., "ind_name": ..}, with single or double quotes; other text is the name alone."""
+    plain = F.replace(F.trim(c), F.lit("'"), F.lit('"'))
+    is_map = plain.startswith("{")
+    get = lambda key: F.nullif(F.get_json_object(plain, f"$.{key}"), F.lit(""))
+    return F.when(is_map, get("ind_code")), F.when(is_map, get("ind_name")).otherwise(F.nullif(F.trim(c), F.lit("")))
+
+
+def object_url(base: str, path: Column) -> Column:
+    """The address of an attachment from its path, with or without a leading slash; null for a blank one."""
+    bare = F.regexp_replace(F.trim(path), "^/+", "")
+    return F.when(bare != "", F.concat(F.lit(base.rstrip("/") + "/"), bare))
+
+
+def tokens(c: Column) -> Column:
+    """About how many tokens a text has: a quarter of its characters."""
+    return F.floor(F.length(c) / 4).cast("int")

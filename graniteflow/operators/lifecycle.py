@@ -70,3 +70,8 @@ def orphans(df: DataFrame, keys: DataFrame, column: str, other: str) -> DataFram
 def without(tables: dict[str, DataFrame], doomed: DataFrame, column: str) -> dict[str, DataFrame]:
     """Every table without the rows that belong to the doomed keys: a cascading delete as a rewrite."""
     return {name: df.join(doomed.select(column), column, "left_anti") for name, df in tables.items()}
+
+
+def targets(companies: DataFrame, codes: DataFrame | None, n: int) -> DataFrame:
+    """Companies (code, ...) that a job takes: the first ``n`` by code where no list of codes is given, else all on the list (none of an empty one)."""
+    return first_n(companies, n, F.col("code")) if codes is None else companies.join(codes.select("code"), "code", "left_semi")

@@ -102,3 +102,32 @@ def outline(headings: DataFrame) -> DataFrame:
 def versions(rows: DataFrame, key: str, order: Column) -> DataFrame:
     """Rows with a number that counts the versions of their key from 1."""
     return rows.withColumn("version", F.row_number().over(Window.partitionBy(key).orderBy(order)))
+
+
+# Types of documents and ways to walk the graph that a request may name.
+DOC_TYPES = ("quarterly_reports", "interim_reports", "annual_reports", "ipo_prospectus", "announcements", "earnings_calls", "10k", "10q", "8k")
+WALKS = ("document", "chunk", "hierarchy")
+
+
+def check_request(doc_types: list[str] | str | None = None, quarter: int | None = None, graph: str | None = None) -> None:
+    """Refuse a request that names an unknown type, a quarter outside 1 to 4 or an unknown walk."""
+    for t in [doc_types] if isinstance(doc_types, str) else doc_types or []:
+        if t not in DOC_TYPES:
+            raise ValueError(f"no document type {t}")
+    if quarter is not None and not 1 <= quarter <= 4:
+        raise ValueError("quarters are 1 to 4")
+    if graph is not None and graph not in WALKS:
+        raise ValueError(f"no walk {graph}")
+
+
+def source_lines(hits: DataFrame) -> DataFrame:
+    """(text): the numbered sources of a result list (rank, company, period), one line each."""
+    line = F.concat(F.lit("["), F.col("rank").cast("string"), F.lit("] "), F.concat_ws(", ", "company", "period"))
+    rows = F.array_sort(F.collect_list(F.struct("rank", line.alias("line"))))
+    return hits.agg(rows.alias("rows")).select(F.array_join(F.transform("rows", lambda r: r["line"]), "\n").alias("text"))
+
+
+def response(hits: DataFrame, question: str, kind: str, k: int) -> DataFrame:
+    """The first k hits (rank, ...) with the question, cut to 100 characters, the kind of search and their number."""
+    top = hits.orderBy("rank").limit(k)
+    return top.withColumns({"query": F.lit(question[:100]), "kind": F.lit(kind), "total": F.count("*").over(Window.partitionBy(F.lit(1))).cast("int")})

@@ -15,8 +15,11 @@ from pyspark.sql import functions as F
 from graniteflow.functions import names
 
 
-def task_list(spark: SparkSession, path: str, encodings: tuple[str, ...] = ("utf-8-sig", "gbk", "gb2312")) -> DataFrame:
-    """(code, name, year, quarter) of CSV files of tasks; rows without code, name or year are dropped, Q4 is the default.
+ENCODINGS = ("utf-8-sig", "gbk", "gb2312")
+
+
+def raw_tasks(spark: SparkSession, path: str, encodings: tuple[str, ...]) -> DataFrame:
+    """(code, name, year, quarter) of CSV files as they are but for blanks and padded codes.
 
     A file is read in the first encoding that fits all of it. Task lists are small; each file is decoded by one task.
     """
@@ -38,7 +41,12 @@ def task_list(spark: SparkSession, path: str, encodings: tuple[str, ...] = ("utf
 
     raw = spark.read.format("binaryFile").load(path).select("content").mapInPandas(run, "code string, name string, year string, quarter string")
     filled = lambda c: F.nullif(F.trim(c), F.lit(""))
-    rows = raw.select(names.padded_code(filled("code")).alias("code"), filled("name").alias("name"), filled("year").try_cast("int").alias("year"), F.coalesce(F.upper(filled("quarter")), F.lit("Q4")).alias("quarter"))
+    return raw.select(names.padded_code(filled("code")).alias("code"), filled("name").alias("name"), filled("year").try_cast("int").alias("year"), F.upper(filled("quarter")).alias("quarter"))
+
+
+def task_list(spark: SparkSession, path: str, encodings: tuple[str, ...] = ENCODINGS) -> DataFrame:
+    """(code, name, year, quarter) of CSV files of tasks; rows without code, name or year are dropped, Q4 is the default."""
+    rows = raw_tasks(spark, path, encodings).withColumn("quarter", F.coalesce("quarter", F.lit("Q4")))
     return rows.where("code IS NOT NULL AND name IS NOT NULL AND year IS NOT NULL")
 
 
@@ -155,7 +163,7 @@ def table_links(pages: DataFrame) -> DataFrame:
                 rows += [(doc, cells[-1] if cells else None, href, cells[0] if cells else None) for href, cells in parser.rows if href]
             yield pd.DataFrame(rows, columns=["doc", "title", "href", "released"])
 
-    found = pages.select("doc", "html").mapInPandas(run, "doc string, title string, href string, released string")
+    found = pages.select(F.col("doc").cast("string").alias("doc"), "html").mapInPandas(run, "doc string, title string, href string, released string")
     time = F.coalesce(F.try_to_timestamp("released", F.lit("dd/MM/yyyy HH:mm")), F.try_to_timestamp("released", F.lit("dd/MM/yyyy")))
     return found.withColumn("released", time).where("released IS NOT NULL AND href <> ''")
 
@@ -179,3 +187,67 @@ def archive_members(archives: DataFrame) -> DataFrame:
             yield pd.DataFrame(rows, columns=["path", "member", "kind", "size", "text"])
 
     return archives.select("path", "content").mapInPandas(run, "path string, member string, kind string, size bigint, text string")
+
+
+def offer_list(spark: SparkSession, path: str) -> DataFrame:
+    """(code, name) of CSV files of tasks for prospectuses, which have no period; rows without code or name are dropped."""
+    return raw_tasks(spark, path, ENCODINGS).select("code", "name").where("code IS NOT NULL AND name IS NOT NULL")
+
+
+def cached(tasks: DataFrame, reports: DataFrame) -> DataFrame:
+    """Tasks (code, year, quarter) with ``cached``: whether their report is there."""
+    keys = ["code", "year", "quarter"]
+    return tasks.join(reports.select(*keys).distinct().withColumn("cached", F.lit(True)), keys, "left").withColumn("cached", F.coalesce("cached", F.lit(False)))
+
+
+def submission(rows: DataFrame) -> DataFrame:
+    """(cik, name, exchanges, tickers): blank names as none, exchanges joined, tickers each once in order."""
+    joined = F.nullif(F.array_join("exchanges", ","), F.lit(""))
+    return rows.select("cik", F.nullif(F.trim("name"), F.lit("")).alias("name"), joined.alias("exchanges"), F.array_distinct("tickers").alias("tickers"))
+
+
+def primary_document(html: Column) -> Column:
+    """The longest relative link to a page that is no index, the first of equally long ones; null if there is none."""
+    links = F.filter(F.regexp_extract_all(html, F.lit("(?i)href\\s*=\\s*[\"']([^\"']+[.]html?)[\"']"), F.lit(1)), lambda h: ~h.contains("/") & ~F.lower(h).contains("index"))
+    longest = F.array_max(F.transform(links, lambda h: F.length(h)))
+    return F.get(F.filter(links, lambda h: F.length(h) == longest), F.lit(0))
+
+
+PARSER_OUTPUT = "markdown string, pages array<struct<tables: array<struct<html: string>>, images: array<struct<path: string>>>>"
+
+
+def parser_output(rows: DataFrame) -> DataFrame:
+    """(id, text_length, pages_count, tables_count, images_count, images) out of a parser's JSON (id, body); images as page:path.
+
+    A body that is no such JSON has no text and no pages.
+    """
+    p = rows.select("id", F.from_json("body", PARSER_OUTPUT).alias("p"))
+    pages = F.coalesce("p.pages", F.array().cast("array<struct<tables: array<struct<html: string>>, images: array<struct<path: string>>>>"))
+    total = lambda field: F.aggregate(pages, F.lit(0), lambda s, x: s + F.coalesce(F.size(x[field]), F.lit(0)))
+    images = F.flatten(F.transform(pages, lambda x, i: F.transform(F.coalesce(x["images"], F.array().cast("array<struct<path: string>>")), lambda m: F.concat_ws(":", i.cast("string"), m["path"]))))
+    return p.select("id", F.length("p.markdown").alias("text_length"), F.size(pages).alias("pages_count"), total("tables").alias("tables_count"), total("images").alias("images_count"), images.alias("images"))
+
+
+def merged_metadata(own: Column, more: Column, replaced: str) -> Column:
+    """Two maps as one: keys of ``own`` win, but the value under ``replaced`` is that of ``more`` where it has one."""
+    none = F.create_map().cast("map<string,string>")
+    a, b = F.coalesce(own, none), F.coalesce(more, none)
+    kept = F.map_filter(a, lambda k, v: ~((k == replaced) & F.map_contains_key(b, replaced)))
+    return F.map_concat(kept, F.map_filter(b, lambda k, v: ~F.map_contains_key(kept, k)))
+
+
+def year_of_name(name: Column, otherwise: Column) -> Column:
+    """The first year of this or the last century in a file name, else another one."""
+    return F.coalesce(F.regexp_extract(name, "(?<![0-9])((?:19|20)[0-9]{2})(?![0-9])", 1).try_cast("int"), otherwise)
+
+
+def stock_list(active: DataFrame, inactive: DataFrame, ids: DataFrame, kind: str, width: int = 5) -> DataFrame:
+    """(code, active, kind, org_id): active rows (code, category), then inactive ones of other codes, of one kind, that have an identifier.
+
+    The kind is how a category begins; what it has in brackets comes out. Codes are filled up with zeros.
+    """
+    padded = lambda c: F.when(F.length(c) < width, F.lpad(c, width, "0")).otherwise(F.col(c))
+    a = active.select(padded("code").alias("code"), "category", F.lit(True).alias("active"))
+    b = inactive.select(padded("code").alias("code"), "category", F.lit(False).alias("active")).join(a.select("code"), "code", "left_anti")
+    fit = a.unionByName(b).where(F.col("category").startswith(kind))
+    return fit.join(ids, "code").select("code", "active", F.regexp_extract("category", r"\(([^)]*)\)", 1).alias("kind"), "org_id")
