@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from graniteflow.operators.search import B, K1, relative
 
-WORD = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]+|[\p{L}\p{N}]+?(?=[\p{Han}\p{Hiragana}\p{Katakana}])|[\p{L}\p{N}]+")
+WORD = regex.compile(r"(?V1)[\p{Han}\p{Hiragana}\p{Katakana}]+|[[\p{L}\p{N}]--[\p{Han}\p{Hiragana}\p{Katakana}]]+")
 WIDE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}]")
 
 
@@ -48,12 +48,23 @@ class Index:
     documents: DataFrame
 
     def save(self, folder: str, partitions: int = 0) -> None:
-        """Write the tables; postings sorted by term, so that a question's scan skips nearly all row groups."""
+        """Write the tables; postings sorted by term, so that a question's scan skips nearly all row groups.
+
+        The texts are read once: the other tables are made from the postings that were written.
+        """
         spark = self.postings.sparkSession
         parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.postings.repartitionByRange(parts, "term", "key").sortWithinPartitions("term", "key").write.mode("overwrite").parquet(f"{folder}/postings")
+        written = counted(spark.read.parquet(f"{folder}/postings"), self.documents)
         for name in ("figures", "frequencies", "documents"):
-            getattr(self, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+            getattr(written, name).write.mode("overwrite").parquet(f"{folder}/{name}")
+
+
+def counted(postings: DataFrame, documents: DataFrame) -> Index:
+    """An index with its figures and frequencies out of its postings."""
+    per = postings.groupBy("field", "key").agg(F.first("len").alias("len"))
+    figures = per.groupBy("field").agg(F.count("*").alias("n"), F.avg("len").alias("avg_len"))
+    return Index(postings, figures, postings.groupBy("term", "field").agg(F.count("*").alias("df")), documents)
 
 
 def load(spark: SparkSession, folder: str) -> Index:
@@ -80,10 +91,7 @@ def build(rows: DataFrame, key: str, fields: list[str], filters: list[str]) -> I
 
     texts = rows.select(F.col(key).cast("string").alias("key"), *fields)
     postings = texts.mapInArrow(run, "term string, key string, field string, tf int, len int")
-    per = postings.groupBy("field", "key").agg(F.first("len").alias("len"))
-    figures = per.groupBy("field").agg(F.count("*").alias("n"), F.avg("len").alias("avg_len"))
-    frequencies = postings.groupBy("term", "field").agg(F.count("*").alias("df"))
-    return Index(postings, figures, frequencies, rows.select(F.col(key).cast("string").alias("key"), *filters))
+    return counted(postings, rows.select(F.col(key).cast("string").alias("key"), *filters))
 
 
 def search(index: Index, question: str, fields: dict[str, float], k: int, where: Column | None = None, least: float = 0.3, offset: int = 0) -> DataFrame:

@@ -13,11 +13,14 @@ with heading_index -1; lines of tables are never headings; a table is never spli
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from graniteflow.functions.text import html_lines
 
 LIMIT, DEEPEST, LONGEST, LONGEST_NUMBERED, SEPARATORS = 500, 9, 200, 500, 3
 # Forms of headings with their level, tried in this order.
@@ -122,15 +125,16 @@ def level_by_form(title: str, mode: str) -> int:
 
 
 class Levels:
-    """The headings accepted so far and the rules by which the next one finds its level."""
+    """The headings accepted so far, and the choice of a level for the next one.
+
+    Every earlier heading that the new one may stand beside, and every place that its form allows, is a candidate with a
+    score; the best one wins. First come headings whose number it continues: the last one, its ancestors, then the nearest
+    (a second number prefers the one nearest to the top). Then a section at the top; a first number one level below the last
+    heading; last, headings at most four numbers behind of which at most two are met in between.
+    """
 
     def __init__(self, mode: str):
         self.mode, self.seen = mode, []
-        # the first rule with an answer wins
-        self.rules: list[Callable[[Heading, int], int | None]] = [self.section, self.below_section, self.opens, self.continues_parent, self.continues_ancestor, self.continues_uncle, self.continues_cousin]
-
-    def last(self) -> Heading | None:
-        return self.seen[-1] if self.seen else None
 
     def above(self, h: Heading | None) -> list[Heading]:
         """The ancestors of a heading, the nearest first."""
@@ -141,83 +145,49 @@ class Levels:
         return out
 
     @staticmethod
-    def follows(new: Heading, old: Heading, gap: int = 1) -> bool:
-        """Whether a number continues another of the same form and prefix, or one a few before it."""
-        return bool(new.kind) and new.kind == old.kind and new.prefix == old.prefix and old.number < new.number <= old.number + gap
-
-    def section(self, new: Heading, base: int) -> int | None:
-        return 1 if base == 1 and not new.kind else None
-
-    def below_section(self, new: Heading, base: int) -> int | None:
-        last = self.last()
-        return 2 if new.kind and new.number == 1 and last and last.level == 1 and not last.kind else None
-
-    def opens(self, new: Heading, base: int) -> int | None:
-        last = self.last()
-        return min(DEEPEST, last.level + 1) if new.kind and new.number == 1 and last else None
-
-    def continues_parent(self, new: Heading, base: int) -> int | None:
-        return next((h.level for h in self.above(self.last())[:1] if self.follows(new, h)), None)
-
-    def continues_ancestor(self, new: Heading, base: int) -> int | None:
-        return next((h.level for h in self.above(self.last()) if self.follows(new, h)), None)
-
-    def continues_uncle(self, new: Heading, base: int) -> int | None:
-        levels = {h.level for h in self.above(self.last())}
-        return next((h.level for h in reversed(self.seen) if h.level in levels and self.follows(new, h)), None)
-
-    def continues_cousin(self, new: Heading, base: int) -> int | None:
-        last = self.last()
-        if not last or last.kind == new.kind:
-            return None
-        return next((h.level for h in reversed(self.seen) if h.parent == last.parent and self.follows(new, h)), None)
-
-    def continues(self, new: Heading) -> int | None:
-        """The level of the heading whose number this one continues: the last, an ancestor, else the nearest; a second
-        number takes the one nearest to the top. It goes before every other rule."""
-        last = self.last()
-        if last and self.follows(new, last):
-            return last.level
-        fits = [h for h in self.seen if self.follows(new, h)]
-        if not fits:
-            return None
-        above = {h.index for h in self.above(last)}
-        ranked = sorted(fits, key=lambda h: (h.level if new.number == 2 else 0, h.index not in above, -h.index))
-        return ranked[0].level
-
-    def nearly_continues(self, new: Heading, base: int) -> int | None:
-        """The level of an ancestor, or of a heading of the suggested level, that is at most four numbers behind with at
-        most two of those between already met."""
-        for h in [*self.above(self.last()), *(x for x in reversed(self.seen) if x.level == base)]:
-            if self.follows(new, h, 4):
+    def gap(new: Heading, old: Heading) -> int:
+        """How many numbers a heading is ahead of another of the same form and prefix; 0 if it is not, or has another form."""
+        return max(0, new.number - old.number) if new.kind and (new.kind, new.prefix) == (old.kind, old.prefix) else 0
+
+    def candidates(self, new: Heading, base: int) -> Iterator[tuple[tuple, int]]:
+        """(score, level) of the places that a heading may take; the least score is the best."""
+        last = self.seen[-1] if self.seen else None
+        if base == 1 and not new.kind:
+            yield (1,), 1
+        if new.kind and new.number == 1 and last:
+            yield (2,), min(DEEPEST, last.level + 1)
+        if not last:
+            yield (9,), base
+        above = {h.index: k for k, h in enumerate(self.above(last))}
+        for h in self.seen:
+            ahead = self.gap(new, h)
+            if ahead == 1:
+                relation = (0 if h is last else 1 if h.index in above else 2, -h.index)
+                yield (0, h is not last, h.level if new.number == 2 else 0, *relation), h.level
+            elif 1 < ahead <= 4 and (h.index in above or h.level == base):
                 between = sum(x.kind == new.kind and h.number < x.number < new.number for x in self.seen)
                 if between <= 2:
-                    return h.level
-        return None
+                    yield (3, h.index not in above, above.get(h.index, -h.index)), h.level
 
     def level(self, new: Heading, base: int) -> int:
         """The level of a heading, 0 if it is to be dropped."""
-        last, ruled = self.last(), True
-        found = self.continues(new)
-        if found is None:
-            found = next((x for x in (rule(new, base) for rule in self.rules) if x is not None), None)
-        if found is None:
-            found = self.nearly_continues(new, base) if last else base
+        last = self.seen[-1] if self.seen else None
+        found = min(self.candidates(new, base), default=((), None))[1]
         parent = next(iter(self.above(last)), None)
-        mixed = last and {last.kind[:6], new.kind[:6]} in ({"arabic", "numera"},)
-        if parent and not mixed and new.kind and new.kind == parent.kind and new.number < parent.number and (found or base) <= parent.level and not (parent.number >= 5 and new.number <= 2):
+        mixed = bool(last) and {last.kind[:6], new.kind[:6]} == {"arabic", "numera"}
+        restarts = parent and new.kind and new.kind == parent.kind and new.number < parent.number and not (parent.number >= 5 and new.number <= 2)
+        if restarts and not mixed and (found or base) <= parent.level:
             found = min(DEEPEST, parent.level + 1)
-        if found is None:
-            ruled = False
+        if found is None:  # nothing to stand beside: what the mode says
             found = base if mixed else 0 if self.mode == "chinese" else min(base, last.level + 1)
-        if found and last and ruled and found > last.level:
+        elif last:
             found = min(found, last.level + 1)
-        found = max(1, min(DEEPEST, found)) if found else 0
-        if found and new.kind and not new.kind.startswith("dotted") and new.number != 1:
-            before = next((h for h in reversed(self.seen) if h.level == found), None)
-            if before and before.kind and not self.follows(new, before):
-                return 0
-        return found
+        if not found:
+            return 0
+        found = max(1, min(DEEPEST, found))
+        before = next((h for h in reversed(self.seen) if h.level == found), None)
+        leaves_gap = new.kind and not new.kind.startswith("dotted") and new.number != 1 and before and before.kind and self.gap(new, before) != 1
+        return 0 if leaves_gap else found
 
     def add(self, title: str, line: int, base: int) -> None:
         kind, number, prefix = numbered(title)
@@ -338,3 +308,52 @@ def chunk_rows(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
             yield out
 
     return docs.select("doc", "market", "text").mapInPandas(run, CHUNK_ROWS)
+
+
+def modes(docs: DataFrame) -> DataFrame:
+    """(doc, mode) of documents (doc, market, text), on the JVM."""
+    t = F.coalesce("text", F.lit(""))
+    chinese = (F.col("market") == "hs_stock") & t.rlike(r"(?m)^#+.*第[一二三四五六七八九十\d]+节")
+    english = (F.col("market") == "us_stock") & t.rlike(r"(?im)^#+\s*part\s+\w")
+    return docs.select("doc", F.when(chinese, "chinese").when(english, "english").otherwise("simple").alias("mode"))
+
+
+def loaded(rows: DataFrame) -> DataFrame:
+    """(id, place, title, level) out of JSON (id, body) that is a list of headings or an object with one under ``structure``."""
+    kind = "array<struct<title: string, level: int>>"
+    bare, wrapped = F.from_json("body", kind), F.from_json("body", f"structure {kind}")["structure"]
+    body = F.when(F.ltrim("body").startswith("["), bare).otherwise(wrapped)
+    return rows.select("id", F.posexplode(body).alias("place", "h")).select("id", "place", "h.title", "h.level").where("title IS NOT NULL")
+
+
+def outcomes(docs: DataFrame, force: bool = False) -> DataFrame:
+    """(doc, outcome, chunks): what chunking did with documents (doc, market, text, chunks_count): chunked, empty, or skipped as it had been."""
+    again = F.lit(force) | (F.coalesce("chunks_count", F.lit(0)) == 0)
+    n = chunk_rows(docs.where(again)).groupBy("doc").agg(F.count("*").alias("chunks"))
+    met = docs.select("doc", again.alias("again")).join(n, "doc", "left")
+    return met.select("doc", F.when(~F.col("again"), "skipped").when(F.col("chunks") > 0, "chunked").otherwise("empty").alias("outcome"), F.coalesce("chunks", F.lit(0)).alias("chunks"))
+
+
+def page_faults(pages: DataFrame, words: tuple[str, ...] = ("招股说明书", "招股书"), least_bytes: int = 1024, least_text: int = 100) -> DataFrame:
+    """(id, fault) of pages (id, content): too small, encoding, short text, no keyword, or null where nothing is wrong."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"id": pdf["id"], "size": [len(b or b"") for b in pdf["content"]], "text": [first_fitting(bytes(b or b"")) for b in pdf["content"]]})
+
+    kind = pages.schema["id"].dataType.simpleString()
+    read = pages.select("id", "content").mapInPandas(run, f"id {kind}, size int, text string")
+    plain = F.array_join(html_lines(F.regexp_replace("text", "(?s)<!--.*?-->", "")), "\n")
+    body = read.withColumn("plain", plain)
+    fault = F.when(F.col("size") < least_bytes, "too small").when(F.col("text").isNull(), "encoding").when(F.length("plain") < least_text, "short text").when(~F.col("plain").rlike("|".join(words)), "no keyword")
+    return body.select("id", fault.alias("fault"))
+
+
+def first_fitting(content: bytes) -> str | None:
+    """Bytes as text in the first of some encodings that fits, None if none does."""
+    for name in ("utf-8", "gb2312", "gbk"):
+        try:
+            return content.decode(name)
+        except UnicodeDecodeError:
+            continue
+    return None

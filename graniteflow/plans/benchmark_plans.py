@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from graniteflow.operators.latest import newest_per_key
-from graniteflow.operators.stats import quantiles
+from graniteflow.operators.stats import exact_quantiles
 from graniteflow.sources.tables import table
 
 SQL: dict[str, str] = {}
@@ -30,8 +30,9 @@ def industry_benchmark(spark, sf):
     """Exact quartiles of the staff of each industry and market."""
     c = table(spark, sf, "companies", "code", "industry", "market", "staff_num").groupBy("code")
     c = c.agg(F.min("industry").alias("industry"), F.min("market").alias("market"), F.max("staff_num").alias("staff_num")).where("industry IS NOT NULL")
-    q = [F.round(x, 6).alias(n) for n, x in zip(("p25", "p50", "p75"), quantiles("staff_num", p25=0.25, p50=0.5, p75=0.75))]
-    return c.groupBy("industry", "market").agg(F.count("*").alias("companies"), *q, F.sum("staff_num").alias("staff"))
+    q = exact_quantiles(c, ["industry", "market"], "staff_num", p25=0.25, p50=0.5, p75=0.75)
+    sums = c.groupBy("industry", "market").agg(F.count("*").alias("companies"), F.sum("staff_num").alias("staff"))
+    return sums.join(q, ["industry", "market"], "left").select("industry", "market", "companies", *(F.round(p, 6).alias(p) for p in ("p25", "p50", "p75")), "staff")
 
 
 @query("latest_snapshot_benchmark", """
@@ -44,8 +45,9 @@ def latest_snapshot(spark, sf):
     c = table(spark, sf, "customer", "c_custkey", "c_nationkey")
     n = table(spark, sf, "nation", "n_nationkey", "n_name")
     rows = o.join(c, F.col("o_custkey") == F.col("c_custkey")).join(n, F.col("n_nationkey") == F.col("c_nationkey"))
-    median = F.round(F.percentile("o_totalprice", F.lit(0.5)), 4).alias("median_price")
-    return rows.groupBy("n_name").agg(F.count("*").alias("customers"), median, F.round(F.sum("o_totalprice"), 2).alias("total"))
+    medians = exact_quantiles(rows, ["n_name"], "o_totalprice", median_price=0.5)
+    sums = rows.groupBy("n_name").agg(F.count("*").alias("customers"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    return sums.join(medians, "n_name", "left").select("n_name", "customers", F.round("median_price", 4).alias("median_price"), "total")
 
 
 @query("order_equation_check", """
@@ -75,7 +77,7 @@ JOIN (SELECT p_brand AS b, median(p_retailprice) AS m FROM part GROUP BY p_brand
 def price_anomalies(spark, sf):
     """Rows far above the median of their group: the aggregate is joined back, not windowed, so a hot group stays spread."""
     p = table(spark, sf, "part", "p_partkey", "p_brand", "p_retailprice")
-    m = p.groupBy("p_brand").agg(F.percentile("p_retailprice", F.lit(0.5)).alias("m"))
+    m = exact_quantiles(p, ["p_brand"], "p_retailprice", m=0.5).drop("n")
     return p.join(m, "p_brand").where("p_retailprice > 1.05 * m").select("p_partkey", "p_brand", F.round(F.expr("p_retailprice / m"), 6).alias("ratio"))
 
 

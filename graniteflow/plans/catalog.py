@@ -6,10 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from graniteflow.plans import benchmark_plans, graph_plans, hierarchy_plans, lifecycle_plans, lookup_plans, record_plans, search_plans, source_plans, structure_plans, surface_plans, text_plans
+from graniteflow.plans import benchmark_plans, engine_plans, graph_plans, hierarchy_plans, lifecycle_plans, lookup_plans, record_plans, search_plans, source_plans, structure_plans, surface_plans, text_plans
 
 Query = Callable[[SparkSession, str], DataFrame]
-MODULES = [search_plans, hierarchy_plans, lifecycle_plans, graph_plans, benchmark_plans, text_plans, structure_plans, lookup_plans, record_plans, surface_plans, source_plans]
+MODULES = [search_plans, hierarchy_plans, lifecycle_plans, graph_plans, benchmark_plans, text_plans, structure_plans, lookup_plans, record_plans, surface_plans, source_plans, engine_plans]
 
 
 def queries() -> dict[str, Query]:

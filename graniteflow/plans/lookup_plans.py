@@ -142,11 +142,35 @@ def stream_event_windows(spark, sf):
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     counts = incremental.windowed_counts(stream, "ts", "event_type")
 
-    def keep(batch, number):
-        batch.write.mode("overwrite").parquet(f"{at}/out")
+    incremental.update_now(counts, f"{at}/out", f"{at}/state").awaitTermination()
+    return incremental.newest_updates(spark, f"{at}/out", ["start", "event_type"]).select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
 
-    counts.writeStream.outputMode("complete").foreachBatch(keep).option("checkpointLocation", f"{at}/state").trigger(availableNow=True).start().awaitTermination()
-    return spark.read.parquet(f"{at}/out").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+@query("stream_upserts", """
+SELECT user_id, arg_max(event_type, (ts, event_id)) AS event_type, max(ts) AS ts FROM events GROUP BY user_id""")
+def stream_upserts(spark, sf):
+    """The last event of every user by a stream that keeps a table in buckets of keys."""
+    import uuid
+
+    ensure_checkpoint_dir(spark)
+    at = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/stream-{uuid.uuid4().hex}"
+    schema = table(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf).select("user_id", "event_type", "ts", F.struct("ts", "event_id").alias("at"))
+    incremental.upsert_now(stream, ["user_id"], "at", f"{at}/table", f"{at}/state", 8).awaitTermination()
+    return incremental.upserted(spark, f"{at}/table").select("user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+@query("stream_first_arrivals", "SELECT DISTINCT user_id FROM events")
+def stream_first_arrivals(spark, sf):
+    """Users at their first event, by a stream that drops keys seen within the watermark."""
+    import uuid
+
+    ensure_checkpoint_dir(spark)
+    at = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/stream-{uuid.uuid4().hex}"
+    schema = table(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf).select("user_id", "ts")
+    incremental.append_now(incremental.unique_arrivals(stream, "user_id", "ts", "3650 days"), f"{at}/out", f"{at}/state").awaitTermination()
+    return spark.read.parquet(f"{at}/out").select("user_id")
 
 
 def queries():

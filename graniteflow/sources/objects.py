@@ -104,3 +104,12 @@ class ObjectStore:
     def size(self) -> int:
         """Bytes of all objects."""
         return sum(n for _, n in self.listing())
+
+    def folders(self) -> list[str]:
+        """Names of the folders right below the root."""
+        at = self.hadoop.Path(self.root)
+        return sorted(f.getPath().getName() for f in self.fs.listStatus(at) if f.isDirectory()) if self.fs.exists(at) else []
+
+    def delete_folder(self, name: str) -> bool:
+        """Delete a folder and all below it in one call; False where there is none."""
+        return bool(self.exists(name) and self.fs.delete(self.path(name), True))

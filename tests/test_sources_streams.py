@@ -82,12 +82,19 @@ def test_windows_and_versions_of_a_stream(spark, sf, tmp_path):
     assert 0 < spark.read.parquet(str(tmp_path / "w")).agg(F.sum("n")).first()[0] <= 300
     target = str(tmp_path / "t")
     inc.upsert_now(inc.arrivals(spark, str(source), events.schema), ["user_id"], "ts", target, str(tmp_path / "c2")).awaitTermination(120)
-    users = spark.read.parquet(f"{target}/v0")
+    users = inc.upserted(spark, target)
     assert users.count() == users.select("user_id").distinct().count() == events.limit(300).select("user_id").distinct().count()
     events.where("event_id >= 300").limit(50).coalesce(1).write.mode("append").parquet(str(source))
     inc.upsert_now(inc.arrivals(spark, str(source), events.schema), ["user_id"], "ts", target, str(tmp_path / "c2")).awaitTermination(120)
     newest = spark.read.parquet(str(source)).groupBy("user_id").agg(F.max("ts").alias("ts"))
-    assert spark.read.parquet(f"{target}/v1").select("user_id", "ts").exceptAll(newest).isEmpty()
+    now = inc.upserted(spark, target)
+    assert now.select("user_id", "ts").exceptAll(newest).isEmpty() and now.count() == newest.count()
+    for k in range(3):  # versions that no manifest needs go
+        events.where(f"event_id >= {400 + k}").limit(500).coalesce(1).write.mode("append").parquet(str(source))
+        inc.upsert_now(inc.arrivals(spark, str(source), events.schema), ["user_id"], "ts", target, str(tmp_path / "c2")).awaitTermination(120)
+    newest = spark.read.parquet(str(source)).groupBy("user_id").agg(F.max("ts").alias("ts"))
+    assert inc.upserted(spark, target).select("user_id", "ts").exceptAll(newest).isEmpty()
+    assert not (tmp_path / "t" / "v0").exists() or any("0" in p.read_text() for p in (tmp_path / "t" / "manifests").glob("*.json"))
 
 
 def test_what_is_to_do(spark):
