@@ -1,23 +1,29 @@
 """Problem 4: noise in the text of scanned pages, and continuous paragraphs out of it.
 
-Method: the words of all pages are the dictionary. Words that are rare in it look up candidates through an inverted
-join on character q-grams, of which only the rarest of each word are needed; a gradient-boosted ranker, trained on
-words of the dictionary that were misread on purpose, chooses the replacement or none. Pairs of lines are classified
-for the rest: a line and its like at the edge of another page for furniture, a line and its continuation for joins.
-
-Scale: a file is worked on in blocks of ``BLOCK`` pages that also see ``AROUND`` pages on either side, so a file of any
-length is spread over tasks; dictionary, q-grams and replacements stay distributed; only the bounded sample on which
-the ranker is trained (``WORDS`` words) reaches the driver.
-
-Defined results: null and empty pages give no noise; a page number belongs to a line of its own, a header may hold it;
-a broken word is also corrected if it was misread; a null first line means that a page has no place in its file and is
-left out; repeated pages give each finding once; a file with a single page has no running header but may have a page
-number in one of the marked forms.
+Method: the words of all pages are the dictionary. Words look up candidates that were read much more often through an
+inverted join on character q-grams, of which only the rarest of each word are needed. What scanners confuse is learned from
+these pairs: the edits that turn a frequent word into a rare one are counted, and an edit that explains many rare words has
+a high rate. A gradient-boosted ranker over rates and counts, trained on words of the dictionary that were misread on
+purpose by the learned edits, chooses the replacement or none. Numbers take the same way; where no number of the dictionary
+stands behind one, its characters are read by the learned rates of digits.
+
+Running lines are found by a classifier of pairs of lines: how alike two lines of different pages are, whether a number in
+them counts with the pages, how they stand. It is fitted on pairs of these pages: lines at the same edge of neighbouring
+pages against lines inside of them; its threshold is what lines inside pages do not reach.
+
+Scale: a file is worked on in blocks of ``BLOCK`` pages that also see ``AROUND`` pages on either side. A line is compared with
+lines of pages up to ``AROUND`` away and with nothing else, so the result does not depend on the blocks. Dictionary, q-grams
+and replacements stay distributed. The driver sees bounded things only: ``PAGES`` pages and ``WORDS`` words to fit the
+models on, and the table of edits, whose number the characters of the script bound and not the pages.
+
+Defined results: null and empty pages give no noise; a page number belongs to a line of its own, a header may hold it; running
+lines stand among the first or last ``EDGE`` filled lines of a page; a broken word is also corrected if it was misread; a null
+first line means that a page has no place in its file and is left out; repeated pages give each finding once; a file with a
+single page has no running lines. Words of one or two characters are not looked up.
 """
 
 from __future__ import annotations
 
-import difflib
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
@@ -31,173 +37,201 @@ from pyspark.sql import functions as F
 
 from graniteflow.session import cut
 
-BLOCK, AROUND, WORDS, GRAM, RARE_SHARE = 64, 8, 4000, 3, 2e-4
+BLOCK, AROUND, EDGE, PAGES, WORDS, GRAM = 64, 8, 4, 1500, 4000, 3
+KNOWN, RATIO, SUPPORT = 3, 4, 2  # readings that make a word evidence; how much more often it was read; words that make an edit
 ENDS = ".,;:()%\"'"
 HYPHENS = "-\xad¬‐‑"
-# what is printed and what scanners make of it
-MISREAD = [
-    ("e", "c"), ("a", "@"), ("i", "l"), ("o", "0"), ("i", "!"), ("t", "f"), ("s", "5"), ("d", "cl"), ("l", "1"), ("u", "ii"),
-    ("c", "("), ("m", "rn"), ("g", "9"), ("t", "l"), ("y", "v"), ("in", "m"), ("li", "h"), ("h", "b"), ("b", "8"), ("w", "vv"),
-    ("rn", "m"), ("cl", "d"), ("l", "i"), ("i", "1"), ("l", "|"), ("s", "$"), ("z", "2"), ("b", "6"), ("nn", "m"), ("fi", "ﬁ"), ("fl", "ﬂ"),
-]
-DIGITS = str.maketrans({"l": "1", "I": "1", "i": "1", "|": "1", "!": "1", "O": "0", "o": "0", "Q": "0", "Z": "2", "z": "2", "S": "5", "s": "5", "b": "6", "G": "6", "B": "8", "g": "9", "q": "9"})
-NUMBER_LIKE = re.compile(r"[0-9lIi|!OoQZzSsbGBgq]+(?:[.,/][0-9lIi|!OoQZzSsbGBgq]+)*")
-PAGE_FORMS = [
-    ("n/n", re.compile(r"([\dlIiOoZzSsBbgq|!]{1,4})\s*/\s*[\dlIiOoZzSsBbgq|!]{1,4}")),
-    ("[n]", re.compile(r"[\[(]\s*([\dlIiOoZzSsBbgq|!]{1,4})\s*[\])]")),
-    ("-n-", re.compile(r"[-–—]\s*([\dlIiOoZzSsBbgq|!]{1,4})\s*[-–—]")),
-    ("page", re.compile(r"p\w{2,4}\.?\s+([\dlIiOoZzSsBbgq|!]{1,4})(?:\s+(?:of|o\w)\s+[\dlIiOoZzSsBbgq|!]{1,4})?", re.I)),
-    ("n", re.compile(r"([\dlIiOoZzSsBbgq|!]{1,4})")),
-]
-ROMAN = {"i": 1, "v": 5, "x": 10, "l": 50, "c": 100}
-FOLD_PAIRS = [("rn", "m"), ("in", "m"), ("cl", "d"), ("ii", "u"), ("vv", "w"), ("li", "h")]
-FOLD = str.maketrans({**dict.fromkeys("tfli1!|", "l"), **dict.fromkeys("yv", "v"), **dict.fromkeys("hb86", "b"), **dict.fromkeys("ec(", "c"), "0": "o", "5": "s", "$": "s", "9": "g", "@": "a", "2": "z"})
+# Shapes of digits, for a character of which the pages hold no evidence; learned rates go before it.
+DIGITS = {"l": "1", "I": "1", "i": "1", "|": "1", "!": "1", "O": "0", "o": "0", "Q": "0", "Z": "2", "z": "2", "S": "5", "s": "5", "b": "6", "G": "6", "B": "8", "g": "9", "q": "9"}
+# The forms in which a page's number stands alone.
+NUMERAL = r"[\dlIiOoZzSsBbgq|!]{1,4}"
+PAGE_FORMS = [rf"({NUMERAL})\s*/\s*{NUMERAL}", rf"[\[(]\s*({NUMERAL})\s*[\])]", rf"[-–—]\s*({NUMERAL})\s*[-–—]", rf"(?i:p\w{{2,4}})\.?\s+({NUMERAL})(?:\s+(?:of|o\w)\s+{NUMERAL})?", rf"({NUMERAL})"]
+ALONE = [re.compile(x) for x in PAGE_FORMS]
+ROMAN = re.compile("(?=[ivxlIVXL1!|])(?:x{0,3})(?:ix|iv|v?i{0,3})", re.I)
+ROMAN_ONES = ["", "i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix"]
 FOUND = "markdown_path string, line_no int, kind string, word string, other string, raw string"
+FEATURES = 9
 
 
-def fold(text: str) -> str:
-    """A form in which a text and what a scanner may make of it mostly agree."""
-    text = text.lower()
-    for a, b in FOLD_PAIRS:
-        text = text.replace(a, b)
-    return text.translate(FOLD)
+def to_roman(n: int) -> str:
+    """A small number in roman numerals; empty outside 1 to 39."""
+    return "x" * (n // 10) + ROMAN_ONES[n % 10] if 0 < n < 40 else ""
 
 
-def roman(text: str) -> int | None:
-    """The value of a small roman numeral, read with the usual confusions."""
-    t = re.sub("[1!|]", "i", text.lower())
-    t = t.replace("l", "i") if "l" in t and len(t) > 1 else t
-    if not re.fullmatch("x{0,3}(ix|iv|v?i{0,3})", t) or not t:
-        return None
-    v = [ROMAN[c] for c in t]
-    return sum(-a if a < b else a for a, b in zip(v, [*v[1:], 0]))
+def alone(line: str) -> bool:
+    """Whether a line holds nothing but what can be a page's number."""
+    t = line.strip()
+    return bool(t) and (any(p.fullmatch(t) for p in ALONE) or bool(ROMAN.fullmatch(re.sub("[1!|l]", "i", t.lower()))))
 
 
-def page_values(line: str) -> list[tuple[str, int]]:
-    """(form, number) as which a line can be read if it holds nothing but a page's number."""
-    t = line.strip()
-    if not t or len(t) > 24:
-        return []
-    for form, pattern in PAGE_FORMS:
-        if m := pattern.fullmatch(t):
-            number = m[1].translate(DIGITS)
-            out = [(form, int(number))] if number.isdigit() else []
-            if form == "n" and not re.search(r"[\doO]", t) and (r := roman(t)):
-                out.append(("roman", r))
-            return out
-    r = roman(t) if len(t) <= 6 else None
-    return [("roman", r)] if r else []
-
-
-def header_text(line: str) -> str:
-    """A line as it is compared with others at page edges: without the page's number beside it, folded."""
-    t = re.sub(r"\s+", " ", re.sub(r"^\s*[\dlOoI]{1,4}\s{2,}|\s{2,}[\dlOoI]{1,4}\s*$", " ", line)).strip()
-    return fold(t)
-
-
-@lru_cache(maxsize=4096)
-def pairs_of(text: str) -> frozenset[str]:
-    """The neighbouring pairs of characters of a line."""
-    return frozenset(map("".join, zip(text, text[1:])))
+class Line:
+    """A line at a page's edge and what the classifier of pairs looks at."""
+
+    __slots__ = ("page", "at", "text", "side", "place", "masked", "pairs", "tokens", "short", "free", "open", "words")
+
+    def __init__(self, page: int, at: int, text: str, side: str, place: int, width: int, free: bool):
+        self.page, self.at, self.text, self.side, self.place, self.free = page, at, text, side, place, free
+        bare = text.strip()
+        self.tokens, self.masked = masked(bare)
+        self.pairs = pairs_of(self.masked)
+        self.short = 1 - min(1.0, len(bare) / max(1, width))
+        self.open = not bare.endswith((".", ",", ";", "-"))
+        self.words = any(c.isalpha() for c in self.masked)
+
+
+@lru_cache(maxsize=8192)
+def masked(text: str) -> tuple[tuple[str, ...], str]:
+    """(tokens that may be numbers, the text in small letters with these as one mark)."""
+    whole = re.sub("[1!|l]", "i", text.lower())
+    if len(text) <= 6 and ROMAN.fullmatch(whole) or ALONE[-1].fullmatch(text):
+        return (text,), "#"
+    tokens: list[str] = []
 
+    def mark(m: re.Match) -> str:
+        tokens.append(m[0])
+        return "#"
 
-def similarity(a: str, b: str) -> float:
-    """Likeness of two folded lines."""
-    if a == b:
-        return 1.0
-    if abs(len(a) - len(b)) > 0.2 * max(len(a), len(b)):
+    plain = re.sub(r"(?<![\w|!.,])(?=[\w|!]*\d)[\w|!]{1,4}(?![\w|!%]|[.,]\d)", mark, text)
+    return tuple(tokens), " ".join(plain.lower().split())
+
+
+@lru_cache(maxsize=8192)
+def pairs_of(text: str) -> frozenset[str]:
+    """The neighbouring pairs of characters of a line."""
+    return frozenset(map("".join, zip(f"^{text}", f"{text}$")))
+
+
+def counts_with(token: str, other: str, ahead: int) -> float:
+    """How well a token reads as the number of another one plus the pages between: 1 if it is that number, less for every
+    character that is no digit; 0 if a digit differs, as then it is another number."""
+    sure = 1.0
+    if not other.isdigit() and (shaped := other.translate(SHAPES)).isdigit():
+        other, sure = shaped, 0.8
+    if other.isdigit():
+        due = str(int(other) + ahead)
+    elif not token.isdigit() and (low := other.lower()) in ROMANS:
+        due = to_roman(ROMANS[low] + ahead)
+    else:
         return 0.0
-    x, y = pairs_of(a), pairs_of(b)
-    if len(x & y) < 0.55 * max(len(x), len(y)) - 2:  # below the likeness of a line and its misread self
+    seen = token.lower() if due and not due.isdigit() else token
+    if not due or len(seen) != len(due) or any(a != b and a.isdigit() for a, b in zip(seen, due)):
         return 0.0
-    return difflib.SequenceMatcher(None, a, b, autojunk=False).ratio()
+    return sure * sum(1.0 if a == b else 0.7 for a, b in zip(seen, due)) / len(due)
 
 
-def pair_classifier(rounds: int = 400) -> np.ndarray:
-    """Weights of the classifier of two edge lines (likeness, both short of a full line, neither ends a sentence, bias).
+ROMANS = {to_roman(n): n for n in range(1, 40)}
+SHAPES = str.maketrans(DIGITS)
 
-    It is fitted on pairs made for the purpose: a title and its misread self against two lines of running text.
-    """
-    rng = np.random.default_rng(2)
-    rows, label = [], []
-    for k in range(600):
-        same = k % 2
-        rows.append([rng.uniform(0.82, 1) if same else rng.beta(4, 6) * 0.9, rng.random() < (0.8 if same else 0.25), rng.random() < (0.97 if same else 0.55), 1])
-        label.append(same)
-    x, y, w = np.array(rows, float), np.array(label, float), np.zeros(4)
-    for _ in range(rounds):
-        w += x.T @ (y - 1 / (1 + np.exp(-x @ w))) / len(x) * 4
-    return w
-
-
-PAIR = pair_classifier()
-
-
-def is_pair(a: str, b: str, raw_a: str, raw_b: str, width: int) -> bool:
-    """Whether two edge lines of different pages are one running line."""
-    like = similarity(a, b)
-    if like < 0.7:
-        return False
-    short = max(len(raw_a.split()), len(raw_b.split())) <= 9 or max(len(raw_a), len(raw_b)) < 0.85 * width
-    open_end = not raw_a.rstrip().endswith((".", ",", ";", "-")) or not raw_b.rstrip().endswith((".", ",", ";", "-")) or like > 0.9
-    return float(np.array([like, short, open_end, 1]) @ PAIR) > 0
-
-
-def furniture(pages: list[tuple[int, int, list[str]]]) -> dict[int, str]:
-    """kind by line number of the headers and page numbers of pages (page number, first line, lines)."""
-    edge, width = [], 20  # (page, line number, text, place)
-    title = ""
+
+def pair_features(a: Line, b: Line) -> tuple[float, ...]:
+    """What the classifier knows about two lines of different pages."""
+    both = len(a.pairs & b.pairs)
+    like = 2 * both / (len(a.pairs) + len(b.pairs))
+    counting, numbered = 0.0, 0.0
+    if a.tokens and b.tokens and like > 0.8:
+        numbered, ahead = 1.0, a.page - b.page
+        counting = max(max(counts_with(x, y, ahead), counts_with(y, x, -ahead)) for x, y in zip(a.tokens, b.tokens))
+    told = like * counting
+    if not (a.words and b.words):  # two lone numbers are alike whatever they are
+        like = 0.0
+    return like, like**4, counting, numbered, told, min(a.short, b.short), float(a.free and b.free), float(a.place == b.place), like**4 * (a.open and b.open)
+
+
+class Running:
+    """The classifier of pairs of lines with its threshold, which holds for the sum of a line's three best pages."""
+
+    def __init__(self, w: np.ndarray, bias: float, least: float):
+        self.w, self.bias, self.least = tuple(map(float, w)), bias, least
+
+    def score(self, a: Line, b: Line) -> float:
+        return self.bias + sum(w * x for w, x in zip(self.w, pair_features(a, b)))
+
+    def support(self, line: Line, others: dict[int, list[Line]]) -> float:
+        """The scores of the three pages that speak most for a line; a page's best line counts."""
+        best = sorted((max((self.score(line, o) for o in own), default=-9.0) for p, own in others.items() if p != line.page), reverse=True)[:3]
+        return sum(x for x in best if x > 0) if best and best[0] > 0 else -9.0
+
+
+def lines_of(pages: list[tuple[int, int, list[str]]]) -> tuple[dict[int, list[Line]], dict[int, list[Line]]]:
+    """(lines at the edges, lines inside) of pages (number, first line, lines), by page."""
+    edge, inside = {}, {}
     for no, first, lines in pages:
         at = [k for k, x in enumerate(lines) if x.strip()]
-        width = max([width, *(len(lines[k]) for k in at)])
-        if not title and at and lines[at[0]].startswith("# "):
-            title = fold(re.sub(r"\breport\b|\d+", " ", lines[at[0]][2:], flags=re.I))
-        top, low = at[:2], [k for k in at[-2:] if k not in at[:2]]
-        edge += [(no, first + k, lines[k], "top", place) for place, k in enumerate(top)]
-        edge += [(no, first + k, lines[k], "low", len(low) - 1 - place) for place, k in enumerate(low)]
-    out: dict[int, str] = {}
+        width = max((len(lines[k]) for k in at), default=0)
+        blank = lambda k, lines=lines: k < 0 or k >= len(lines) or not lines[k].strip()
+        make = lambda k, side, place, no=no, first=first, lines=lines, width=width: Line(no, first + k, lines[k], side, place, width, blank(k - 1) or blank(k + 1))
+        top, low = at[:EDGE], at[-EDGE:]  # on a short page a line stands at both edges
+        marked = lambda k, lines=lines: lines[k].lstrip().startswith("#")
+        edge[no] = [make(k, "top", place) for place, k in enumerate(top) if not marked(k)] + [make(k, "low", len(low) - 1 - place) for place, k in enumerate(low) if not marked(k)]
+        inside[no] = [make(k, "in", place % EDGE) for place, k in enumerate(at[EDGE:-EDGE]) if not marked(k)]
+    return edge, inside
+
+
+# What the weights start from and are drawn to where pages are few.
+PRIOR = np.array([1.0, 3.0, 2.0, -1.0, 3.0, 1.0, 0.5, 0.5, 0.5])
 
-    read = [(no, at, side, form, value) for no, at, text, side, _ in edge for form, value in page_values(text)]
-    counts = Counter((form, value - no) for no, _, _, form, value in {(r[0], 0, 0, r[3], r[4]) for r in read})
-    total = len({p[0] for p in pages})
-    runs = {k for k, n in counts.items() if n >= max(2, 0.3 * total) or (k[0] not in ("n", "roman") and n >= 1 and total <= 2)}
-    forms = {f for f, _ in runs}
-    sides = Counter((side, form) for no, _, side, form, value in read if (form, value - no) in runs)
-    for no, at, side, form, value in read:
-        if (form, value - no) in runs or (form in forms - {"n", "roman"} and sides[side, form]):
-            out[at] = "page_number"
-    # a lone number that was read wrongly still stands where its fellows do, on a page that has none else
-    numbered = {no for no, at, *_ in edge if out.get(at)}
-    for no, at, text, side, place in edge:
-        if no not in numbered and place == 0 and forms & {"n", "roman"} and sides[side, "n"] + sides[side, "roman"] >= 3 and len(text.strip()) <= 5:
-            expected = {v + no for f, v in runs}
-            if any(similarity(fold(text.strip()), fold(str(e))) >= 0.5 for e in expected) and re.fullmatch(r"[\w|!]{1,5}", text.strip()) and re.search(r"\d", text):
-                out[at] = "page_number"
-
-    rest = [(no, at, text, header_text(text), place) for no, at, text, _, place in edge if at not in out and not text.lstrip().startswith("#") and len(text.strip()) >= 4]
-    by_text = defaultdict(set)
-    for no, _, _, t, _ in rest:
-        by_text[t].add(no)
-    texts = [t for t in by_text if len(t) >= 4]
-    sure = {t for t in texts if len(by_text[t]) >= 3}
-    for no, at, text, t, place in rest:
-        lies_out = place == 0 or t in sure
-        near = by_text[t] | {p for s in sure if s != t and is_pair(t, s, text, text, width) for p in by_text[s]}
-        if not sure or len(near) < 2:
-            near = near | {p for s in texts if s != t and is_pair(t, s, text, text, width) for p in by_text[s]}
-        words = [w for w in title.split() if len(w) > 2]
-        titled = len(words) >= 2 and sum(w in t for w in words) >= max(2, len(words) - 1) and len(t.split()) <= len(words) + 6 and not text.rstrip().endswith((".", ","))
-        if lies_out and (len(near) >= 3 or (len(near) >= 2 and (titled or total <= 5)) or (titled and no > 1)):
-            out[at] = "header"
+
+def fit_running(files: list[list[tuple[int, int, list[str]]]], rounds: int = 300) -> Running:
+    """The classifier out of the pages of some files, given as (number, first line, lines) in order.
+
+    A line at an edge with the most alike one at the same edge of the next page is a pair of the one kind, a line inside with
+    the most alike one inside the next page one of the other. Many of the first kind are text, which keeps the classifier
+    careful. The threshold lies a quarter of the way from what 995 of 1,000 lines inside reach, when they look for support as
+lines at edges do, to what the best tenth of outermost lines reach, and at least at 4 (odds of about 50 to 1).
+    """
+    x, y, kept = [], [], []
+    for pages in files:
+        edge, inside = lines_of(pages)
+        order = [no for no, *_ in pages]
+        for p, q in zip(order, order[1:]):
+            for kind, here, there in ((1, edge[p], edge[q]), (0, inside[p], inside[q])):
+                for a in here:
+                    fit = [b for b in there if b.side == a.side]
+                    if fit:
+                        best = max(fit, key=lambda b: (2 * len(a.pairs & b.pairs) / (len(a.pairs) + len(b.pairs)), -abs(a.place - b.place)))
+                        x.append(pair_features(a, best))
+                        y.append(kind)
+        kept.append((order, edge, inside))
+    w, bias = PRIOR.copy(), -4.0
+    if x and 0 < sum(y) < len(y):
+        xs, ys = np.array(x), np.array(y, float)
+        weight = np.where(ys > 0, 0.5 / ys.mean(), 0.5 / (1 - ys.mean()))
+        for _ in range(rounds):
+            error = (ys - 1 / (1 + np.exp(-np.clip(xs @ w + bias, -30, 30)))) * weight
+            w += 0.5 * (xs.T @ error / len(xs) + 20 / len(xs) * (PRIOR - w))
+            bias += 0.5 * (error.mean() + 20 / len(xs) * (-4.0 - bias))
+    model, reached, ran = Running(w, bias, 4.0), [], []
+    for order, edge, inside in kept:
+        for k, p in enumerate(order):
+            near = order[max(0, k - AROUND) : k + AROUND + 1]
+            reached += [model.support(a, {q: inside[q] for q in near}) for a in inside[p][:: max(1, len(inside[p]) // 6)]]
+            ran += [model.support(a, {q: [b for b in edge[q] if b.side == a.side] for q in near}) for a in edge[p] if a.place == 0]
+    if reached and ran:
+        model.least = max(4.0, 0.75 * float(np.quantile(reached, 0.995)) + 0.25 * float(np.quantile(ran, 0.9)))
+    return model
+
+
+def furniture(pages: list[tuple[int, int, list[str]]], mine: set[int], model: Running) -> dict[int, str]:
+    """kind by line number of the running lines of the pages in ``mine`` (page number, first line, lines)."""
+    edge, _ = lines_of(pages)
+    out: dict[int, str] = {}
+    for no in mine:
+        near = {q: own for q, own in edge.items() if abs(q - no) <= AROUND}
+        for side in ("top", "low"):
+            others = {q: [b for b in own if b.side == side] for q, own in near.items()}
+            for line in others.get(no, ()):
+                if model.support(line, others) > model.least:
+                    out[line.at] = "page_number" if alone(line.text) else "header"
     return out
 
 
-def block_rows(own: pd.DataFrame, path: str, block: int) -> list[tuple]:
+def block_rows(own: pd.DataFrame, path: str, block: int, model: Running, size: int = BLOCK) -> list[tuple]:
     """Findings and words of the pages of a block; other pages given are context."""
     own = own.drop_duplicates(["page_no", "first_line"]).sort_values(["first_line", "page_no"])
     pages = [(int(n), int(f), t.split("\n")) for n, f, t in zip(own["page_no"], own["first_line"], own["page_text"])]
-    mine = {n for n, *_ in pages if n // BLOCK == block}
-    marks = furniture(pages)
+    mine = {n for n, *_ in pages if n // size == block}
+    # the page after the last one is looked at too, as a word may be broken over both
+    marks = furniture(pages, mine | {n + 1 for n in mine}, model)
     rows, content = [], []
     for no, first, lines in pages:
         for k, line in enumerate(lines):
@@ -223,84 +257,129 @@ def block_rows(own: pd.DataFrame, path: str, block: int) -> list[tuple]:
         if no in mine:
             for t in tokens:
                 bare = t.strip(ENDS)
-                if t.startswith("(") and bare and not t.endswith(")") and t[1:2].isalpha() and fold(t).startswith("c"):
+                if t.startswith("(") and bare and not t.endswith(")") and t[1:2].isalpha() and t[1:2].islower():
                     rows.append((path, at, "token", bare.lower(), t.rstrip(ENDS).lower(), bare))
                 elif bare:
                     rows.append((path, at, "token", bare.lower(), None, bare))
     return rows
 
 
-def blocks_of(page: Column) -> Column:
-    """The blocks that see a page."""
-    b = lambda n: F.floor((page + n) / BLOCK).cast("int")
-    return F.array_distinct(F.array(b(0), b(-AROUND), b(AROUND)))
+def blocks_of(page: Column, size: int = BLOCK) -> Column:
+    """The blocks that see a page: a block's last page is followed by one more whose running lines it looks for."""
+    b = lambda n: F.floor((page + n) / size).cast("int")
+    return F.array_distinct(F.array(b(0), b(-AROUND - 1), b(AROUND)))
 
 
-def scanned_blocks(pages: DataFrame) -> DataFrame:
+def scanned_blocks(pages: DataFrame, size: int = BLOCK) -> DataFrame:
     """Pages with each block that sees them."""
     fit = pages.where("page_text IS NOT NULL AND first_line IS NOT NULL AND page_no IS NOT NULL AND markdown_path IS NOT NULL")
-    return fit.select("markdown_path", "page_no", "first_line", "page_text", F.explode(blocks_of(F.col("page_no"))).alias("block"))
+    return fit.select("markdown_path", "page_no", "first_line", "page_text", F.explode(blocks_of(F.col("page_no"), size)).alias("block"))
+
+
+def training_files(pages: DataFrame, limit: int = PAGES) -> list[list[tuple[int, int, list[str]]]]:
+    """At most ``limit`` pages of whole runs of files, in order of a hash of the file."""
+    lot = F.xxhash64("markdown_path", F.floor(F.col("page_no") / BLOCK))
+    fit = pages.where("page_text IS NOT NULL AND first_line IS NOT NULL AND page_no IS NOT NULL AND markdown_path IS NOT NULL")
+    rows = fit.select("markdown_path", "page_no", "first_line", "page_text", lot.alias("lot")).orderBy("lot", "markdown_path", "page_no", "first_line").limit(limit).collect()
+    files: dict[tuple, dict[int, tuple]] = {}
+    for r in rows:
+        files.setdefault((r["lot"], r["markdown_path"]), {}).setdefault(r["page_no"], (r["page_no"], r["first_line"], r["page_text"].split("\n")))
+    return [[own[n] for n in sorted(own)] for own in files.values()]
 
 
-def rows_of(pages: DataFrame) -> DataFrame:
+def rows_of(pages: DataFrame, model: Running | None = None, size: int = BLOCK) -> DataFrame:
     """Furniture, broken words and words of all pages (markdown_path, page_no, first_line, page_text)."""
+    fitted = model or fit_running(training_files(pages))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = block_rows(pdf, pdf["markdown_path"].iloc[0], int(pdf["block"].iloc[0]))
+        rows = block_rows(pdf, pdf["markdown_path"].iloc[0], int(pdf["block"].iloc[0]), fitted, size)
         return pd.DataFrame(rows, columns=[f.split()[0] for f in FOUND.split(", ")])
 
-    return scanned_blocks(pages).groupBy("markdown_path", "block").applyInPandas(run, FOUND)
-
-
-def numeral(raw: str) -> str | None:
-    """The number that a token stands for if it is one with misread digits."""
-    if not re.search(r"\d", raw) or not re.search("[lIi|!OoQZzSsbGBgq]", raw) or not NUMBER_LIKE.fullmatch(raw):
-        return None
-    out = raw.translate(DIGITS)
-    digits, letters = sum(c.isdigit() for c in raw), sum(c.isalpha() or c in "|!" for c in raw)
-    return out if digits > letters or (digits == letters and re.fullmatch(r"\d{2,4}", out)) or "," in raw else None
-
-
-def explained(seen: str, word: str) -> tuple[int, int]:
-    """(number of confusions that turn word into seen, or 9; the worst rank of those used)."""
-    best = (9, 99)
-    todo = [(0, 0, 0, 0)]
-    while todo:
-        i, j, n, rank = todo.pop()
-        while i < len(seen) and j < len(word) and seen[i] == word[j]:
-            for k, (a, b) in enumerate(MISREAD):
-                if n < 2 and word.startswith(a, j) and seen.startswith(b, i) and len(a) + len(b) > 2:
-                    todo.append((i + len(b), j + len(a), n + 1, max(rank, k)))
-            i, j = i + 1, j + 1
-        if i == len(seen) and j == len(word):
-            best = min(best, (n, rank))
-            continue
-        if n < 2:
-            for k, (a, b) in enumerate(MISREAD):
-                if word.startswith(a, j) and seen.startswith(b, i):
-                    todo.append((i + len(b), j + len(a), n + 1, max(rank, k)))
+    return scanned_blocks(pages, size).groupBy("markdown_path", "block").applyInPandas(run, FOUND)
+
+
+@lru_cache(maxsize=65536)
+def edits(word: str, seen: str) -> tuple[tuple[str, str], ...]:
+    """The one or two edits that turn a word into what was read, each of one or two characters for one or two; none if it takes more.
+
+    Equal ends are set aside first; of several ways the one with fewest characters is taken.
+    """
+    i = 0
+    while i < min(len(word), len(seen)) and word[i] == seen[i]:
+        i += 1
+    j = 0
+    while j < min(len(word), len(seen)) - i and word[-1 - j] == seen[-1 - j]:
+        j += 1
+    x, y = word[i : len(word) - j], seen[i : len(seen) - j]
+    if not x or not y:  # a character beside the gap belongs to the edit
+        if i:
+            x, y, i = word[i - 1] + x, seen[i - 1] + y, i - 1
+        elif j:
+            x, y = x + word[len(word) - j], y + seen[len(seen) - j]
+    if not x or not y or x in y or y in x:  # something was added or dropped, not read as something else
+        return ()
+    if len(x) <= 2 and len(y) <= 2 and (len(x) == 1 or len(y) == 1):
+        return ((x, y),)
+    best: tuple = ()
+    for a in (1, 2):
+        for b in (1, 2):
+            if a + b == 4 or a >= len(x) or b >= len(y):
+                continue
+            u, v = x[a:], y[b:]
+            k = 0
+            while k < min(len(u), len(v)) - 1 and u[k] == v[k]:
+                k += 1
+            u, v = u[k:], v[k:]
+            if u and v and u not in v and v not in u and x[:a] not in y[:b] and y[:b] not in x[:a] and len(u) <= 2 and len(v) <= 2 and (len(u) == 1 or len(v) == 1):
+                way = ((x[:a], y[:b]), (u, v))
+                if not best or sum(map(len, way[0] + way[1])) < sum(map(len, best[0] + best[1])):
+                    best = way
     return best
 
 
+class Channel:
+    """How often each edit is made, per place where it could be; ``floor`` for one that was never seen."""
+
+    def __init__(self, rates: dict[tuple[str, str], float], floor: float = 1e-7):
+        self.rates, self.floor = rates, floor
+
+    def cost(self, word: str, seen: str) -> tuple[int, float, float]:
+        """(number of edits or 9, log rate of all of them, log rate of the rarest)."""
+        own = edits(word, seen)
+        if not own:
+            return 9, 2 * float(np.log(self.floor)), float(np.log(self.floor))
+        logs = [float(np.log(self.rates.get(e, self.floor))) for e in own]
+        return len(own), sum(logs), min(logs)
+
+    def digit_map(self) -> tuple[str, str]:
+        """Two texts for ``translate``: characters that digits were read as, and these digits; the shapes fill what is not learned."""
+        best: dict[str, tuple[float, str]] = {c: (0.0, d) for c, d in DIGITS.items()}
+        for (a, b), r in self.rates.items():
+            if len(a) == len(b) == 1 and a.isdigit() and not b.isdigit() and b.isascii() and b not in ".,/%+-" and r > best.get(b, (0.0, ""))[0]:
+                best[b] = (r, a)
+        return "".join(best), "".join(d for _, d in best.values())
+
+
 def grams_of(word: str) -> set[str]:
     """Character q-grams of a word with marked ends."""
     w = f"^{word}$"
     return {w[i : i + GRAM] for i in range(len(w) - GRAM + 1)} or {w}
 
 
-def features(seen: str, n_seen: int, word: str, n_word: int) -> list[float]:
-    """What the ranker knows about a candidate."""
-    n, rank = explained(seen, word)
+def features(seen: str, n_seen: int, word: str, n_word: int, cap_seen: float, cap_word: float, channel: Channel) -> list[float]:
+    """What the ranker knows about a candidate; ``cap`` is the share of readings with a capital."""
+    n, rate, rarest = channel.cost(word, seen)
     a, b = grams_of(seen), grams_of(word)
     odd = sum(not (c.isalpha() or c in "-'’") for c in seen)
-    return [n, rank, np.log1p(n_word) - np.log1p(n_seen), odd, len(word), len(a & b) / len(a | b), abs(len(seen) - len(word)), float(seen[:1] == word[:1])]
+    ratio = float(np.log1p(n_word) - np.log1p(n_seen))
+    return [n, rate, rarest, ratio, ratio + rate, odd, len(word), len(a & b) / len(a | b), abs(len(seen) - len(word)), float(seen[:1] == word[:1]), float(np.log1p(n_seen)), cap_seen, cap_word]
 
 
 class Boosted:
     """Gradient-boosted regression trees of depth 2 on the logistic loss."""
 
     def __init__(self, trees: int = 60, rate: float = 0.3, cuts: int = 16):
-        self.trees, self.rate, self.cuts, self.model, self.start = trees, rate, cuts, [], 0.0
+        self.trees, self.rate, self.cuts, self.model, self.start, self.least = trees, rate, cuts, [], 0.0, 0.0
 
     def split(self, x: np.ndarray, g: np.ndarray, h: np.ndarray) -> tuple[int, float]:
         best, out = -1.0, (0, np.inf)
@@ -341,82 +420,129 @@ class Boosted:
         return out
 
 
-def train_ranker(words: list[tuple[str, int]], rare: int) -> Boosted:
-    """A ranker from dictionary words (word, count): some misread on purpose, some right but unknown."""
+def train_ranker(words: list[tuple[str, int, float]], channel: Channel) -> Boosted:
+    """A ranker from dictionary words (word, count, share of capitals): some misread on purpose by the edits learned, some right but unknown."""
     rng = np.random.default_rng(9)
-    known = dict(words)
-    frequent = [w for w, n in words if len(w) >= 3]
+    known, cap = {w: n for w, n, _ in words}, {w: c for w, _, c in words}
+    frequent = [w for w, *_ in words if len(w) >= 3]
     index = defaultdict(set)
     for w in known:
         for g in grams_of(w):
             index[g].add(w)
+    ways = defaultdict(list)
+    for (a, b), r in channel.rates.items():
+        ways[a].append((b, r))
 
     def near(seen: str) -> list[str]:
         hits = Counter(w for g in grams_of(seen) for w in index[g] if abs(len(w) - len(seen)) <= 2 and w != seen)
-        return sorted(hits, key=lambda w: (-hits[w], w))[:6]
+        return [w for w in sorted(hits, key=lambda w: (-hits[w], w))[:12] if edits(w, seen)][:6]
+
+    def misread(word: str) -> str:
+        for _ in range(1 + (rng.random() < 0.15)):
+            fits = [(i, a, b, r) for i in range(len(word)) for a in (word[i], word[i : i + 2]) for b, r in ways.get(a, ())]
+            if fits:
+                p = np.array([f[3] for f in fits])
+                i, a, b, _ = fits[rng.choice(len(fits), p=p / p.sum())]
+                word = word[:i] + b + word[i + len(a) :]
+        return word
 
     x, y = [], []
-    for k in range(1500 if frequent else 0):
+    for k in range(2400 if frequent else 0):
         word = frequent[rng.integers(len(frequent))]
-        if k % 3:  # misread on purpose
-            seen = word
-            for _ in range(1 + (rng.random() < 0.15)):
-                ways = [(a, b, m.start()) for a, b in MISREAD for m in re.finditer(re.escape(a), seen)]
-                if ways:
-                    a, b, at = ways[rng.integers(len(ways))]
-                    seen = seen[:at] + b + seen[at + len(a) :]
+        if k % 3:
+            seen = misread(word)
             if seen == word or seen in known:
                 continue
-            n = max(1, int(known[word] * 10 ** rng.uniform(-3, -0.8)))
-            for c in sorted({word, *near(seen)}):
-                x.append(features(seen, n, c, known[c]))
-                y.append(c == word)
+            n = max(1, int(known[word] * 10 ** rng.uniform(-3.5, -0.8)))
+            options = sorted({word, *near(seen)})
         else:  # right though unknown: the word itself is not offered
-            for c in near(word):
-                x.append(features(word, int(rng.integers(1, rare + 1)), c, known[c]))
-                y.append(False)
+            seen, n, options = word, 1 if k % 2 else max(1, int(known[word] * 10 ** rng.uniform(-1, 0))), near(word)
+        for c in options:
+            if known[c] >= RATIO * n:
+                x.append(features(seen, n, c, known[c], cap[word], cap[c], channel))
+                y.append(bool(k % 3) and c == word)
     if not x or not any(y) or all(y):
         return Boosted(0)
-    return Boosted().fit(np.array(x, float), np.array(y, float))
+    xs, ys = np.array(x, float), np.array(y, float)
+    model = Boosted().fit(xs, ys)
+    score = model.score(xs)  # a candidate is taken between what nearly all right ones reach and nearly no wrong one does
+    model.least = min(0.0, float(np.quantile(score[ys > 0], 0.01) + np.quantile(score[ys == 0], 0.97)) / 2)
+    return model
 
 
 def candidates(vocabulary: DataFrame, queries: DataFrame) -> DataFrame:
-    """(seen, n_seen, word, n_word): dictionary words that share one of the rarest q-grams of a query.
+    """(seen, word, n_seen, n_word, cap_seen, cap_word): dictionary words (word, n, cap) that share one of the rarest q-grams of a query and were read more often.
 
-    One confusion touches at most GRAM + 1 q-grams, so of the 2 * (GRAM + 1) + 1 rarest of a word one survives two.
+    One edit touches at most GRAM + 1 q-grams, so of the 2 * (GRAM + 1) + 1 rarest of a word one survives two. Words of up to
+    four characters also share their forms with one character open.
     """
     padded = lambda c: F.concat(F.lit("^"), F.col(c), F.lit("$"))
-    every = lambda c: F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c))), lambda i: padded(c).substr(i, F.lit(GRAM))))
-    postings = vocabulary.select(F.col("word"), F.col("n").alias("n_word"), F.explode(every("word")).alias("gram"))
+    places = lambda c: F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(c)))
+    grams = lambda c: F.transform(places(c), lambda i: padded(c).substr(i, F.lit(GRAM)))
+    gaps = lambda c: F.transform(places(c), lambda i: F.concat(F.lit("?"), F.col(c).substr(F.lit(1), i - 1), F.lit("?"), F.col(c).substr(i + 1, F.lit(9))))
+    every = lambda c: F.array_distinct(F.when(F.length(c) <= 4, F.concat(grams(c), gaps(c))).otherwise(grams(c)))
+    postings = vocabulary.select(F.col("word"), F.col("n").alias("n_word"), F.col("cap").alias("cap_word"), F.explode(every("word")).alias("gram"))
     size = postings.groupBy("gram").agg(F.count("*").alias("size"))
-    asked = queries.select(F.col("word").alias("seen"), F.col("n").alias("n_seen"), F.explode(every("word")).alias("gram"))
+    asked = queries.select(F.col("word").alias("seen"), F.col("n").alias("n_seen"), F.col("cap").alias("cap_seen"), F.explode(every("word")).alias("gram"))
     rarest = Window.partitionBy("seen").orderBy("size", "gram")
-    kept = asked.join(size, "gram").withColumn("rn", F.row_number().over(rarest)).where(F.col("rn") <= 2 * (GRAM + 1) + 1)
+    kept = asked.join(size, "gram").withColumn("rn", F.row_number().over(rarest)).where((F.col("rn") <= 2 * (GRAM + 1) + 1) | F.col("gram").startswith("?"))
     # a gram meets many words, so the pairs are many times their inputs: partitions are not merged by the inputs' sizes
     parts = int(vocabulary.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = kept.repartition(parts, "gram").join(postings.repartition(parts, "gram"), "gram")
-    fit = met.where("seen <> word AND abs(length(seen) - length(word)) <= 2 AND n_word > n_seen")
-    once = fit.groupBy("seen", "word").agg(F.first("n_seen").alias("n_seen"), F.first("n_word").alias("n_word"))
-    return once.where(F.levenshtein("seen", "word", 4) >= 0)  # two confusions are at most four edits
+    fit = met.where((F.col("seen") != F.col("word")) & (F.abs(F.length("seen") - F.length("word")) <= 2) & (F.col("n_word") >= RATIO * F.col("n_seen")))
+    near = fit.where(F.levenshtein("seen", "word", 4) >= 0)  # two edits are at most four changes
+    return near.groupBy("seen", "word").agg(*(F.first(c).alias(c) for c in ("n_seen", "n_word", "cap_seen", "cap_word")))
+
+
+PAIR = ["seen", "word", "n_seen", "n_word", "cap_seen", "cap_word"]
+
 
+def explained(pairs: DataFrame) -> DataFrame:
+    """(seen, word, n_seen, n_word, cap_seen, cap_word, one, two): candidates with the edits between; those that take more than two are left out."""
 
-def replacements(vocabulary: DataFrame, queries: DataFrame, ranker: Boosted) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen, word = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            own = [edits(w, s) for s, w in zip(seen, word)]
+            keep = [k for k, e in enumerate(own) if e]
+            name = lambda e: f"{e[0]}\t{e[1]}"
+            one = pa.array([name(own[k][0]) for k in keep], pa.string())
+            two = pa.array([name(own[k][1]) if len(own[k]) > 1 else None for k in keep], pa.string())
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(keep, pa.int64())) for c in batch.columns), one, two], [*PAIR, "one", "two"])
+
+    return pairs.select(*PAIR).mapInArrow(run, "seen string, word string, n_seen bigint, n_word bigint, cap_seen double, cap_word double, one string, two string")
+
+
+def learned(pairs: DataFrame, counts: DataFrame) -> Channel:
+    """The rates of edits: readings that an edit explains, over the places where it could have been made.
+
+    Each reading speaks for the most frequent of its candidates at one edit, of numbers for those first that the shapes of digits
+    allow. Readings that always have a capital are left out, as names differ from each other as misread words do. An edit counts
+    once SUPPORT different readings speak for it.
+    """
+    shaped = F.translate("seen", "".join(DIGITS), "".join(DIGITS.values())) == F.col("word")
+    best = Window.partitionBy("seen").orderBy(F.desc(shaped), F.desc("n_word"), "word")
+    single = pairs.where("two IS NULL AND cap_seen < 0.9").withColumn("rn", F.row_number().over(best)).where("rn = 1")
+    told = single.groupBy("one").agg(F.sum("n_seen").alias("n"), F.count("*").alias("words")).where(F.col("words") >= SUPPORT)
+    piece = lambda k: F.transform(F.sequence(F.lit(1), F.length("word")), lambda i: F.col("word").substr(i, F.lit(k)))
+    places = counts.select("n", F.explode(F.concat(piece(1), piece(2))).alias("a")).groupBy("a").agg(F.sum("n").alias("places"))
+    rows = told.withColumn("a", F.substring_index("one", "\t", 1)).join(places, "a").select("one", "n", "words", "places").collect()  # as many as pairs of one or two characters that occur
+    return Channel({tuple(r["one"].split("\t")): min(0.5, max(1, r["n"]) / max(1, r["places"])) for r in rows})
+
+
+def replacements(pairs: DataFrame, ranker: Boosted, channel: Channel) -> DataFrame:
     """(seen, right): the best candidate of each query, where the ranker prefers it to none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen, word, n_seen, n_word = (c.to_pylist() for c in batch.columns)
-            keep = [k for k in range(len(seen)) if explained(seen[k], word[k])[0] <= 2]
-            if keep:
-                x = np.array([features(seen[k], n_seen[k], word[k], n_word[k]) for k in keep], float)
-                score = ranker.score(x)
-                good = [(k, s) for k, s in zip(keep, score) if s > 0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([seen[k] for k, _ in good], pa.string()), pa.array([word[k] for k, _ in good], pa.string()), pa.array([float(s) for _, s in good], pa.float64())],
-                    ["seen", "right", "score"],
-                )
-
-    scored = candidates(vocabulary, queries).select("seen", "word", "n_seen", "n_word").mapInArrow(run, "seen string, right string, score double")
+            if batch.num_rows:
+                seen, word, n_seen, n_word, cap_seen, cap_word = (c.to_pylist() for c in batch.columns)
+                score = ranker.score(np.array([features(*f, channel) for f in zip(seen, n_seen, word, n_word, cap_seen, cap_word)], float))
+                made = np.array([all(e in channel.rates for e in edits(w, s)) for s, w in zip(seen, word)])  # an edit that was never learned has no rate
+                good = np.flatnonzero((score > ranker.least) & made)
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(good)), batch.column(1).take(pa.array(good)), pa.array(score[good])], ["seen", "right", "score"])
+
+    scored = pairs.select(*PAIR).mapInArrow(run, "seen string, right string, score double")
     best = cut(scored.groupBy("seen").agg(F.max_by("right", F.struct("score", "right")).alias("right")))
     # a replacement may itself be a frequent misreading
     onward = best.select(F.col("seen").alias("right"), F.col("right").alias("onward"))
@@ -444,30 +570,49 @@ def join_classifier(words: list[tuple[str, int]]) -> np.ndarray:
     return w8
 
 
-def noise(pages: DataFrame) -> DataFrame:
-    """(markdown_path, line_no, kind, word, raw): all noise; ``raw`` is what stands in the text for a misread word."""
-    rows = cut(rows_of(pages))
+def is_number(raw: Column) -> Column:
+    """Whether a token is a number or was one: at least half of it are digits."""
+    return F.length(F.regexp_replace(raw, "[^0-9]", "")) * 2 >= F.length(F.regexp_replace(raw, "[.,/%+-]", ""))
+
+
+def read_by_digit(raw: Column, channel: Channel) -> Column:
+    """The number that a token stands for, character by character; null if it is not one with wrongly read digits."""
+    seen, digits = channel.digit_map()
+    out = F.translate(raw, seen, digits)
+    count = lambda pattern: F.length(F.regexp_replace(raw, pattern, ""))
+    n_digits, n_other = count("[^0-9]"), count("[0-9.,/]")
+    sure = (n_digits > n_other) | ((n_digits == n_other) & out.rlike("^[0-9]{2,4}$")) | raw.contains(",")
+    return F.when(raw.rlike("[0-9]") & (n_other > 0) & out.rlike("^[0-9]+([.,/][0-9]+)*$") & sure, out)
+
+
+def noise(pages: DataFrame, running: Running | None = None, rank: bool = True, size: int = BLOCK) -> DataFrame:
+    """(markdown_path, line_no, kind, word, raw): all noise; ``raw`` is what stands in the text for a misread word.
+
+    A number is read digit by digit by the learned rates; anything else takes the candidate that the ranker chooses.
+    ``running`` is a fitted classifier of lines, fitted here if none is given; without ``rank`` no candidate is accepted.
+    """
+    rows = cut(rows_of(pages, running, size))
     marks = rows.where("kind IN ('header', 'page_number')").select("markdown_path", "line_no", "kind", "word", "raw")
-    is_number = F.pandas_udf(lambda s: s.map(lambda x: numeral(x) if x else None), "string")
-    odd_number = (F.col("raw").rlike("[0-9]")) & (F.col("raw").rlike("[^0-9.,/%-]"))
-    tokens = rows.where("kind = 'token'")
-    numbers = tokens.where(odd_number).withColumn("right", is_number("raw"))
-    fixed = numbers.where("right IS NOT NULL").select("markdown_path", "line_no", F.lit("misread").alias("kind"), F.col("right").alias("word"), "raw")
-
-    words = tokens.where("word RLIKE '[^0-9.,/%+-]'").select("markdown_path", "line_no", F.coalesce("other", "word").alias("seen"), "word", F.coalesce("other", "raw").alias("raw"))
-    counts = cut(words.groupBy("seen").agg(F.count("*").alias("n")).select(F.col("seen").alias("word"), "n"))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    rare = max(2, int(total * RARE_SHARE))
-    plain = counts.where("word RLIKE \"^[\\\\p{L}][\\\\p{L}'’-]*$\"")
-    sample = [(r["word"], r["n"]) for r in plain.where(F.col("n") > 2).orderBy(F.desc("n"), "word").limit(WORDS).collect()]
-    ranker, keep_hyphen = train_ranker(sample, rare), join_classifier(sample)
+    key = F.when(is_number(F.col("raw")), F.coalesce("other", "raw")).otherwise(F.coalesce("other", "word"))
+    words = rows.where("kind = 'token'").select("markdown_path", "line_no", key.alias("seen"), F.coalesce("other", "raw").alias("raw"))
+    capital = F.avg(F.col("raw").rlike("^\\p{Lu}").cast("double"))
+    counts = cut(words.groupBy("seen").agg(F.count("*").alias("n"), capital.alias("cap")).select(F.col("seen").alias("word"), "n", "cap"))
+    known = counts.where((F.col("n") >= KNOWN) & F.col("word").rlike("^(\\p{L}[\\p{L}'’-]*|[0-9]+([.,/][0-9]+)*)$"))
+    plain = known.where("word RLIKE '^\\\\p{L}'")
+    sample = [(r["word"], r["n"], r["cap"]) for r in plain.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
 
     broken = rows.where("kind = 'hyphen'").select("markdown_path", "line_no", F.col("word").alias("a"), F.col("other").alias("b"))
     forms = broken.select(F.concat("a", "b").alias("solid")).distinct()
-    queries = counts.where((F.col("n") <= rare) & (F.length("word") >= 3) & F.col("word").rlike(r"\p{L}"))
-    unknown = forms.select(F.col("solid").alias("word")).join(counts.select("word"), "word", "left_anti").withColumn("n", F.lit(0).cast("bigint"))
-    right = cut(replacements(plain.where("length(word) >= 2"), queries.union(unknown), ranker))
-    misread = words.join(right, "seen").where("right <> seen").select("markdown_path", "line_no", F.lit("misread").alias("kind"), F.col("right").alias("word"), "raw")
+    # a right number is not looked up: any number may stand in a report
+    queries = counts.where((F.length("word") >= 3) & ~F.col("word").rlike("^[0-9.,/%+-]*$"))
+    unknown = forms.select(F.col("solid").alias("word")).join(counts.select("word"), "word", "left_anti").withColumns({"n": F.lit(0).cast("bigint"), "cap": F.lit(0.0)})
+    pairs = cut(explained(candidates(known.where("length(word) >= 2"), queries.union(unknown))))
+    channel = learned(pairs, counts)
+    ranker, keep_hyphen = train_ranker(sample, channel) if rank else Boosted(0), join_classifier([(w, n) for w, n, _ in sample])
+    right = cut(replacements(pairs, ranker, channel))
+    by_digit = read_by_digit(F.col("raw"), channel)
+    met = words.where("seen RLIKE '[^0-9.,/%+-]'").join(right, "seen", "left").withColumn("right", F.coalesce(by_digit, "right"))
+    misread = met.where("right IS NOT NULL AND right <> seen").select("markdown_path", "line_no", F.lit("misread").alias("kind"), F.col("right").alias("word"), "raw")
 
     n = lambda c: F.log1p(F.coalesce(F.col(c), F.lit(0)))
     of = lambda key, name: counts.select(F.col("word").alias(key), F.col("n").alias(name))
@@ -479,7 +624,7 @@ def noise(pages: DataFrame) -> DataFrame:
     chosen = known.withColumn("form", F.when(score > 0, F.col("parted")).otherwise(F.col("solid")))
     mended = chosen.join(right.select(F.col("seen").alias("form"), "right"), "form", "left")
     hyphens = mended.select("markdown_path", "line_no", F.lit("hyphen").alias("kind"), F.coalesce("right", "form").alias("word"), F.concat_ws(" ", "a", "b").alias("raw"))
-    return marks.union(hyphens).union(misread).union(fixed)
+    return marks.union(hyphens).union(misread)
 
 
 def paragraphs(pages: DataFrame) -> DataFrame:
