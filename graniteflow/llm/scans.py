@@ -25,6 +25,7 @@ single page has no running lines. Words of one or two characters are not looked
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -137,6 +138,31 @@ def pair_features(a: Line, b: Line) -> tuple[float, ...]:
     return like, like**4, counting, numbered, told, min(a.short, b.short), float(a.free and b.free), float(a.place == b.place), like**4 * (a.open and b.open)
 
 
+@lru_cache(maxsize=8192)
+def signature(text: str) -> bytes:
+    """Its pairs of characters as bits of a fixed width."""
+    v = 0
+    for g in pairs_of(text):
+        v |= 1 << (zlib.crc32(g.encode()) & 255)
+    return v.to_bytes(32, "little")
+
+
+def alike(lines: list[Line], least: float = 0.5, step: int = 256) -> list[np.ndarray]:
+    """For each line the places of those on other pages up to AROUND away, at the same edge, that may share ``least`` of their pairs."""
+    if not lines:
+        return []
+    bits = np.frombuffer(b"".join(signature(x.masked) for x in lines), np.uint64).reshape(len(lines), 4)
+    size = np.bitwise_count(bits).sum(axis=1, dtype=np.int32)
+    page, side, out = np.array([x.page for x in lines]), np.array([x.side for x in lines]), []
+    for at in range(0, len(lines), step):
+        own = slice(at, at + step)
+        both = np.bitwise_count(bits[own, None] & bits[None]).sum(axis=2, dtype=np.int32)
+        gap = np.abs(page[own, None] - page[None])
+        fit = (2 * both >= least * (size[own, None] + size[None])) & (gap > 0) & (gap <= AROUND) & (side[own, None] == side[None])
+        out += [np.flatnonzero(r) for r in fit]
+    return out
+
+
 class Running:
     """The classifier of pairs of lines with its threshold, which holds for the sum of a line's three best pages."""
 
@@ -146,10 +172,12 @@ class Running:
     def score(self, a: Line, b: Line) -> float:
         return self.bias + sum(w * x for w, x in zip(self.w, pair_features(a, b)))
 
-    def support(self, line: Line, others: dict[int, list[Line]]) -> float:
+    def support(self, line: Line, others: list[Line]) -> float:
         """The scores of the three pages that speak most for a line; a page's best line counts."""
-        best = sorted((max((self.score(line, o) for o in own), default=-9.0) for p, own in others.items() if p != line.page), reverse=True)[:3]
-        return sum(x for x in best if x > 0) if best and best[0] > 0 else -9.0
+        best: dict[int, float] = {}
+        for o in others:
+            best[o.page] = max(best.get(o.page, -9.0), self.score(line, o))
+        return sum(sorted((x for x in best.values() if x > 0), reverse=True)[:3]) or -9.0
 
 
 def lines_of(pages: list[tuple[int, int, list[str]]]) -> tuple[dict[int, list[Line]], dict[int, list[Line]]]:
@@ -181,17 +209,18 @@ lines at edges do, to what the best tenth of outermost lines reach, and at least
     """
     x, y, kept = [], [], []
     for pages in files:
-        edge, inside = lines_of(pages)
-        order = [no for no, *_ in pages]
-        for p, q in zip(order, order[1:]):
-            for kind, here, there in ((1, edge[p], edge[q]), (0, inside[p], inside[q])):
-                for a in here:
-                    fit = [b for b in there if b.side == a.side]
-                    if fit:
-                        best = max(fit, key=lambda b: (2 * len(a.pairs & b.pairs) / (len(a.pairs) + len(b.pairs)), -abs(a.place - b.place)))
-                        x.append(pair_features(a, best))
-                        y.append(kind)
-        kept.append((order, edge, inside))
+        following = dict(zip([no for no, *_ in pages], [no for no, *_ in pages[1:]]))
+        for kind, by in zip((1, 0), lines_of(pages)):
+            lines = [a for own in by.values() for a in own]
+            near = alike(lines)
+            beside = {(a.page, a.side, a.place): a for a in lines}
+            for a, found in zip(lines, near):
+                on = [lines[k] for k in found if lines[k].page == following.get(a.page)] or [b for b in (beside.get((following.get(a.page), a.side, a.place)),) if b]
+                if on:
+                    best = max(on, key=lambda b: (2 * len(a.pairs & b.pairs) / (len(a.pairs) + len(b.pairs)), -abs(a.place - b.place)))
+                    x.append(pair_features(a, best))
+                    y.append(kind)
+            kept.append((kind, lines, near))
     w, bias = PRIOR.copy(), -4.0
     if x and 0 < sum(y) < len(y):
         xs, ys = np.array(x), np.array(y, float)
@@ -201,11 +230,12 @@ lines at edges do, to what the best tenth of outermost lines reach, and at least
             w += 0.5 * (xs.T @ error / len(xs) + 20 / len(xs) * (PRIOR - w))
             bias += 0.5 * (error.mean() + 20 / len(xs) * (-4.0 - bias))
     model, reached, ran = Running(w, bias, 4.0), [], []
-    for order, edge, inside in kept:
-        for k, p in enumerate(order):
-            near = order[max(0, k - AROUND) : k + AROUND + 1]
-            reached += [model.support(a, {q: inside[q] for q in near}) for a in inside[p][:: max(1, len(inside[p]) // 6)]]
-            ran += [model.support(a, {q: [b for b in edge[q] if b.side == a.side] for q in near}) for a in edge[p] if a.place == 0]
+    for kind, lines, near in kept:
+        for k, (a, found) in enumerate(zip(lines, near)):
+            if kind and a.place == 0:
+                ran.append(model.support(a, [lines[i] for i in found]))
+            elif not kind and k % 4 == 0:
+                reached.append(model.support(a, [lines[i] for i in found]))
     if reached and ran:
         model.least = max(4.0, 0.75 * float(np.quantile(reached, 0.995)) + 0.25 * float(np.quantile(ran, 0.9)))
     return model
@@ -213,15 +243,11 @@ lines at edges do, to what the best tenth of outermost lines reach, and at least
 
 def furniture(pages: list[tuple[int, int, list[str]]], mine: set[int], model: Running) -> dict[int, str]:
     """kind by line number of the running lines of the pages in ``mine`` (page number, first line, lines)."""
-    edge, _ = lines_of(pages)
+    lines = [a for own in lines_of(pages)[0].values() for a in own]
     out: dict[int, str] = {}
-    for no in mine:
-        near = {q: own for q, own in edge.items() if abs(q - no) <= AROUND}
-        for side in ("top", "low"):
-            others = {q: [b for b in own if b.side == side] for q, own in near.items()}
-            for line in others.get(no, ()):
-                if model.support(line, others) > model.least:
-                    out[line.at] = "page_number" if alone(line.text) else "header"
+    for line, found in zip(lines, alike(lines)):
+        if line.page in mine and model.support(line, [lines[k] for k in found]) > model.least:
+            out[line.at] = "page_number" if alone(line.text) else "header"
     return out
 
 
