@@ -6,10 +6,13 @@ one column block at a time and abandons a candidate as soon as a hypothesis test
 its distance is above the one still of interest: with d of D columns the distance is estimated as D/d times the
 partial one, and it is given up where that exceeds the bound by more than (1 + EPSILON / sqrt(d)) squared.
 
-Scale: centres are fitted on at most ``SAMPLE`` vectors, every vector is indexed; lists above ``BLOCK`` members or
-queries are split into blocks, each pair of which is one unit of work; equal vectors of a group are one class that is
-searched once and offers only its k + 1 smallest ids, which are all that can be among anyone's first k, so copies
-cannot heat a list; a unit returns at most k + 1 rows a query.
+Scale: centres come in two levels, so that a list stays small however many vectors there are. Coarse centres are fitted on
+at most ``SAMPLE`` vectors. A coarse list above ``FINE`` members gets centres of its own, about one for every ``FINE / 4``
+members, fitted in a task on at most ``FINE`` of them; a vector that visits such a list goes on to the finer ones nearest to
+it. Every vector is indexed. Lists above ``BLOCK`` members or queries are split into blocks, each pair of which is one unit
+of work, and the units are spread over as many partitions as their rows ask for. Equal vectors of a group are one class
+that is searched once and offers only its k + 1 smallest ids, which are all that can be among anyone's first k, so copies
+cannot heat a list, and the copies ask in blocks of ``COPIES``; a unit returns at most k + 1 rows a query.
 
 Defined results: null, short, long, all-zero and non-finite vectors and those without a group or an id are not usable and come
 out nowhere; of several rows of one id the caller passes the current one; ties of similarity go to the smaller id;
@@ -30,6 +33,7 @@ from graniteflow.llm.fixed import column_of, rows_of
 from graniteflow.session import cut
 
 DIM, K, PROBES, SAMPLE, BLOCK, COLUMNS, EPSILON, FLOOR = 64, 10, 8, 24_576, 4096, 16, 2.1, 0.85
+FINE, UNIT_ROWS, COPIES, BROADCAST = 4096, 30_000, 1000, 100_000
 ROTATION = np.linalg.qr(np.random.default_rng(5).standard_normal((DIM, DIM)))[0]
 
 
@@ -161,15 +165,66 @@ def scanned(work: DataFrame, k: int, floor: float | None) -> DataFrame:
     return work.select("unit", "role", "grp", "cls", "vec").mapInArrow(run, "grp string, q bigint, m bigint, sim double")
 
 
-def neighbours(vectors: DataFrame, k: int = K, floor: float | None = FLOOR, probes: int = PROBES, block: int = BLOCK) -> DataFrame:
+def fine_centres(members: DataFrame, sizes: DataFrame, fine: int) -> DataFrame:
+    """(grp, cell, centres): centres inside the coarse lists (grp, cell, members) that are above ``fine``, each fitted in a task.
+
+    A list is represented by at most ``fine`` of its members, in order of a hash.
+    """
+    lot = Window.partitionBy("grp", "cell").orderBy(F.xxhash64("cls", F.lit(41)))
+    some = members.join(sizes, ["grp", "cell"]).withColumn("rn", F.row_number().over(lot)).where(F.col("rn") <= fine)
+
+    def run(key: tuple, table: pa.Table) -> pa.Table:
+        x = vectors_of(table["vec"].combine_chunks())
+        own = centres(x, max(2, round(4 * int(table["members"][0].as_py()) / fine)))
+        return pa.Table.from_arrays([pa.array([key[0].as_py()]), pa.array([key[1].as_py()], pa.int32()), pa.array([own.astype(np.float32).tobytes()], pa.binary())], ["grp", "cell", "centres"])
+
+    return some.select("grp", "cell", "vec", "members").groupBy("grp", "cell").applyInArrow(run, "grp string, cell int, centres binary")
+
+
+def refined(visits: DataFrame, fine: DataFrame, probes: int) -> DataFrame:
+    """(grp, cls, vec, cell, place) of visits in lists with finer centres: the finer lists nearest to a vector, under new numbers.
+
+    A vector goes on to a share of the finer lists of each coarse one it visits: as many as it would probe in all, for the one
+    it lies in, and fewer the farther one is. ``place`` 0 is the finer list in which it is a member.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, cell, place = vectors_of(batch.column(2)), batch.column(3).to_numpy(), batch.column(4).to_numpy()
+            raw, take, cells, places = batch.column(5), [], [], []
+            groups = np.unique(np.stack([cell, np.array([hash(g) for g in batch.column(0).to_pylist()])]), axis=1, return_inverse=True)[1].reshape(-1)
+            for g in range(groups.max() + 1):
+                rows = np.flatnonzero(groups == g)
+                c = np.frombuffer(raw[int(rows[0])].as_py(), np.float32).reshape(-1, DIM)
+                near = np.argsort(-(x[rows] @ c.T), axis=1, kind="stable")
+                for r, order in zip(rows, near):
+                    n = min(len(c), max(1, probes // (1 + int(place[r]))))
+                    take += [r] * n
+                    cells += [(int(cell[r]) + 1) * 1_000_000 + int(k) for k in order[:n]]
+                    places += [int(place[r]) * probes + k for k in range(n)]
+            at = pa.array(take, pa.int64())
+            yield pa.RecordBatch.from_arrays([*(batch.column(i).take(at) for i in range(3)), pa.array(cells, pa.int64()), pa.array(places, pa.int32())], ["grp", "cls", "vec", "cell", "place"])
+
+    met = visits.join(fine, ["grp", "cell"])
+    return met.select("grp", "cls", "vec", "cell", "place", "centres").mapInArrow(run, "grp string, cls bigint, vec binary, cell bigint, place int")
+
+
+def small(df: DataFrame, rows: int = BROADCAST) -> DataFrame:
+    """The table, marked for a broadcast if it is known to have few rows."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def neighbours(vectors: DataFrame, k: int = K, floor: float | None = FLOOR, probes: int = PROBES, block: int = BLOCK, fine: int = FINE, copies: int = COPIES) -> DataFrame:
     """(id, neighbour, similarity) of the k most similar vectors of each usable vector (id, grp, embedding)."""
-    spark = vectors.sparkSession
     ready = cut(rotated(vectors))
     in_class = Window.partitionBy("grp", "cls").orderBy("id")
     offered = ready.withColumn("rn", F.row_number().over(in_class)).where(F.col("rn") <= k + 1)
     classes = offered.groupBy("grp", "cls").agg(F.first("vec").alias("vec"), F.sort_array(F.collect_list("id")).alias("ids"))
 
-    by_group = dict(ready.groupBy("grp").count().orderBy(F.desc("count")).limit(SAMPLE).collect())
+    # the groups with most vectors, as many as the sample has rows; the vectors of any other lie in one coarse list
+    by_group = dict(ready.groupBy("grp").count().orderBy(F.desc("count"), "grp").limit(SAMPLE).collect())
     share = math.ceil((1 << 30) * min(1.0, 1.2 * SAMPLE / max(1, sum(by_group.values()))))  # so few rows meet for the limit
     lot = F.xxhash64("id", F.lit(1))
     rows = ready.where(F.pmod(lot, F.lit(1 << 30)) < share).orderBy(lot).limit(SAMPLE).select("grp", "vec").toArrow()
@@ -180,27 +235,40 @@ def neighbours(vectors: DataFrame, k: int = K, floor: float | None = FLOOR, prob
             index[g] = centres(own, min(round(n**0.5), max(1, len(own) // 8)))
 
     cells = cut(indexed(classes, index, probes))
-    visits = cells.select("grp", F.posexplode("cells").alias("place", "cell"))
-    large = visits.groupBy("grp", "cell").agg(F.count_if(F.col("place") == 0).alias("members"), F.count("*").alias("queries"))
-    blocks = F.broadcast(  # one row for a list, and there are at most SAMPLE lists
-        large.select("grp", "cell", *(F.greatest(F.lit(1), F.ceil(F.col(c) / block)).cast("int").alias(c) for c in ("members", "queries")))
-    )
-    placed = cells.select("grp", "cls", "vec", F.posexplode("cells").alias("place", "cell")).join(blocks, ["grp", "cell"])
+    visits = cells.select("grp", "cls", "vec", F.posexplode("cells").alias("place", "cell"))
+    lists = cut(visits.groupBy("grp", "cell").agg(F.count_if(F.col("place") == 0).alias("members")))
+    if lists.where(F.col("members") > fine).isEmpty():
+        placed = visits.withColumn("cell", F.col("cell").cast("bigint"))
+    else:
+        large = lists.where(F.col("members") > fine)
+        inner = cut(fine_centres(visits.where("place = 0"), large, fine))
+        whole = visits.join(small(large.select("grp", "cell")), ["grp", "cell"], "left_anti")
+        placed = cut(whole.select("grp", "cls", "vec", F.col("cell").cast("bigint").alias("cell"), "place").union(refined(visits, inner, probes).select("grp", "cls", "vec", "cell", "place")))
+    sized = placed.groupBy("grp", "cell").agg(F.count_if(F.col("place") == 0).alias("members"), F.count("*").alias("queries"))
+    blocks = small(cut(sized.select("grp", "cell", F.col("queries").alias("n"), *(F.greatest(F.lit(1), F.ceil(F.col(c) / block)).cast("int").alias(c) for c in ("members", "queries")))))
+    placed = placed.join(blocks.drop("n"), ["grp", "cell"])
     piece = lambda n: F.pmod(F.xxhash64("cls", F.lit(17)), F.col(n)).cast("int")
     spread = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     asking = placed.withColumn("mb", F.explode(spread("members"))).select("grp", "cell", "mb", piece("queries").alias("qb"), F.lit(1).alias("role"), "cls", "vec")
     member = placed.where("place = 0").withColumn("qb", F.explode(spread("queries"))).select("grp", "cell", piece("members").alias("mb"), "qb", F.lit(0).alias("role"), "cls", "vec")
-    work = asking.union(member).withColumn("unit", F.xxhash64("grp", "cell", "mb", "qb")).repartition("unit")
+    total = blocks.agg(F.coalesce(F.sum(F.col("n") * (F.col("members") + 1)), F.lit(0))).first()[0]
+    parts = max(int(ready.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-total // UNIT_ROWS))
+    work = asking.union(member).withColumn("unit", F.xxhash64("grp", "cell", "mb", "qb")).repartition(parts, "unit")
     found = scanned(work, k + 1, floor)
 
     offers = classes.select("grp", F.col("cls").alias("m"), "ids")
     best = Window.partitionBy("grp", "q").orderBy(F.desc("sim"), "m")
-    nearest = found.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k + 1).drop("rn")
+    once = found.groupBy("grp", "q", "m").agg(F.max("sim").alias("sim"))  # a pair may meet in several finer lists
+    nearest = once.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k + 1).drop("rn")
     rank = Window.partitionBy("grp", "q").orderBy(F.desc("sim"), "neighbour")
     listed = nearest.join(offers, ["grp", "m"]).select("grp", "q", "sim", F.explode("ids").alias("neighbour"))
     top = listed.withColumn("rn", F.row_number().over(rank)).where(F.col("rn") <= k + 1)
-    asked = ready.select("grp", F.col("cls").alias("q"), "id")
-    pairs = top.join(asked, ["grp", "q"]).where("id <> neighbour")
+    # a class of many copies asks block by block
+    crowds = ready.groupBy("grp", F.col("cls").alias("q")).agg(F.ceil(F.count("*") / copies).cast("int").alias("blocks")).where("blocks > 1")
+    part = lambda: F.pmod(F.xxhash64("id", F.lit(31)), F.coalesce("blocks", F.lit(1))).cast("int")
+    asked = ready.select("grp", F.col("cls").alias("q"), "id").join(crowds, ["grp", "q"], "left").select("grp", "q", "id", part().alias("part"))
+    offer = top.join(crowds, ["grp", "q"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))).drop("blocks")
+    pairs = offer.join(asked, ["grp", "q", "part"]).where("id <> neighbour")
     mine = Window.partitionBy("id").orderBy("rn")
     return pairs.withColumn("place", F.row_number().over(mine)).where(F.col("place") <= k).select("id", "neighbour", F.col("sim").alias("similarity"))
 
