@@ -94,7 +94,7 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The subjects that at least a quarter of the sentences of a document are about."""
     examples = table(spark, sf_dir, "subject_examples", "text", "subject")
-    return subjects.subjects_of(table(spark, sf_dir, "documents", "doc_id", "text"), examples)
+    return subjects.subjects_of(table(spark, sf_dir, "documents", "doc_id", "text", "source", "doc_type"), examples)
 
 
 def p8_makeup(spark: SparkSession, sf_dir: str) -> DataFrame:

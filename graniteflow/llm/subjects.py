@@ -4,15 +4,18 @@ Method: one linear classifier for each subject against the rest, over hashed n-g
 scripts without spaces), trained on weak labels. A label names the subject of a passage, yet only some of its
 sentences are about it and some labels are wrong; so only n-grams whose use is shown to lean to one subject are
 columns, and a sentence keeps the label it inherits only where one of them bears it out. Labelled passages come from
-the example table and, for words that it lacks, from a bounded sample of documents, labelled by the subject that the
-model so far finds in them and in no small part another, or by none where their sentences do not look open either; there are no addresses with subjects in these
-tables, so this stands for them. The threshold of every subject is calibrated on held-out passages.
+the example table and, for words that it lacks, from a bounded sample of documents. These get weak labels from what stands
+beside their sentences: the parts of their address (source and document type) and the titles of their sections. A value labels
+a document if it names a subject, or if the documents that have it lean to one subject by what the model so far finds in them
+(lower 95 % bound of the share). Where no value speaks, a document is labelled by the subject that the model finds in it and in
+no small part another, or by none where its sentences do not look open either. The threshold of every subject is calibrated
+on held-out passages.
 
 A document has a subject when at least ``SHARE`` of its sentences are about it; headings and tables do not count.
 
-Bounds: at most ``EXAMPLES`` labelled passages and ``SAMPLE`` documents are used for fitting; the model is a table of
-the n-grams with a weight that matters, at most ``2**HASH_BITS`` rows. Everything else runs over all documents, in one
-pass without a shuffle.
+Bounds: at most ``EXAMPLES`` labelled passages and ``SAMPLE`` documents are used for fitting, which one task does; the model is
+a table of the n-grams with a weight that matters, at most ``2**HASH_BITS`` rows, written once for the same examples and
+sample and read by later queries of the session. Everything else runs over all documents, in one pass without a shuffle.
 
 Defined results: null, empty and blank texts and texts of headings and tables only have no subject, so no row; a
 document has a subject at most once; repeated rows are each classified; a null label counts as no label.
@@ -22,19 +25,25 @@ from __future__ import annotations
 
 import html
 import itertools
+import pickle
 import re
 import unicodedata
 import zlib
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from graniteflow.session import ensure_checkpoint_dir
+
 HASH_BITS, EXAMPLES, SAMPLE, SHARE, SEED = 20, 20_000, 3000, 0.25, 4
 ROUNDS, PENALTY, POSITIVE = 60, 2e-6, 6.0
 PURE_FEW, PURE, NEUTRAL, LABELLED, FRAME = 0.4, 0.5, 0.1, 0.2, 20
+LEAN, LEAN_FEW = 0.5, 5
 MARKUP = re.compile(r"<[^<>\n]{1,80}>")
 TABLE = re.compile(r"<table\b.*?</table>", re.S | re.I)
 END = re.compile(r"(?<=[。！？])|(?<=[.!?])[\"')\]]*\s+(?=[\"'(\[]*[^\W\d_a-z]|\d)", re.M)
@@ -206,6 +215,7 @@ class Model:
         self.rows = {int(s): i for i, s in enumerate(used[matters])}
         self.weights = np.vstack([w[:-1][matters], np.zeros((1, len(subjects)), np.float32)])
         self.memory: dict[str, int] = {}
+        self.values, self.speaks = 0, {}  # values of metadata that were looked at, and those that speak for a subject
 
     def place(self, gram: str) -> int:
         """The row of weights of an n-gram; the last row, of zeros, for those that do not matter."""
@@ -269,8 +279,47 @@ def thresholds(x: Design, owner: np.ndarray, label: np.ndarray, subjects: int, f
     return np.array([np.median(grid[np.isclose(f1[:, k], f1[:, k].max())]) for k in range(subjects)])
 
 
-def train(examples: list[tuple[str, str]], texts: list[str] = (), rounds: int = 2) -> Model:
-    """A model from labelled passages and, for wider vocabulary, from texts without labels, in ``rounds`` rounds."""
+def metadata(text: str | None, source: str | None, kind: str | None) -> list[str]:
+    """What stands beside a document's sentences: the parts of its address and the titles of its sections."""
+    out = [f"{name} {v.strip().lower()}" for name, v in (("source", source), ("type", kind)) if v and v.strip()]
+    titles = {" ".join(TOKEN.findall(line.lower())) for line in (text or "").split("\n") if line.startswith("#")}
+    return out + [f"section {t}" for t in sorted(titles) if t]
+
+
+def leaning(values: list[list[str]], named: np.ndarray, subjects: list[str]) -> dict[str, int]:
+    """The subject that each value of metadata speaks for: one that a title names, or one that most documents with it have."""
+    seen: dict[str, Counter] = defaultdict(Counter)
+    for own, label in zip(values, named):
+        for v in set(own) if label >= 0 else ():
+            seen[v][int(label)] += 1
+    out, z = {}, 1.645
+    for v, count in seen.items():
+        label, top = count.most_common(1)[0]
+        n = sum(count.values())
+        share = top / n
+        low = (share + z * z / (2 * n) - z * np.sqrt(share * (1 - share) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+        if n >= LEAN_FEW and label < len(subjects) and low >= LEAN:
+            out[v] = label
+    for v in {v for own in values for v in own if v.startswith("section ")}:
+        words = set(v.split()[1:])
+        for k, s in enumerate(subjects):
+            if set(s.lower().replace("_", " ").split()) <= words:
+                out[v] = k
+    return out
+
+
+def by_metadata(values: list[list[str]], speaks: dict[str, int]) -> np.ndarray:
+    """The subject that a document's metadata speaks for, -1 where it is silent or of two minds."""
+    out = np.full(len(values), -1)
+    for i, own in enumerate(values):
+        found = {speaks[v] for v in own if v in speaks}
+        if len(found) == 1:
+            out[i] = found.pop()
+    return out
+
+
+def train(examples: list[tuple[str, str]], texts: list[tuple] = (), rounds: int = 2) -> Model:
+    """A model from labelled passages and, for wider vocabulary, from texts (text, source, type) without labels, in ``rounds`` rounds."""
     subjects = sorted({s for _, s in examples})
     label = np.array([subjects.index(s) for _, s in examples])
     sents, owner = prepare([t for t, _ in examples])
@@ -278,14 +327,18 @@ def train(examples: list[tuple[str, str]], texts: list[str] = (), rounds: int =
     at = thresholds(x, owner, label, len(subjects))
     w, small = refined(x, label[owner], owner, len(subjects))
     model = Model(subjects, small.used, w, at)
-    lists = [own for t in texts if len(own := sentences(t)) >= 3] if rounds else []
-    if not lists:
+    split = [(own, metadata(*t)) for t in texts if len(own := sentences(t[0])) >= 3] if rounds else []
+    if not split:
         return model
+    lists, values = [own for own, _ in split], [v for _, v in split]
     flat = [s for own in lists for s in own]
     doc = np.repeat(np.arange(len(lists)), [len(own) for own in lists])
     slots = [list({slot(g) for g in grams(s)}) for s in flat]
     for _ in range(rounds):
         named = labels_of(model.scores_of(slots) >= 0, slots, doc, len(lists))
+        speaks = leaning(values, named, subjects)
+        told = by_metadata(values, speaks)
+        named = np.where(((named < 0) | (named == len(subjects))) & (told >= 0), told, named)
         kept: dict[str, int] = {}  # a sentence counts once, however many copies of its text there are
         for k in np.flatnonzero(named[doc] >= 0):
             kept.setdefault(flat[k], k)
@@ -296,6 +349,7 @@ def train(examples: list[tuple[str, str]], texts: list[str] = (), rounds: int =
         unit = np.r_[owner, len(label) + np.arange(len(rows))]
         w, small = refined(x, np.r_[label[owner], named[doc[rows]]], unit, len(subjects), PURE)
         model = Model(subjects, small.used, w, at)
+        model.values, model.speaks = len({v for own in values for v in own}), speaks
     return model
 
 
@@ -324,16 +378,52 @@ def labels_of(hits: np.ndarray, slots: list[list[int]], doc: np.ndarray, docs: i
     return out
 
 
-def subjects_of(docs: DataFrame, examples: DataFrame) -> DataFrame:
-    """(doc_id, subject) of the documents (doc_id, text), with a model fitted on the examples (text, subject)."""
-    labelled = examples.where("text IS NOT NULL AND subject IS NOT NULL").select("text", "subject").orderBy(F.xxhash64("text"), "subject").limit(EXAMPLES).collect()
-    pairs = [(r[0], r[1]) for r in labelled]
-    if not pairs:
-        return docs.select("doc_id", F.lit(None).cast("string").alias("subject")).where(F.lit(False))
+def fitted(docs: DataFrame, examples: DataFrame, folder: str | None = None) -> Model | None:
+    """The model for some examples (text, subject) and documents (doc_id, text, source, doc_type); None without a labelled example.
+
+    One task fits it on the two bounded samples. It is kept under the hash of these in ``folder``, by default the folder for
+    checkpoints, and read from there when the same is asked again.
+    """
+    spark = docs.sparkSession
+    labelled = examples.where("text IS NOT NULL AND subject IS NOT NULL").select("text", "subject").orderBy(F.xxhash64("text"), "subject").limit(EXAMPLES)
     lot = F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 30))
     share = min(1.0, 1.2 * SAMPLE / max(1, docs.count()))
-    texts = docs.where((lot < int(share * (1 << 30))) & F.length("text").between(100, 4000)).orderBy(lot, "doc_id").limit(SAMPLE).select("text").collect()
-    model = docs.sparkSession.sparkContext.broadcast(train(pairs, [r[0] for r in texts]))  # bounded by the two samples
+    texts = docs.where((lot < int(share * (1 << 30))) & F.length("text").between(100, 4000)).orderBy(lot, "doc_id").limit(SAMPLE)
+    none = F.lit(None).cast("string")
+    rows = labelled.select("text", "subject", none.alias("source"), none.alias("doc_type")).union(texts.select("text", none, "source", "doc_type"))
+    rows = rows.coalesce(1).sortWithinPartitions("subject", F.xxhash64("text"), "text", "source", "doc_type")
+    if folder is None:
+        ensure_checkpoint_dir(spark)
+        folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/subjects"
+    sign = rows.agg(F.sum(F.xxhash64("text", "subject", "source", "doc_type").cast("decimal(38,0)")), F.count("subject")).first()
+    if not sign[1]:
+        return None
+    at = f"{folder}/{sign[0]}-{sign[1]}"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got = [r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))]
+        pairs = [(t, s) for t, s, *_ in got if s is not None]
+        if pairs:
+            model = train(pairs, [(t, a, d) for t, s, a, d in got if s is None])
+            model.memory = {}
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], ["model"])
+
+    try:
+        kept = spark.read.parquet(at)
+    except AnalysisException:
+        rows.mapInArrow(run, "model binary").write.mode("overwrite").parquet(at)
+        kept = spark.read.parquet(at)
+    return pickle.loads(kept.first()[0])
+
+
+def subjects_of(docs: DataFrame, examples: DataFrame, folder: str | None = None) -> DataFrame:
+    """(doc_id, subject) of the documents (doc_id, text and, if known, source and doc_type), with a model fitted on the examples (text, subject)."""
+    for c in ("source", "doc_type"):
+        docs = docs if c in docs.columns else docs.withColumn(c, F.lit(None).cast("string"))
+    found = fitted(docs, examples, folder)
+    if found is None:
+        return docs.select("doc_id", F.lit(None).cast("string").alias("subject")).where(F.lit(False))
+    model = docs.sparkSession.sparkContext.broadcast(found)  # bounded by the two samples
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = model.value
