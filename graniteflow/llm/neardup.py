@@ -39,7 +39,8 @@ from graniteflow.llm.fixed import column_of, rows_of
 from graniteflow.session import cut
 
 WORD = re.compile("[a-z0-9]+")
-THRESHOLD_NUM, THRESHOLD_DEN, MIN_WORDS = 7, 10, 50
+ANY_WORD = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]|[^\W_\u3040-\u30ff\u3400-\u9fff]+")
+SHARE, MIN_WORDS = (7, 10), 50
 BANDS, ROWS, BITS, HOT, LEAF = 32, 5, 192, 4096, 4
 SAMPLED, COPIES = 64, 1000
 LANES, BYTES = BITS // 64, 6
@@ -47,8 +48,9 @@ KEPT = (1 << 8 * BYTES) - 1
 WORD_MEMORY = 60_000
 
 
-def radius(sizes_a: np.ndarray, sizes_b: np.ndarray, num: int = THRESHOLD_NUM, den: int = THRESHOLD_DEN) -> np.ndarray:
-    """The most words in which two sets of these sizes may differ."""
+def radius(sizes_a: np.ndarray, sizes_b: np.ndarray, share: tuple[int, int] = SHARE) -> np.ndarray:
+    """The most words in which two sets of these sizes may differ if ``share`` of all their words is in both."""
+    num, den = share
     return ((den - num) * (sizes_a + sizes_b)) // (den + num)
 
 
@@ -104,7 +106,7 @@ def unpacked(data: bytes) -> np.ndarray:
     return out.reshape(-1).view(np.uint64)
 
 
-def tree_pairs(fps: np.ndarray, sizes: np.ndarray, count: Counter | None = None) -> tuple[np.ndarray, np.ndarray]:
+def tree_pairs(fps: np.ndarray, sizes: np.ndarray, count: Counter | None = None, share: tuple[int, int] = SHARE) -> tuple[np.ndarray, np.ndarray]:
     """Places (i, j) of all pairs within their radius in one shard, by a vantage-point tree.
 
     A node takes its first member as vantage point and splits the others at their median distance. Two members can
@@ -115,7 +117,7 @@ def tree_pairs(fps: np.ndarray, sizes: np.ndarray, count: Counter | None = None)
     out_i, out_j = [], []
 
     def close(a: np.ndarray, b: np.ndarray, bounds: np.ndarray) -> None:
-        most = radius(sizes[a], sizes[b])
+        most = radius(sizes[a], sizes[b], share)
         fit = np.ones(len(a), bool)
         for d in bounds:
             fit &= np.abs(d[a] - d[b]) <= most
@@ -140,7 +142,7 @@ def tree_pairs(fps: np.ndarray, sizes: np.ndarray, count: Counter | None = None)
         rest = rest[np.argsort(d[rest], kind="stable")]
         middle = len(rest) // 2
         inner, outer = rest[:middle], rest[middle:]
-        most = int(radius(sizes[rest].max(), sizes[rest].max()))
+        most = int(radius(sizes[rest].max(), sizes[rest].max(), share))
         until = np.searchsorted(d[outer], d[inner] + most, "right")
         if count is not None:
             count.update(pruned=int(len(inner) * len(outer) - until.sum()))
@@ -150,7 +152,7 @@ def tree_pairs(fps: np.ndarray, sizes: np.ndarray, count: Counter | None = None)
     return np.concatenate(out_i), np.concatenate(out_j)
 
 
-def shard_pairs(key: np.ndarray, cls: np.ndarray, sizes: np.ndarray, fps: np.ndarray, hot: int, count: Counter | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shard_pairs(key: np.ndarray, cls: np.ndarray, sizes: np.ndarray, fps: np.ndarray, hot: int, count: Counter | None = None, share: tuple[int, int] = SHARE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Pairs of classes over all shards of one partition, and the places of the members of hot shards.
 
     The root of every shard's tree is worked on for all shards together: its first member is the vantage point. Of shards
@@ -166,7 +168,7 @@ def shard_pairs(key: np.ndarray, cls: np.ndarray, sizes: np.ndarray, fps: np.nda
     where = np.flatnonzero(small)
     vantage = np.repeat(bounds[:-1], length)[where]
     d = distances(fps[where], fps[vantage])
-    near = (d <= radius(sizes[where], sizes[vantage])) & (where != vantage)
+    near = (d <= radius(sizes[where], sizes[vantage], share)) & (where != vantage)
     left.append(cls[vantage[near]])
     right.append(cls[where[near]])
     if count is not None:
@@ -178,7 +180,7 @@ def shard_pairs(key: np.ndarray, cls: np.ndarray, sizes: np.ndarray, fps: np.nda
         i = np.flatnonzero(s_key[s:] == s_key[:-s])
         if not len(i):
             break
-        most = radius(sizes[where[i]], sizes[where[i + s]])
+        most = radius(sizes[where[i]], sizes[where[i + s]], share)
         fit = np.abs(d[i] - d[i + s]) <= most
         if count is not None:
             count.update(met=int(fit.sum()), pruned=int((~fit).sum()))
@@ -192,7 +194,7 @@ def shard_pairs(key: np.ndarray, cls: np.ndarray, sizes: np.ndarray, fps: np.nda
         if length[g] > hot:
             held.append(order[at])
             continue
-        i, j = tree_pairs(fps[at], sizes[at], count)
+        i, j = tree_pairs(fps[at], sizes[at], count, share)
         left.append(cls[at][i])
         right.append(cls[at][j])
     none = np.zeros(0, np.int64)
@@ -208,8 +210,14 @@ def gather(batches: Iterator[pa.RecordBatch], columns: int) -> list[pa.ChunkedAr
     return [pa.chunked_array([b.column(k) for b in rows]).combine_chunks() for k in range(columns)] if rows else None
 
 
-def word_sets(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(id, cls, words) of the texts (id, text) with enough words; words are sorted 48-bit hashes, cls their hash."""
+def shingles(text: str, size: int) -> set[str]:
+    """Runs of ``size`` words of a text; words are letters and digits, single characters where scripts have no spaces."""
+    words = ANY_WORD.findall(text.lower())
+    return {" ".join(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+def word_sets(texts: DataFrame, min_words: int = MIN_WORDS, size: int = 1) -> DataFrame:
+    """(id, cls, words) of the texts (id, text) with enough words, or runs of ``size`` words; these are sorted 48-bit hashes, cls their hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory: dict[str, int] = {}
@@ -217,7 +225,7 @@ def word_sets(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         for batch in batches:
             ids, cls, sets = [], [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = set(find(text.lower())) if text else ()
+                words = (set(find(text.lower())) if size == 1 else shingles(text, size)) if text else ()
                 if len(words) < min_words:
                     continue
                 if len(memory) > WORD_MEMORY:
@@ -257,7 +265,7 @@ def banded(classes: DataFrame, bands: int, rows: int) -> DataFrame:
     return classes.select("cls", "words").mapInArrow(run, "key bigint, cls bigint, n int, fp binary")
 
 
-def search(rows: DataFrame, hot: int) -> DataFrame:
+def search(rows: DataFrame, hot: int, share: tuple[int, int] = SHARE) -> DataFrame:
     """Pairs within the radius, shard by shard: (a, b, null, ...); members of hot shards come back as (null, null, row)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +273,7 @@ def search(rows: DataFrame, hot: int) -> DataFrame:
         if got is None:
             return
         key, cls, n = (c.to_numpy(zero_copy_only=False) for c in got[:3])
-        a, b, held = shard_pairs(key, cls, n, rows_of(got[3], np.uint64, LANES), hot)
+        a, b, held = shard_pairs(key, cls, n, rows_of(got[3], np.uint64, LANES), hot, None, share)
         for k in range(0, len(a), 50_000):
             x, y = pa.array(a[k : k + 50_000]), pa.array(b[k : k + 50_000])
             yield pa.RecordBatch.from_arrays([x, y, pa.nulls(len(x), pa.int64()), pa.nulls(len(x), pa.int64()), pa.nulls(len(x), pa.int32()), pa.nulls(len(x), pa.binary())], ["a", "b", "key", "cls", "n", "fp"])
@@ -299,13 +307,13 @@ def hot_shards(classes: DataFrame, bands: int, rows: int, hot: int) -> DataFrame
     return counts.select("key", F.ceil(F.col("n") * SAMPLED / (hot / 4)).cast("int").alias("blocks"))
 
 
-def hot_pairs(held: DataFrame, hot: int) -> DataFrame:
+def hot_pairs(held: DataFrame, hot: int, share: tuple[int, int] = SHARE) -> DataFrame:
     """Pairs of shards that were met as too large for one task: blocks of about hot / 2 members, a task for two blocks."""
     counts = held.groupBy("key").agg(F.ceil(F.count("*") / (hot / 2)).cast("int").alias("blocks"))
-    return search(in_blocks(held, counts).repartition("key"), 1 << 30).select("a", "b")
+    return search(in_blocks(held, counts).repartition("key"), 1 << 30, share).select("a", "b")
 
 
-def exact(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+def exact(pairs: DataFrame, classes: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
     """The candidate pairs (a, b) whose word sets share enough, with the two sizes and the shared number."""
     left = classes.select(F.col("cls").alias("a"), F.col("words").alias("words_a"))
     right = classes.select(F.col("cls").alias("b"), F.col("words").alias("words_b"))
@@ -317,7 +325,7 @@ def exact(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             for k in range(len(a)):
                 u, v = unpacked(x[k]), unpacked(y[k])
                 both = len(np.intersect1d(u, v, assume_unique=True))
-                if THRESHOLD_DEN * both >= THRESHOLD_NUM * (len(u) + len(v) - both):
+                if share[1] * both >= share[0] * (len(u) + len(v) - both):
                     keep.append(k)
                     shared.append(both / (len(u) + len(v) - both))
             yield pa.RecordBatch.from_arrays(
@@ -329,17 +337,17 @@ def exact(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return met.mapInArrow(run, "a bigint, b bigint, similarity double")
 
 
-def class_pairs(classes: DataFrame, bands: int = BANDS, rows: int = ROWS, hot: int = HOT) -> DataFrame:
+def class_pairs(classes: DataFrame, bands: int = BANDS, rows: int = ROWS, hot: int = HOT, share: tuple[int, int] = SHARE) -> DataFrame:
     """Near-copy pairs (a < b, similarity) of the classes (cls, words)."""
     sharded, known = banded(classes, bands, rows), cut(hot_shards(classes, bands, rows, hot))
     if not known.isEmpty():
         sharded = in_blocks(sharded, known)
-    found = cut(search(sharded.repartition("key"), hot))
+    found = cut(search(sharded.repartition("key"), hot, share))
     plain = found.where("a IS NOT NULL").select("a", "b")
     held = found.where("key IS NOT NULL").select("key", "cls", "n", "fp")
     if not held.isEmpty():
-        plain = plain.union(hot_pairs(held, hot))
-    return exact(plain, classes)
+        plain = plain.union(hot_pairs(held, hot, share))
+    return exact(plain, classes, share)
 
 
 def spread(members: DataFrame, copies: int = COPIES) -> tuple[DataFrame, DataFrame]:
@@ -368,15 +376,15 @@ def near_copies(texts: DataFrame, min_words: int = MIN_WORDS, bands: int = BANDS
     return met.where("a <> b OR x < y").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 
-def groups(texts: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def groups(texts: DataFrame, min_words: int = MIN_WORDS, size: int = 1, share: tuple[int, int] = SHARE, bands: int = BANDS) -> DataFrame:
     """(id, group_id, links): each text with the smallest id of its group of linked near copies and its number of links.
 
     Groups are the connected parts of the pairs between classes, found by repeatedly taking the smallest label of
     all neighbours and then the label of that label, so the rounds grow with the logarithm of a part's width.
     """
-    members = cut(word_sets(texts, min_words))
+    members = cut(word_sets(texts, min_words, size))
     classes = cut(members.groupBy("cls").agg(F.first("words").alias("words"), F.min("id").alias("low"), F.count("*").alias("copies")))
-    pairs = cut(class_pairs(classes.select("cls", "words")))
+    pairs = cut(class_pairs(classes.select("cls", "words"), bands, share=share))
     both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     links = both.join(classes.select(F.col("cls").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("outside"))
     label = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("cls"), F.least("a", "m").alias("label")))

@@ -45,7 +45,24 @@ def test_copies_offer_the_smallest_ids(spark):
     got = {}
     for r in knn.neighbours(d, k=3).collect():
         got.setdefault(r["id"], []).append(r["neighbour"])
-    assert got == {f"c{k:02d}": [f"c{j:02d}" for j in range(4) if j != k][:3] for k in range(40)} or {i: sorted(n) for i, n in got.items()} == {f"c{k:02d}": [f"c{j:02d}" for j in range(4) if j != k][:3] for k in range(40)}
+    want = {f"c{k:02d}": [f"c{j:02d}" for j in range(4) if j != k][:3] for k in range(40)}
+    assert {i: sorted(n) for i, n in got.items()} == want  # rows come in no order, the three smallest ids are the promise
+    again = {}
+    for r in knn.neighbours(d, k=3, copies=7).collect():
+        again.setdefault(r["id"], []).append(r["neighbour"])
+    assert {i: sorted(n) for i, n in again.items()} == want
+
+
+def test_two_levels_of_lists(spark):
+    rows = [(f"v{k:04d}", "ab"[k % 2], [float(x) for x in v], 1) for k, v in enumerate(clustered(1200, 5))]
+    d = spark.createDataFrame(rows, SCHEMA)
+    got = {}
+    for r in knn.neighbours(d, fine=12).collect():
+        assert r["neighbour"] not in got.setdefault(r["id"], set())
+        got[r["id"]].add(r["neighbour"])
+    want = brute(rows, 10, 0.85)
+    hits = sum(len(got.get(i, set()) & set(w)) for i, w in want.items())
+    assert hits >= 0.97 * sum(map(len, want.values()))
 
 
 TERMS = {"sea": ["cargo ships", "harbour cranes", "tanker fleet", "sea routes"], "farm": ["wheat fields", "dairy cows", "grain silos", "apple trees"], "bank": ["savings products", "home loans", "credit cards", "bond desks"]}
@@ -83,6 +100,30 @@ def test_subjects_of_held_out_documents(spark):
     assert subjects.subjects_of(d.limit(0), e).count() == 0
 
 
+def test_metadata_labels():
+    assert subjects.metadata("# Sea Freight\ntext\n## Notes 3", "src/Sea ", None) == ["source src/sea", "section notes", "section sea freight"]
+    values = [["source a", "section x"]] * 8 + [["source b", "section x"]] * 8 + [["section sea lanes"]]
+    named = np.array([0] * 8 + [1] * 4 + [2] * 4 + [-1])
+    speaks = subjects.leaning(values, named, ["farm", "sea"])
+    assert speaks == {"source a": 0, "section sea lanes": 1}
+    assert subjects.by_metadata([["source a"], ["source a", "section sea lanes"], ["source b"]], speaks).tolist() == [0, -1, -1]
+
+
+def test_metadata_brings_words(spark):
+    # the examples lack a word that a source uses all the time; its documents learn it from their address
+    rng = random.Random(3)
+    examples = [(passage(rng, s, 0.6, 5), s) for s in TERMS for _ in range(40)]
+    docs = []
+    for k in range(160):
+        body = passage(rng, "sea", 0.7, 8) if k % 4 else " ".join(f"Spending on lighter barges reached {rng.randrange(1000)}." if rng.random() < 0.6 else PLAIN[0].format(n=rng.randrange(9), t="") for _ in range(8))
+        docs.append((body, "sea_wire", "notes"))
+    docs += [(passage(rng, "bank", 0.0, 8), "mixed", "notes") for _ in range(60)]
+    plain, told = subjects.train(examples, [(t, None, None) for t, *_ in docs]), subjects.train(examples, docs)
+    probe = ["Spending on lighter barges reached 7."]
+    sea = told.subjects.index("sea")
+    assert told.speaks.get("source sea_wire") == sea and told.scores(probe)[0, sea] > plain.scores(probe)[0, sea]
+
+
 def test_sentences():
     text = "# Title\nX Co. Ltd. rose 3.5 percent. It did, cf. note 3. Did it?\n<table><tr><td>a. b</td></tr></table>| x | y |\n第一句。第二句！"
     assert len(subjects.sentences(text)) == 5

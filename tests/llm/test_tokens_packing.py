@@ -49,6 +49,22 @@ def test_best_fit_takes_the_tightest_compatible_bin():
     assert packing.best_fit([*items, (20, 3, -1)], 100, 1) == [0, 1, 2, 3]
 
 
+def test_near_copies_never_share_a_container(spark):
+    rng = random.Random(5)
+    words = [f"w{k}" for k in range(400)]
+    base = [rng.choice(words) for _ in range(90)]
+    rows = []
+    for k in range(30):  # each differs from the first in one word, so in five runs of 86
+        own = list(base)
+        if k:  # two of them share less than 0.8, but both are near the first
+            own[k * 3] = "changed"
+        rows.append((k, "a", " ".join(own)))
+    rows += [(100 + k, rng.choice("ab"), " ".join(rng.choice(words) for _ in range(rng.randrange(5, 60)))) for k in range(120)]
+    out = packing.pack(spark.createDataFrame(rows, "doc_id bigint, source string, text string"), capacity=600).toPandas()
+    near = out[out["doc_id"] < 30]
+    assert near["cluster"].nunique() == 1 and near["container_id"].nunique() == 30
+
+
 def test_containers(spark):
     rng = random.Random(3)
     words = ["alpha", "beta", "gamma", "delta"]
