@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from graniteflow.session import broadcast_if_small
+
 # Suffixes are tried in this order and only the first that fits is dropped.
 SUFFIXES = ["股份有限公司", "有限责任公司", "有限公司", "集团公司", "集团股份", "集团", "股份公司", "股份", "公司", "控股公司", "控股集团"]
 # Exchange by code prefix, the first that fits; SZ where none does.
@@ -42,10 +44,10 @@ def search(companies: DataFrame, queries: DataFrame, k: int) -> DataFrame:
     """(query, code, tier, place): up to k companies of each query, best tier first, then by code.
 
     Tiers: 1 one of the names is the query, 2 the bare names agree, 3 the bare name holds the query, 4 the query holds
-    the bare name, 5 a former name agrees with it or one holds the other. Queries are few and broadcast; companies are
+    the bare name, 5 a former name agrees with it or one holds the other. Queries are broadcast where a count shows that they are few; companies are
     scanned once, and a company counts once however many rows it has.
     """
-    q = F.broadcast(queries.select("query", bare_name(F.col("query")).alias("bare")))
+    q = broadcast_if_small(queries.select("query", bare_name(F.col("query")).alias("bare")))
     c = companies.select("code", "name", "org_name_en", "org_short_name_en", F.split("pre_name", ",").alias("former")).withColumn("own", bare_name(F.col("name")))
     has = lambda a, b: F.coalesce((b != "") & a.contains(b), F.lit(False))
     some = F.col("bare") != ""

@@ -25,9 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from graniteflow.session import cut
+from graniteflow.session import broadcast_if_small, cut
 
-ONE_FOREST, RANGE, PARTITION_ROWS, SLOTS = 200_000, 4096, 200_000, 16
+ONE_FOREST, RANGE, PARTITION_ROWS, SLOTS, HEADS = 200_000, 4096, 200_000, 16, 10_000
 LOCAL = "key string, id string, top string, root string, steps int, path string, out string, low string, cycle string"
 OPEN = "key string, top string, root string, steps bigint, path string, low string, cycle string, done boolean"
 
@@ -85,7 +85,7 @@ def local_forests(nodes: DataFrame) -> DataFrame:
         rows = [b for b in batches if b.num_rows]
         if not rows:
             return
-        keys, ids, parents, labels = (sum((b.column(c).to_pylist() for b in rows), []) for c in range(4))
+        keys, ids, parents, labels = ([x for b in rows for x in b.column(c).to_pylist()] for c in range(4))
         place = {k: i for i, k in enumerate(keys)}
         up = [-1 if p is None else place.get(p, -1) for p in parents]
         top, steps, order = forest(up)
@@ -117,7 +117,7 @@ def joined_forest(links: DataFrame) -> DataFrame:
         rows = [b for b in batches if b.num_rows]
         if not rows:
             return
-        key, head, root, steps, path, low, ring, done = (sum((b.column(c).to_pylist() for b in rows), []) for c in range(8))
+        key, head, root, steps, path, low, ring, done = ([x for b in rows for x in b.column(c).to_pylist()] for c in range(8))
         place = {k: i for i, k in enumerate(key)}
         up = [-1 if d else place.get(t, -1) for t, d in zip(head, done)]
         tops, _, order = forest(up)
@@ -136,18 +136,27 @@ def joined_forest(links: DataFrame) -> DataFrame:
     return links.select("key", "top", "root", "steps", "path", "low", "cycle", "done").mapInArrow(run, OPEN)
 
 
-def contracted(local: DataFrame) -> DataFrame:
+def contracted(local: DataFrame, heads: int = HEADS) -> DataFrame:
     """Links of topmost nodes to the topmost node that their parent elsewhere has; done where that is settled.
 
     ``path`` are the labels from the target down to the parent, ``low`` the smallest id from the node up to, but
     without, the target.
     """
     open_tops = local.where("key = top AND out IS NOT NULL").select("key", "id", "out")
+    # a parent that many heads ask for is there once for every ``heads`` of them
+    crowds = cut(open_tops.groupBy("out").agg(F.ceil(F.count("*") / heads).cast("int").alias("slots")).where("slots > 1"))
     target = local.select(
         F.col("key").alias("p_key"), F.col("top").alias("p_top"), F.col("root").alias("p_root"), F.col("steps").alias("p_steps"), F.col("path").alias("p_path"),
         F.col("low").alias("p_low"), F.col("cycle").alias("p_cycle"), F.col("out").alias("p_out"),
     )
-    met = open_tops.join(target, F.col("out") == F.col("p_key"), "left")
+    if crowds.isEmpty():
+        met = open_tops.join(target, F.col("out") == F.col("p_key"), "left")
+    else:
+        few = broadcast_if_small(crowds)
+        slots = F.coalesce("slots", F.lit(1))
+        asking = open_tops.join(few, "out", "left").withColumn("slot", F.pmod(F.xxhash64("key"), slots).cast("int")).drop("slots")
+        there = target.join(few.withColumnRenamed("out", "p_key"), "p_key", "left").withColumn("p_slot", F.explode(F.sequence(F.lit(0), slots - 1))).drop("slots")
+        met = asking.join(there, (F.col("out") == F.col("p_key")) & (F.col("slot") == F.col("p_slot")), "left")
     known = F.col("p_key").isNotNull()
     return met.select(
         "key",
@@ -195,7 +204,7 @@ def settled(links: DataFrame, one_forest: int) -> DataFrame:
     return links.where("done").join(ends.select("key"), "key", "left_anti").union(last)
 
 
-def trees(nodes: DataFrame, partitions: int | None = None, one_forest: int = ONE_FOREST) -> DataFrame:
+def trees(nodes: DataFrame, partitions: int | None = None, one_forest: int = ONE_FOREST, heads: int = HEADS) -> DataFrame:
     """(id, root_id, node_depth, node_path) of the nodes (key, id, parent, label, place).
 
     ``place`` says which nodes should meet in a partition; equal keys must not occur twice.
@@ -203,7 +212,7 @@ def trees(nodes: DataFrame, partitions: int | None = None, one_forest: int = ONE
     nodes = nodes.where("key IS NOT NULL")
     spread = nodes.repartition(partitions, "place") if partitions else nodes.repartition("place")
     local = cut(local_forests(spread))
-    links = settled(cut(contracted(local)), one_forest)
+    links = settled(cut(contracted(local, heads)), one_forest)
     far = links.select(*(F.col(c).alias(a) for c, a in (("key", "top"), ("root", "f_root"), ("steps", "f_steps"), ("path", "f_path"), ("cycle", "f_cycle"))))
     # a node whose topmost node has no way out is settled; the others wait for the link of their topmost node, and as
     # that has all its nodes in one partition, no key of this join is hot
@@ -229,9 +238,9 @@ def partitions_for(spark: SparkSession, rows: int) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // PARTITION_ROWS))
 
 
-def placed(document: Column, number: Column) -> Column:
-    """Where a chunk's links are joined first: its document and range of chunk numbers."""
-    return F.xxhash64(document, F.floor(F.coalesce(number, F.lit(0)) / RANGE))
+def placed(document: Column, number: Column, key: Column) -> Column:
+    """Where a chunk's links are joined first: its document and range of chunk numbers; those without a number are spread by their key."""
+    return F.xxhash64(document, F.coalesce(F.floor(number / RANGE), -1 - F.pmod(F.xxhash64(key), F.lit(SLOTS))))
 
 
 def opened(nodes: DataFrame, stuck: DataFrame, partitions: int | None, one_forest: int) -> DataFrame:

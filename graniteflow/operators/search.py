@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,6 +47,17 @@ def nearest(vectors: DataFrame, query: DataFrame, key: str, k: int, where: Colum
     return ranked.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def whole(column: pa.ChunkedArray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(places, values) of the vectors of a list column that have ``width`` values and no null, out of its flat buffer."""
+    rows = column.combine_chunks()
+    rows = rows.combine_chunks() if isinstance(rows, pa.ChunkedArray) else rows
+    at = np.flatnonzero(pc.fill_null(pc.list_value_length(rows), -1).to_numpy(zero_copy_only=False) == width)
+    flat = rows.take(pa.array(at)).flatten()
+    good = flat.is_valid().to_numpy(zero_copy_only=False).reshape(-1, width).all(axis=1) if width else np.zeros(len(at), bool)
+    values = pc.fill_null(flat, 0).to_numpy(zero_copy_only=False).astype(float).reshape(-1, width or 1)
+    return at[good], values[good]
+
+
 def nearest_in_blocks(vectors: DataFrame, queries: DataFrame, key: str, k: int, vector_block: int = 50_000, query_block: int = 2_048) -> DataFrame:
     """(query, key, distance, rank) as ``nearest``, for query sets that grow with the data: nothing is broadcast.
 
@@ -64,19 +76,17 @@ def nearest_in_blocks(vectors: DataFrame, queries: DataFrame, key: str, k: int,
         names = ["query", "id", "distance"]
         if not v.num_rows or not q.num_rows:
             return pa.Table.from_arrays([q["query"].slice(0, 0), v["id"].slice(0, 0), pa.array([], pa.float64())], names)
-        asked = q["q"].to_pylist()
-        width = len(asked[0])
-        fit = lambda x: x is not None and len(x) == width and None not in x
-        keep, ask = [i for i, x in enumerate(v["embedding"].to_pylist()) if fit(x)], [i for i, x in enumerate(asked) if fit(x)]
-        x = np.array([y for y in v["embedding"].to_pylist() if fit(y)], float).reshape(-1, width)
+        width = len(q["q"][0])
+        ask, asked = whole(q["q"], width)
+        keep, x = whole(v["embedding"], width)
         out_q, out_v, out_d = [], [], []
-        for i in ask if keep else []:
-            gap = x - np.array(asked[i], float)
+        for i, own in zip(ask.tolist(), asked) if len(keep) else []:
+            gap = x - own
             d = np.round(np.sqrt(np.einsum("ij,ij->i", gap, gap)), 6)
             # all that tie with the k-th stay, so that ties are settled by id at the end
             near = np.flatnonzero(d <= np.partition(d, min(k, len(d)) - 1)[min(k, len(d)) - 1])
             out_q += [i] * len(near)
-            out_v += [keep[j] for j in near]
+            out_v += keep[near].tolist()
             out_d.append(d[near])
         flat = np.concatenate([np.zeros(0), *out_d])
         return pa.Table.from_arrays([q["query"].take(pa.array(out_q, pa.int64())), v["id"].take(pa.array(out_v, pa.int64())), pa.array(flat)], names)

@@ -28,12 +28,10 @@ def query(name: str, sql: str | None = None):
 
 
 @query("scan_pending_documents", """
-SELECT id, object_path, crawled_at FROM (
-  SELECT DISTINCT id, object_path, crawled_at FROM source_documents WHERE status IN ('crawled', 'parsed', 'processed')
-  ORDER BY crawled_at NULLS FIRST, id LIMIT 200)
-WHERE regexp_matches(lower(object_path), '[.](pdf|html?)$')""")
+SELECT DISTINCT id, object_path, crawled_at FROM source_documents WHERE status IN ('crawled', 'parsed', 'processed')
+AND regexp_matches(lower(object_path), '[.](pdf|html?)$')""")
 def scan_pending(spark: SparkSession, sf: str) -> DataFrame:
-    """All pending filings of a readable kind, oldest first. The SQL twin keeps the 200 oldest only and is equal up to there."""
+    """All pending filings of a readable kind, oldest first."""
     docs = table(spark, sf, "source_documents", "id", "object_path", "crawled_at", "status")
     rows = docs.where(F.col("status").isin("crawled", "parsed", "processed")).drop("status").distinct()
     return L.limit_then_filter(rows, F.lit(True), 0, [F.col("crawled_at").asc_nulls_first(), F.col("id")], F.lower("object_path").rlike("[.](pdf|html?)$"))

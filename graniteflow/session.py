@@ -8,6 +8,7 @@ import tempfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = 8, memory: str = "8g") -> SparkSession:
@@ -52,3 +53,8 @@ def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the checkpoint folder so that lost executors never replay what led to it."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_if_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """The table, marked for a broadcast if a count says that it has few rows; as it is otherwise, for the planner to decide."""
+    return F.broadcast(df) if df.count() <= rows else df

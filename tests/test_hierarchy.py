@@ -49,6 +49,15 @@ def test_one_long_chain_and_a_ring_over_partitions(spark):
     assert got["self"] == ("self", -1, "") and got["tail"][0] == "r000"
 
 
+def test_a_parent_of_many_heads_elsewhere(spark):
+    links = {"root": None, "hub": "root"} | {f"h{k:03d}": "hub" for k in range(90)} | {f"t{k:03d}": f"h{k:03d}" for k in range(90)}
+    labels, rows = {n: n for n in links}, []
+    for k, n in enumerate(links):
+        rows.append((n, n, links[n], n, k, "clash", "clash"))
+    df = hierarchy.trees(spark.createDataFrame(rows, SCHEMA), 9, heads=8)
+    assert {r["id"]: (r["root_id"], r["node_depth"], r["node_path"]) for r in df.collect()} == brute(links, labels)
+
+
 def test_empty(spark):
     assert run(spark, {}, {}, {}) == {}
 

@@ -149,3 +149,32 @@ def test_chunks_cover_every_line_once():
     assert all(c["parent_index"] is None or c["parent_index"] < c["chunk_index"] for c in got)
     assert got[0]["heading_index"] == -1
     assert structure.chunks(None, "simple") == [] and structure.chunks("  \n", "chinese") == []
+
+
+def test_exact_quantiles_of_bounded_sketches(spark):
+    import random
+
+    import numpy as np
+
+    rng = random.Random(2)
+    rows = [("a", rng.random()) for _ in range(3000)] + [("b", float(rng.randrange(5))) for _ in range(700)] + [("c", 4.0), ("c", 9.0), ("d", 1.5), ("e", None)]
+    d = spark.createDataFrame(rows, "g string, x double")
+    points = {"p0": 0.0, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p99": 0.99, "p100": 1.0}
+    got = {r["g"]: r for r in stats.exact_quantiles(d, ["g"], "x", 30, **points).collect()}
+    assert set(got) == {"a", "b", "c", "d"}
+    for g, r in got.items():
+        own = [x for k, x in rows if k == g]
+        assert r["n"] == len(own) and all(abs(r[n] - np.quantile(own, p)) < 1e-9 for n, p in points.items())
+
+
+def test_full_text_index_is_kept_and_filtered(spark, tmp_path):
+    from graniteflow.operators import fulltext
+
+    rows = [(f"d{k}", "lithium mine " * (k + 1) + "other words here", "lithium" if k == 3 else None, "ab"[k % 2]) for k in range(6)] + [("cn", "锂矿开采公司", None, "a")]
+    fulltext.build(spark.createDataFrame(rows, "id string, text string, title string, kind string"), "id", ["text", "title"], ["kind"]).save(str(tmp_path / "i"), 2)
+    index = fulltext.load(spark, str(tmp_path / "i"))
+    hits = fulltext.search(index, "Lithium mine?", {"text": 2.0, "title": 9.0}, 3).orderBy("rank").collect()
+    assert hits[0]["key"] == "d3" and hits[0]["relative"] == 1.0 and [h["rank"] for h in hits] == [1, 2, 3]
+    assert {h["key"] for h in fulltext.search(index, "lithium", {"text": 1.0}, 9, F.col("kind") == "a").collect()} == {"d0", "d2", "d4"}
+    assert [h["key"] for h in fulltext.search(index, "锂矿", {"text": 1.0}, 9).collect()] == ["cn"]
+    assert [h["rank"] for h in fulltext.search(index, "lithium", {"text": 1.0}, 2, offset=2).orderBy("rank").collect()] == [3, 4]

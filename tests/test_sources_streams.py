@@ -100,3 +100,24 @@ def test_windows_and_versions_of_a_stream(spark, sf, tmp_path):
 def test_what_is_to_do(spark):
     d = spark.sql("SELECT * FROM VALUES (1, NULL, 5), (2, 4, 3), (3, 4, 6) t(id, done, changed)")
     assert sorted(r["id"] for r in inc.to_do(d, "done", "changed").collect()) == [1, 3]
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    import pytest
+
+    from graniteflow import session
+
+    class Context:
+        master = "spark://host:7077"
+        _jsc = property(lambda self: self)
+        sc = lambda self: self
+        getCheckpointDir = lambda self: self
+        isDefined = lambda self: False
+
+    class Session:
+        sparkContext = Context()
+        conf = property(lambda self: self)
+        get = lambda self, name, default: default
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(Session())
