@@ -72,7 +72,7 @@ WITH RECURSIVE {CUR}, up AS (
   UNION ALL
   SELECT u.start, n.p, list_append(u.seen, n.p), list_contains(u.seen, n.p)
   FROM up u JOIN node n ON n.k = u.at WHERE n.p IS NOT NULL AND NOT u.ring
-), circle AS (SELECT DISTINCT start FROM up WHERE ring AND at = start)
+), circle AS (SELECT DISTINCT start FROM up u WHERE u.ring AND u.at = u.start)
 SELECT a.id, d.id AS descendant_id, CAST(len(u.seen) - 1 AS INTEGER) AS levels
 FROM up u JOIN node a ON a.k = u.at JOIN node d ON d.k = u.start
 WHERE len(u.seen) > 1 AND NOT u.ring AND u.start NOT IN (SELECT start FROM circle)
