@@ -237,7 +237,8 @@ def neighbours(vectors: DataFrame, k: int = K, floor: float | None = FLOOR, prob
     cells = cut(indexed(classes, index, probes))
     visits = cells.select("grp", "cls", "vec", F.posexplode("cells").alias("place", "cell"))
     lists = cut(visits.groupBy("grp", "cell").agg(F.count_if(F.col("place") == 0).alias("members")))
-    if lists.where(F.col("members") > fine).isEmpty():
+    one_level = lists.where(F.col("members") > fine).isEmpty()
+    if one_level:
         placed = visits.withColumn("cell", F.col("cell").cast("bigint"))
     else:
         large = lists.where(F.col("members") > fine)
@@ -258,17 +259,22 @@ def neighbours(vectors: DataFrame, k: int = K, floor: float | None = FLOOR, prob
 
     offers = classes.select("grp", F.col("cls").alias("m"), "ids")
     best = Window.partitionBy("grp", "q").orderBy(F.desc("sim"), "m")
-    once = found.groupBy("grp", "q", "m").agg(F.max("sim").alias("sim"))  # a pair may meet in several finer lists
+    once = found if one_level else found.groupBy("grp", "q", "m").agg(F.max("sim").alias("sim"))  # a pair may meet in several finer lists
     nearest = once.withColumn("rn", F.row_number().over(best)).where(F.col("rn") <= k + 1).drop("rn")
     rank = Window.partitionBy("grp", "q").orderBy(F.desc("sim"), "neighbour")
     listed = nearest.join(offers, ["grp", "m"]).select("grp", "q", "sim", F.explode("ids").alias("neighbour"))
     top = listed.withColumn("rn", F.row_number().over(rank)).where(F.col("rn") <= k + 1)
     # a class of many copies asks block by block
-    crowds = ready.groupBy("grp", F.col("cls").alias("q")).agg(F.ceil(F.count("*") / copies).cast("int").alias("blocks")).where("blocks > 1")
+    crowds = cut(ready.groupBy("grp", F.col("cls").alias("q")).agg(F.ceil(F.count("*") / copies).cast("int").alias("blocks")).where("blocks > 1"))
+    asked = ready.select("grp", F.col("cls").alias("q"), "id")
     part = lambda: F.pmod(F.xxhash64("id", F.lit(31)), F.coalesce("blocks", F.lit(1))).cast("int")
-    asked = ready.select("grp", F.col("cls").alias("q"), "id").join(crowds, ["grp", "q"], "left").select("grp", "q", "id", part().alias("part"))
-    offer = top.join(crowds, ["grp", "q"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))).drop("blocks")
-    pairs = offer.join(asked, ["grp", "q", "part"]).where("id <> neighbour")
+    if crowds.isEmpty():
+        pairs = top.join(asked, ["grp", "q"]).where("id <> neighbour")
+    else:
+        few = small(crowds)
+        asked = asked.join(few, ["grp", "q"], "left").select("grp", "q", "id", part().alias("part"))
+        offer = top.join(few, ["grp", "q"], "left").withColumn("part", F.explode(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1))).drop("blocks")
+        pairs = offer.join(asked, ["grp", "q", "part"]).where("id <> neighbour")
     mine = Window.partitionBy("id").orderBy("rn")
     return pairs.withColumn("place", F.row_number().over(mine)).where(F.col("place") <= k).select("id", "neighbour", F.col("sim").alias("similarity"))
 
