@@ -180,8 +180,8 @@ class Running:
         return sum(sorted((x for x in best.values() if x > 0), reverse=True)[:3]) or -9.0
 
 
-def lines_of(pages: list[tuple[int, int, list[str]]]) -> tuple[dict[int, list[Line]], dict[int, list[Line]]]:
-    """(lines at the edges, lines inside) of pages (number, first line, lines), by page."""
+def lines_of(pages: list[tuple[int, int, list[str]]], inner: bool = True) -> tuple[dict[int, list[Line]], dict[int, list[Line]]]:
+    """(lines at the edges, lines inside if asked for) of pages (number, first line, lines), by page."""
     edge, inside = {}, {}
     for no, first, lines in pages:
         at = [k for k, x in enumerate(lines) if x.strip()]
@@ -191,7 +191,7 @@ def lines_of(pages: list[tuple[int, int, list[str]]]) -> tuple[dict[int, list[Li
         top, low = at[:EDGE], at[-EDGE:]  # on a short page a line stands at both edges
         marked = lambda k, lines=lines: lines[k].lstrip().startswith("#")
         edge[no] = [make(k, "top", place) for place, k in enumerate(top) if not marked(k)] + [make(k, "low", len(low) - 1 - place) for place, k in enumerate(low) if not marked(k)]
-        inside[no] = [make(k, "in", place % EDGE) for place, k in enumerate(at[EDGE:-EDGE]) if not marked(k)]
+        inside[no] = [make(k, "in", place % EDGE) for place, k in enumerate(at[EDGE:-EDGE]) if inner and not marked(k)]
     return edge, inside
 
 
@@ -243,7 +243,7 @@ lines at edges do, to what the best tenth of outermost lines reach, and at least
 
 def furniture(pages: list[tuple[int, int, list[str]]], mine: set[int], model: Running) -> dict[int, str]:
     """kind by line number of the running lines of the pages in ``mine`` (page number, first line, lines)."""
-    lines = [a for own in lines_of(pages)[0].values() for a in own]
+    lines = [a for own in lines_of(pages, inner=False)[0].values() for a in own]
     out: dict[int, str] = {}
     for line, found in zip(lines, alike(lines)):
         if line.page in mine and model.support(line, [lines[k] for k in found]) > model.least:
