@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from graniteflow.llm.fixed import column_of, rows_of
-from graniteflow.session import cut
+from graniteflow.session import broadcast_if_small, cut
 
 WORD = re.compile("[a-z0-9]+")
 ANY_WORD = re.compile(r"[\u3040-\u30ff\u3400-\u9fff]|[^\W_\u3040-\u30ff\u3400-\u9fff]+")
@@ -210,10 +210,19 @@ def gather(batches: Iterator[pa.RecordBatch], columns: int) -> list[pa.ChunkedAr
     return [pa.chunked_array([b.column(k) for b in rows]).combine_chunks() for k in range(columns)] if rows else None
 
 
-def shingles(text: str, size: int) -> set[str]:
-    """Runs of ``size`` words of a text; words are letters and digits, single characters where scripts have no spaces."""
-    words = ANY_WORD.findall(text.lower())
-    return {" ".join(words[i : i + size]) for i in range(len(words) - size + 1)}
+MIX = np.random.default_rng(12).integers(1, 1 << 63, 16, dtype=np.uint64) | np.uint64(1)
+
+
+def runs(words: np.ndarray, size: int) -> np.ndarray:
+    """Distinct 48-bit hashes of the runs of ``size`` words, out of the hashes of the words in order; sorted."""
+    if len(words) < size:
+        return np.zeros(0, np.uint64)
+    last = len(words) - size + 1
+    h = np.zeros(last, np.uint64)
+    for k in range(size):
+        h += words[k : k + last] * MIX[k]
+    h = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return np.unique((h ^ (h >> np.uint64(32))) & np.uint64(KEPT))
 
 
 def word_sets(texts: DataFrame, min_words: int = MIN_WORDS, size: int = 1) -> DataFrame:
@@ -225,12 +234,15 @@ def word_sets(texts: DataFrame, min_words: int = MIN_WORDS, size: int = 1) -> Da
         for batch in batches:
             ids, cls, sets = [], [], []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                words = (set(find(text.lower())) if size == 1 else shingles(text, size)) if text else ()
-                if len(words) < min_words:
-                    continue
                 if len(memory) > WORD_MEMORY:
                     memory.clear()
-                data = packed(sorted([memory.get(w) or memory.setdefault(w, digest(w) & KEPT) for w in words]))
+                words = (set(find(text.lower())) if size == 1 else ANY_WORD.findall(text.lower())) if text else ()
+                hashes = [memory.get(w) or memory.setdefault(w, digest(w) & KEPT) for w in words] if len(words) >= min_words else ()
+                if size > 1:
+                    hashes = runs(np.array(hashes, np.uint64), size)
+                if len(hashes) < min_words:
+                    continue
+                data = packed(sorted(hashes) if size == 1 else hashes)
                 ids.append(i)
                 sets.append(data)
                 cls.append(xxhash.xxh3_64_intdigest(data) - (1 << 63))
@@ -315,8 +327,12 @@ def hot_pairs(held: DataFrame, hot: int, share: tuple[int, int] = SHARE) -> Data
 
 def exact(pairs: DataFrame, classes: DataFrame, share: tuple[int, int] = SHARE) -> DataFrame:
     """The candidate pairs (a, b) whose word sets share enough, with the two sizes and the shared number."""
-    left = classes.select(F.col("cls").alias("a"), F.col("words").alias("words_a"))
-    right = classes.select(F.col("cls").alias("b"), F.col("words").alias("words_b"))
+    pairs = pairs.distinct()
+    # only the word sets of classes that are in a pair move
+    met_at_all = cut(pairs.select(F.col("a").alias("cls")).union(pairs.select("b")).distinct())
+    wanted = classes.join(broadcast_if_small(met_at_all), "cls", "left_semi")
+    left = wanted.select(F.col("cls").alias("a"), F.col("words").alias("words_a"))
+    right = wanted.select(F.col("cls").alias("b"), F.col("words").alias("words_b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -333,7 +349,7 @@ def exact(pairs: DataFrame, classes: DataFrame, share: tuple[int, int] = SHARE)
                 ["a", "b", "similarity"],
             )
 
-    met = pairs.distinct().join(left, "a").join(right, "b").select("a", "b", "words_a", "words_b")
+    met = pairs.join(left, "a").join(right, "b").select("a", "b", "words_a", "words_b")
     return met.mapInArrow(run, "a bigint, b bigint, similarity double")
 
 
@@ -376,7 +392,7 @@ def near_copies(texts: DataFrame, min_words: int = MIN_WORDS, bands: int = BANDS
     return met.where("a <> b OR x < y").select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
 
 
-def groups(texts: DataFrame, min_words: int = MIN_WORDS, size: int = 1, share: tuple[int, int] = SHARE, bands: int = BANDS) -> DataFrame:
+def groups(texts: DataFrame, min_words: int = MIN_WORDS, size: int = 1, share: tuple[int, int] = SHARE, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(id, group_id, links): each text with the smallest id of its group of linked near copies and its number of links.
 
     Groups are the connected parts of the pairs between classes, found by repeatedly taking the smallest label of
@@ -384,7 +400,7 @@ def groups(texts: DataFrame, min_words: int = MIN_WORDS, size: int = 1, share: t
     """
     members = cut(word_sets(texts, min_words, size))
     classes = cut(members.groupBy("cls").agg(F.first("words").alias("words"), F.min("id").alias("low"), F.count("*").alias("copies")))
-    pairs = cut(class_pairs(classes.select("cls", "words"), bands, share=share))
+    pairs = cut(class_pairs(classes.select("cls", "words"), bands, rows, share=share))
     both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     links = both.join(classes.select(F.col("cls").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("outside"))
     label = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("cls"), F.least("a", "m").alias("label")))
@@ -398,6 +414,6 @@ def groups(texts: DataFrame, min_words: int = MIN_WORDS, size: int = 1, share: t
         label = new.select("cls", "label")
     named = label.join(classes.select("cls", "low"), "cls").groupBy("label").agg(F.min("low").alias("group_id"))
     part = label.join(named, "label").select("cls", "group_id")
-    rows = members.select("cls", "id").join(classes.select("cls", "low", "copies"), "cls").join(part, "cls", "left").join(links, F.col("cls") == F.col("a"), "left")
+    out = members.select("cls", "id").join(classes.select("cls", "low", "copies"), "cls").join(part, "cls", "left").join(links, F.col("cls") == F.col("a"), "left")
     total = F.coalesce("outside", F.lit(0)) + F.col("copies") - 1
-    return rows.select("id", F.coalesce("group_id", "low").alias("group_id"), total.cast("bigint").alias("links"))
+    return out.select("id", F.coalesce("group_id", "low").alias("group_id"), total.cast("bigint").alias("links"))

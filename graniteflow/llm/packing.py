@@ -33,7 +33,8 @@ from graniteflow.llm import neardup
 from graniteflow.llm.tokens import BYTE_BPE_50K, merger
 from graniteflow.session import cut
 
-CAPACITY, GROUP_SIZE, RUN, ALIKE, BANDS = 2048, 8192, 5, (8, 10), 20  # 20 bands of 5 miss 0.04 % of pairs at 0.8
+CAPACITY, GROUP_SIZE, RUN, ALIKE = 2048, 8192, 5, (8, 10)
+BANDS, ROWS = 8, 3  # miss 0.3 % of pairs at 0.8; runs of five words are too rare for texts to meet by chance
 PLAIN = re.compile(r"[\W_]+")
 SCHEMA = "container_id string, doc_id string, part_no int, first_token int, n_tokens int, source string, cluster string"
 
@@ -112,7 +113,7 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, max_sources: int | None = No
     groups = max(1, -(-docs.count() // group_size))  # a count answered by the file footers
     # ids pass through pandas as text, which keeps null and large ones as they are
     plain = cut(sized(docs, path).withColumn("doc_id", F.col("doc_id").cast("string")))
-    near = neardup.groups(docs.select(F.col("doc_id").cast("string").alias("id"), "text"), 1, RUN, ALIKE, BANDS).where("links > 0").groupBy("id").agg(F.min("group_id").alias("group_id"))
+    near = neardup.groups(docs.select(F.col("doc_id").cast("string").alias("id"), "text"), 1, RUN, ALIKE, BANDS, ROWS).where("links > 0").groupBy("id").agg(F.min("group_id").alias("group_id"))
     met = plain.join(near.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     items = met.withColumn("cluster", F.coalesce(F.concat(F.lit("near "), "group_id"), "cluster")).drop("group_id").withColumn("bucket", F.pmod(F.xxhash64("doc_id", "cluster", "n_tokens"), F.lit(groups)).cast("int"))
 
