@@ -309,16 +309,20 @@ def in_blocks(rows: DataFrame, counts: DataFrame) -> DataFrame:
     return met.select(F.when(F.col("blocks").isNull(), F.col("key")).otherwise(paired).alias("key"), "cls", "n", "fp")
 
 
-def hot_shards(classes: DataFrame, bands: int, rows: int, hot: int) -> DataFrame:
-    """(key, blocks) of the shards that a sample of one class in SAMPLED shows to be above ``hot`` members.
+def hot_shards(sampled: DataFrame, hot: int) -> DataFrame:
+    """(key, blocks) of the shards that the rows of one class in SAMPLED show to be above ``hot`` members.
 
     What a sample misses is found when the shard is searched and comes back from there (``search``).
     """
-    sampled = banded(classes.where(F.pmod(F.xxhash64("cls", F.lit(23)), F.lit(SAMPLED)) == 0), bands, rows)
     counts = sampled.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") * SAMPLED > hot)
     return counts.select("key", F.ceil(F.col("n") * SAMPLED / (hot / 4)).cast("int").alias("blocks"))
 
 
+def sample_of(classes: DataFrame) -> DataFrame:
+    """One class in SAMPLED."""
+    return classes.where(F.pmod(F.xxhash64("cls", F.lit(23)), F.lit(SAMPLED)) == 0)
+
+
 def hot_pairs(held: DataFrame, hot: int, share: tuple[int, int] = SHARE) -> DataFrame:
     """Pairs of shards that were met as too large for one task: blocks of about hot / 2 members, a task for two blocks."""
     counts = held.groupBy("key").agg(F.ceil(F.count("*") / (hot / 2)).cast("int").alias("blocks"))
@@ -353,17 +357,51 @@ def exact(pairs: DataFrame, classes: DataFrame, share: tuple[int, int] = SHARE)
     return met.mapInArrow(run, "a bigint, b bigint, similarity double")
 
 
-def class_pairs(classes: DataFrame, bands: int = BANDS, rows: int = ROWS, hot: int = HOT, share: tuple[int, int] = SHARE) -> DataFrame:
-    """Near-copy pairs (a < b, similarity) of the classes (cls, words)."""
-    sharded, known = banded(classes, bands, rows), cut(hot_shards(classes, bands, rows, hot))
+def candidate_pairs(sharded: DataFrame, sampled: DataFrame, hot: int, share: tuple[int, int] = SHARE) -> DataFrame:
+    """Pairs (a, b) of classes within the radius out of the rows of all shards, and of a sample of them."""
+    known = cut(hot_shards(sampled, hot))
     if not known.isEmpty():
         sharded = in_blocks(sharded, known)
     found = cut(search(sharded.repartition("key"), hot, share))
     plain = found.where("a IS NOT NULL").select("a", "b")
     held = found.where("key IS NOT NULL").select("key", "cls", "n", "fp")
-    if not held.isEmpty():
-        plain = plain.union(hot_pairs(held, hot, share))
-    return exact(plain, classes, share)
+    return plain if held.isEmpty() else plain.union(hot_pairs(held, hot, share))
+
+
+def class_pairs(classes: DataFrame, bands: int = BANDS, rows: int = ROWS, hot: int = HOT, share: tuple[int, int] = SHARE) -> DataFrame:
+    """Near-copy pairs (a < b, similarity) of the classes (cls, words)."""
+    return exact(candidate_pairs(banded(classes, bands, rows), banded(sample_of(classes), bands, rows), hot, share), classes, share)
+
+
+def sketches(sets: DataFrame, bands: int, rows: int) -> DataFrame:
+    """(id, cls, n, fp, keys) of word sets (id, cls, words): what a search needs of them, without the words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sketch = Sketcher(bands, rows)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                raw = part.column(2).to_pylist()
+                sizes = np.fromiter((len(x) // BYTES for x in raw), np.int32, len(raw))
+                starts = np.r_[0, np.cumsum(sizes, dtype=np.int64)]
+                flat = unpacked(b"".join(raw))
+                fps, keys = sketch.fingerprints(flat, starts), sketch.keys(flat, starts)
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes), column_of(fps), column_of(keys)], ["id", "cls", "n", "fp", "keys"])
+
+    return sets.select("id", "cls", "words").mapInArrow(run, "id string, cls bigint, n int, fp binary, keys binary")
+
+
+def unfolded(classes: DataFrame, bands: int) -> DataFrame:
+    """(key, cls, n, fp): a row for every shard of classes (cls, n, fp, keys)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                keys, fps = rows_of(batch.column(3), np.uint64, bands), rows_of(batch.column(2), np.uint64, LANES)
+                cls, n = (np.repeat(batch.column(c).to_numpy(zero_copy_only=False), bands) for c in (0, 1))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.reshape(-1).view(np.int64)), pa.array(cls), pa.array(n), column_of(np.repeat(fps, bands, axis=0))], ["key", "cls", "n", "fp"])
+
+    return classes.select("cls", "n", "fp", "keys").mapInArrow(run, "key bigint, cls bigint, n int, fp binary")
 
 
 def spread(members: DataFrame, copies: int = COPIES) -> tuple[DataFrame, DataFrame]:
@@ -396,11 +434,18 @@ def groups(texts: DataFrame, min_words: int = MIN_WORDS, size: int = 1, share: t
     """(id, group_id, links): each text with the smallest id of its group of linked near copies and its number of links.
 
     Groups are the connected parts of the pairs between classes, found by repeatedly taking the smallest label of
-    all neighbours and then the label of that label, so the rounds grow with the logarithm of a part's width.
+    all neighbours and then the label of that label, so the rounds grow with the logarithm of a part's width. Word sets are
+    not kept: a search needs their sketches, and the decision those of texts that it has brought together.
     """
-    members = cut(word_sets(texts, min_words, size))
-    classes = cut(members.groupBy("cls").agg(F.first("words").alias("words"), F.min("id").alias("low"), F.count("*").alias("copies")))
-    pairs = cut(class_pairs(classes.select("cls", "words"), bands, rows, share=share))
+    members = cut(sketches(word_sets(texts, min_words, size), bands, rows))
+    same = (F.first(c).alias(c) for c in ("n", "fp", "keys"))
+    classes = cut(members.groupBy("cls").agg(*same, F.min("id").alias("low"), F.count("*").alias("copies")))
+    near = cut(candidate_pairs(unfolded(classes, bands), unfolded(sample_of(classes), bands), HOT, share).distinct())
+    # words are made again, and only of texts that may be near copies
+    met = near.select(F.col("a").alias("cls")).union(near.select("b")).distinct()
+    wanted = cut(classes.join(met, "cls", "left_semi").select(F.col("low").alias("id")))
+    again = texts.join(broadcast_if_small(wanted), "id", "left_semi")
+    pairs = cut(exact(near, word_sets(again, min_words, size).groupBy("cls").agg(F.first("words").alias("words")), share))
     both = pairs.select("a", "b").union(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
     links = both.join(classes.select(F.col("cls").alias("b"), "copies"), "b").groupBy("a").agg(F.sum("copies").alias("outside"))
     label = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("cls"), F.least("a", "m").alias("label")))

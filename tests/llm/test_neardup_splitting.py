@@ -56,7 +56,7 @@ def test_sampled_hot_shards_lose_nothing(spark):
     d = spark.createDataFrame(rows, "id string, text string")
     sampled, neardup.SAMPLED = neardup.SAMPLED, 2
     try:
-        assert not neardup.hot_shards(neardup.word_sets(d), 60, 5, 8).isEmpty()
+        assert not neardup.hot_shards(neardup.banded(neardup.sample_of(neardup.word_sets(d)), 60, 5), 8).isEmpty()
         assert {tuple(r) for r in neardup.near_copies(d, hot=8, bands=60, copies=4).collect()} == brute(rows)
     finally:
         neardup.SAMPLED = sampled
