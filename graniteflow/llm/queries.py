@@ -91,6 +91,13 @@ def p7_containers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents", "doc_id", "source", "text"))
 
 
+def p7_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What must hold of all containers: none above the capacity, none with two of a cluster, none missing a document."""
+    c = p7_containers(spark, sf_dir)
+    held = c.where("container_id IS NOT NULL").groupBy("container_id").agg(F.sum("n_tokens").alias("n"), (F.count("*") - F.countDistinct("cluster")).alias("more"))
+    return held.agg(F.count_if(F.col("n") > packing.CAPACITY).alias("over_capacity"), F.count_if(F.col("more") > 0).alias("conflicts")).crossJoin(F.broadcast(c.agg(F.countDistinct("doc_id").alias("documents"))))  # one row
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The subjects that at least a quarter of the sentences of a document are about."""
     examples = table(spark, sf_dir, "subject_examples", "text", "subject")
@@ -105,7 +112,7 @@ def p8_makeup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_paragraphs": p4_paragraphs, "p5_found": p5_found, "p6_ids": p6_ids, "p7_containers": p7_containers, "p8_found": p8_found, "p8_makeup": p8_makeup}
+    return {"p1_found": p1_found, "p1_groups": p1_groups, "p2_found": p2_found, "p2_pieces": p2_pieces, "p4_found": p4_found, "p4_paragraphs": p4_paragraphs, "p5_found": p5_found, "p6_ids": p6_ids, "p7_containers": p7_containers, "p7_invariants": p7_invariants, "p8_found": p8_found, "p8_makeup": p8_makeup}
 
 
 # White space as the operator trims it; RE2's own class is ASCII only.
@@ -139,6 +146,14 @@ s AS (SELECT a.id AS id_a, b.id AS id_b, count(*) AS shared FROM w a JOIN w b ON
 SELECT id_a, id_b FROM s JOIN n x ON x.id = id_a JOIN n y ON y.id = id_b WHERE 10 * shared >= 7 * (x.n + y.n - shared)
 """
 
+P1_GROUPS_SQL = P1_FOUND_SQL.replace("WITH cur", "WITH RECURSIVE cur").replace("SELECT id_a, id_b FROM s JOIN", ", p AS (SELECT id_a, id_b FROM s JOIN").replace("\n, p AS", ",\np AS") + """),
+e AS (SELECT id_a AS x, id_b AS y FROM p UNION ALL SELECT id_b, id_a FROM p),
+r AS (SELECT id AS x, id AS y FROM n UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y)
+SELECT n.id, g.group_id, coalesce(l.links, 0) AS links FROM n JOIN (SELECT x, min(y) AS group_id FROM r GROUP BY x) g ON g.x = n.id LEFT JOIN (SELECT x, count(*) AS links FROM e GROUP BY x) l ON l.x = n.id
+"""
+
+P7_INVARIANTS_SQL = "SELECT CAST(0 AS BIGINT) AS over_capacity, CAST(0 AS BIGINT) AS conflicts, count(DISTINCT doc_id) AS documents FROM documents"
+
 P5_FOUND_SQL = """
 WITH c AS (SELECT lower(trim(id)) AS k, arg_max(id, ingested_at) AS id, arg_max(coalesce(embedding_model, ''), ingested_at) AS m FROM document_chunks GROUP BY 1),
 v AS (SELECT lower(trim(chunk_id)) AS k, arg_max(coalesce(embedding, []), inserted_at) AS e FROM chunk_vectors GROUP BY 1),
@@ -151,4 +166,4 @@ SELECT DISTINCT least(x, y) AS chunk_id_a, greatest(x, y) AS chunk_id_b FROM t W
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_found": P1_FOUND_SQL, "p2_found": P2_FOUND_SQL, "p5_found": P5_FOUND_SQL}
+    return {"p1_found": P1_FOUND_SQL, "p1_groups": P1_GROUPS_SQL, "p2_found": P2_FOUND_SQL, "p5_found": P5_FOUND_SQL, "p7_invariants": P7_INVARIANTS_SQL}
